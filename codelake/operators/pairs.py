@@ -149,7 +149,8 @@ def mine_pairs(df: DataFrame, key: str, cap: int = 250, seed=42, hash_col: str =
     positive = positive_pairs(accepted, key, cap, f"{seed}:p").select("id1", "id2", F.lit("positive").alias("pair_type"))
     hard = crossed_pairs(accepted, wrong, key, cap, f"{seed}:h").select(
         "id1", "id2", F.lit("hard_negative").alias("pair_type"))
-    representatives = (
+    # a small id table that is read several times below, made from costly hashes
+    representatives = durable(
         df.where(F.col(hash_col).isNotNull()).groupBy(hash_col, "problem_id").agg(F.min(key).alias(key)))
     semi = positive_pairs(representatives, key, cap, f"{seed}:s", by=hash_col).select(
         "id1", "id2", F.lit("semi_hard_negative").alias("pair_type"))
