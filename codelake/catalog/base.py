@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from codelake.functions import text as T
 from codelake.functions.keys import draw_key
+from codelake.session import spread
 from codelake.sources.generated import render_sql
 
 QUERIES: dict = {}
@@ -28,6 +29,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents dealt over all cores, for jobs that cost far more than reading."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text", "source", "lang"), "doc_id")
+
+
 def key_sql(seed, *parts: str) -> str:
     return f"(('0x'||substr(md5(concat_ws(':','{seed}',{','.join(parts)})),1,15))::BIGINT)"
 
@@ -68,7 +74,7 @@ def encoded(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as hashed word ids."""
     ids = F.transform(
         T.words_by_space(F.col("text")), lambda w: (F.pmod(draw_key("id", w), F.lit(995)) + 5).cast("int"))
-    return table(spark, folder, "documents").select("doc_id", "text", ids.alias("ids"))
+    return documents(spark, folder).select("doc_id", "text", ids.alias("ids"))
 
 
 def text_of(ids) -> "F.Column":

@@ -8,6 +8,7 @@ from codelake.functions import arrays as A
 from codelake.functions import text as T
 from codelake.functions.keys import draw_key
 from codelake.operators import encode, stats, vocab
+from codelake.session import durable
 from codelake.sources.generated import generated_code
 
 PAD, CLS, SEP, MASK = 0, 1, 2, 3
@@ -190,9 +191,10 @@ select submission_id, string_agg(coalesce(id, 1)::VARCHAR, ',' order by i) as id
 from e left join v on v.word = e.word group by submission_id""")
 def lookup_pieces(spark, folder):
     code = generated_code(spark, folder).select("submission_id", "text")
-    words = vocab.word_vocab(vocab.word_counts(code, T.words(F.col("text"))), ["<pad>", "<unk>"], 20)
+    counts = durable(vocab.word_counts(code, T.words(F.col("text"))))
+    words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 20)
     pieces = words.select(F.col("piece").alias("word"), F.array("id").alias("ids"))
-    out = encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1)
+    out = encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1, counts=counts)
     return out.select("submission_id", text_of("input_ids").alias("ids"))
 
 
@@ -202,7 +204,8 @@ select submission_id, string_agg(coalesce(v.word, '<unk>'), ' ' order by i) as t
 from e left join v on v.word = e.word group by submission_id""")
 def decode(spark, folder):
     code = generated_code(spark, folder).select("submission_id", "text")
-    words = vocab.word_vocab(vocab.word_counts(code, T.words(F.col("text"))), ["<pad>", "<unk>"], 20)
+    counts = durable(vocab.word_counts(code, T.words(F.col("text"))))
+    words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 20)
     pieces = words.select(F.col("piece").alias("word"), F.array("id").alias("ids"))
-    ids = encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1)
+    ids = encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1, counts=counts)
     return encode.decode(ids, "submission_id", "input_ids", words)

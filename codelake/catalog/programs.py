@@ -169,15 +169,15 @@ SHAPE_SQL = "shape(nid, type, parent) as (values " + ", ".join(
     f"({i}, '{kind}', {parent})" for i, (kind, parent) in enumerate(SHAPE)) + ")"
 NODES = f"""{PARTS}, {SHAPE_SQL}, nodes as (select submission_id as doc, nid, type, parent from parts, shape where good
  union all select submission_id, 0, '<unk>', -1 from parts where not good)"""
-TYPE_IDS = """known as (select type, (row_number() over (order by type))::INTEGER as type_id
- from (select distinct type from nodes where type <> '<unk>') union all select '<unk>', 0)"""
+TYPE_IDS = "known(type, type_id) as (values ('<unk>', 0), " + ", ".join(
+    f"('{name}', {i})" for i, name in enumerate(C.node_types(), 1)) + ")"
 
 
 @query("grf1_nodes", f"""
 with {NODES}, {TYPE_IDS} select doc, nid, type_id from nodes join known on nodes.type = known.type""")
 def syntax_nodes(spark, folder):
     nodes = graph.syntax_nodes(generated_code(spark, folder), "submission_id")
-    return nodes.join(F.broadcast(graph.type_ids(nodes)), "type").select("doc", "nid", "type_id")
+    return nodes.join(F.broadcast(graph.type_ids(spark)), "type").select("doc", "nid", "type_id")
 
 
 @query("grf1_edges", f"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from codelake.catalog.base import CODE, SPLIT_SQL, query, table
+from codelake.catalog.base import CODE, SPLIT_SQL, documents, query, table
 from codelake.functions import text as T
 from codelake.sources import corpus as S
 from codelake.sources.generated import generated_code
@@ -39,7 +39,7 @@ select doc_id, array_to_string([case when instr(l, '#') > 0
   and (length(left(l, instr(l,'#')-1)) - length(replace(left(l, instr(l,'#')-1), '''', ''))) % 2 = 0
   then rtrim(left(l, instr(l,'#')-1)) else l end for l in ls], chr(10)) as code from lines""")
 def strip_comments_fallback(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", T.strip_comments_fallback(F.col("text")).alias("code"))
+    return documents(spark, folder).select("doc_id", T.strip_comments_fallback(F.col("text")).alias("code"))
 
 
 # Commas become tabs and sentence ends blank lines, so that both rules have work to do.
@@ -51,7 +51,7 @@ expanded as (select doc_id, [rtrim(list_reduce(string_split(l, chr(9)),
 select doc_id, array_to_string([l for l in ls if length(l) > 0], chr(10)) as code from expanded""")
 def normalize_whitespace(spark, folder):
     text = F.replace(F.replace(F.col("text"), F.lit(", "), F.lit("\t")), F.lit(". "), F.lit("\n \n"))
-    return table(spark, folder, "documents").select("doc_id", T.normalize_whitespace(text).alias("code"))
+    return documents(spark, folder).select("doc_id", T.normalize_whitespace(text).alias("code"))
 
 
 @query("txt5_collapse_blank_lines", r"""
@@ -59,7 +59,7 @@ select doc_id, regexp_replace(replace(text, '. ', chr(10)||' '||chr(10)||chr(10)
 from documents""")
 def collapse_blank_lines(spark, folder):
     text = F.replace(F.col("text"), F.lit(". "), F.lit("\n \n\n"))
-    return table(spark, folder, "documents").select("doc_id", T.collapse_blank_lines(text).alias("code"))
+    return documents(spark, folder).select("doc_id", T.collapse_blank_lines(text).alias("code"))
 
 
 @query("txt5_tidy_layout", r"""
@@ -70,13 +70,13 @@ select doc_id, regexp_replace(array_to_string([rtrim(l) for l in string_split(
   '\n{3,}', chr(10)||chr(10), 'g') as code from t""")
 def tidy_layout(spark, folder):
     text = F.replace(F.replace(F.col("text"), F.lit(", "), F.lit("\t")), F.lit(". "), F.lit("  \n\n\n"))
-    return table(spark, folder, "documents").select("doc_id", T.tidy_layout(text).alias("code"))
+    return documents(spark, folder).select("doc_id", T.tidy_layout(text).alias("code"))
 
 
 @query("txt8_mark_newlines", r"""
 select doc_id, trim(regexp_replace(replace(text, chr(10), ' <newline> '), '\s+', ' ', 'g')) as marked from documents""")
 def mark_newlines(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", T.mark_newlines(F.col("text")).alias("marked"))
+    return documents(spark, folder).select("doc_id", T.mark_newlines(F.col("text")).alias("marked"))
 
 
 KEYWORD_LIST = ",".join(f"'{k}'" for k in T.KEYWORDS)
@@ -91,13 +91,13 @@ select doc_id, array_to_string([case when w in ('[PAD]','[CLS]','[SEP]','[MASK]'
 from documents""")
 def role_tags(spark, folder):
     roles = T.role_tags(T.words_by_space(F.col("text")))
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.array_join(F.transform(roles, lambda r: r.cast("string")), ",").alias("roles"))
 
 
 @query("txt10_content_hash", "select doc_id, sha1(text) as sha1, md5(text) as md5, sha256(text) as sha256 from documents")
 def content_hash(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.sha1("text").alias("sha1"), F.md5("text").alias("md5"), F.sha2("text", 256).alias("sha256"))
 
 
@@ -105,13 +105,13 @@ def content_hash(spark, folder):
 select doc_id, length(text) as chars, case when length(text) = 0 then 0
  else length(text) - length(replace(text, chr(10), '')) + 1 end as lines from documents""")
 def text_size(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", T.n_chars(F.col("text")).alias("chars"), T.n_lines(F.col("text")).alias("lines"))
 
 
 @query("txt12_words_by_space", f"select doc_id, array_to_string({SPLIT_SQL}, '|') as words from documents")
 def words_by_space(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.array_join(T.words_by_space(F.col("text")), "|").alias("words"))
 
 

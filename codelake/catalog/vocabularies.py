@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from codelake.catalog.base import CODE, query, table, text_of, turns
+from codelake.catalog.base import documents, query, table, text_of, turns
 from codelake.catalog.encoding import COMMON
 from codelake.functions import text as T
 from codelake.operators import encode, pairs, unigram, vocab
@@ -21,13 +21,13 @@ def fresh_folder(spark) -> str:
 
 
 def document_words(spark, folder):
-    return vocab.word_counts(table(spark, folder, "documents"), T.words(F.col("text")))
+    return vocab.word_counts(documents(spark, folder), T.words(F.col("text")))
 
 
 @query("voc1_word_counts", r"""
 select w as word, count(*) as freq from (select unnest(regexp_extract_all(text, '\S+')) as w from documents) group by w""")
 def word_counts(spark, folder):
-    return vocab.word_counts(table(spark, folder, "documents"), T.words_by_space(F.col("text")))
+    return vocab.word_counts(documents(spark, folder), T.words_by_space(F.col("text")))
 
 
 def grown(counts, kind, specials, extra):
@@ -40,20 +40,20 @@ def grown(counts, kind, specials, extra):
 @query("voc2_learn_bpe_chars")
 def learn_bpe_chars(spark, folder):
     words = T.words(F.col("text"))
-    model = grown(vocab.word_counts(table(spark, folder, "documents"), words), "chars", vocab.SPECIALS["bert"], MERGES)
+    model = grown(vocab.word_counts(documents(spark, folder), words), "chars", vocab.SPECIALS["bert"], MERGES)
     return model.merge_table(spark)
 
 
 @query("voc2_learn_bpe_bytes")
 def learn_bpe_bytes(spark, folder):
     words = T.words_with_space(F.col("text"))
-    counts = vocab.word_counts(table(spark, folder, "documents"), words)
+    counts = vocab.word_counts(documents(spark, folder), words)
     return grown(counts, "bytes", vocab.SPECIALS["roberta"], MERGES).merge_table(spark)
 
 
 @query("voc3_learn_wordpiece")
 def learn_wordpiece(spark, folder):
-    counts = vocab.word_counts(table(spark, folder, "documents"), T.words_punct_digits(F.col("text")))
+    counts = vocab.word_counts(documents(spark, folder), T.words_punct_digits(F.col("text")))
     return grown(counts, "wordpiece", vocab.SPECIALS["wordpiece"], MERGES).vocab(spark)
 
 
@@ -65,10 +65,10 @@ def learn_unigram(spark, folder):
 
 @query("enc1_encode_bpe")
 def encode_bpe(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    texts = documents(spark, folder).select("doc_id", "text")
     words = T.words(F.col("text"))
-    model = grown(vocab.word_counts(documents, words), "chars", vocab.SPECIALS["bert"], MERGES)
-    ids = encode.lookup_pieces(documents, "doc_id", words, model.words, unknown=4)
+    model = grown(vocab.word_counts(texts, words), "chars", vocab.SPECIALS["bert"], MERGES)
+    ids = encode.lookup_pieces(texts, "doc_id", words, model.words, unknown=4)
     return ids.select("doc_id", text_of("input_ids").alias("ids"))
 
 

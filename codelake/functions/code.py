@@ -158,35 +158,48 @@ def _facts_of(text: str, wanted: tuple[str, ...]) -> dict:
     try:
         tree = ast.parse(text)
     except READ_ERRORS:
-        tree = None
-    ok = tree is not None
-    # Native fact first, then those that change the tree on their own fresh copy.
+        return {"parse_ok": False, "n_functions": 0, "n_classes": 0, "no_docstrings": text, "renamed": text,
+                "graph": {"types": ["<unk>"], "parents": [-1]}}
+    unchanged = [tree]
+
+    def own():
+        """A tree the caller may change."""
+        return unchanged.pop() if unchanged else ast.parse(text)
+
     makers = {
-        "parse_ok": lambda: ok,
-        "dump_md5": lambda: hashlib.md5(ast.dump(tree).encode()).hexdigest() if ok else None,
-        "n_functions": lambda: sum(isinstance(n, ast.FunctionDef) for n in ast.walk(tree)) if ok else 0,
-        "n_classes": lambda: sum(isinstance(n, ast.ClassDef) for n in ast.walk(tree)) if ok else 0,
-        "graph": lambda: breadth_first(tree) if ok else {"types": ["<unk>"], "parents": [-1]},
-        "structure_sha256": lambda: hashlib.sha256(
-            ast.dump(name_free(ast.parse(text))).encode()).hexdigest() if ok else None,
-        "no_docstrings": lambda: ast.unparse(without_docstrings(ast.parse(text))) if ok else text,
-        "renamed": lambda: ast.unparse(scope_renamed(ast.parse(text))) if ok else text,
+        "parse_ok": lambda: True,
+        "dump_md5": lambda: hashlib.md5(ast.dump(tree).encode()).hexdigest(),
+        "n_functions": lambda: sum(isinstance(n, ast.FunctionDef) for n in ast.walk(tree)),
+        "n_classes": lambda: sum(isinstance(n, ast.ClassDef) for n in ast.walk(tree)),
+        "graph": lambda: breadth_first(tree),
+        "structure_sha256": lambda: hashlib.sha256(ast.dump(name_free(own())).encode()).hexdigest(),
+        "no_docstrings": lambda: ast.unparse(without_docstrings(own())),
+        "renamed": lambda: ast.unparse(scope_renamed(own())),
     }
-    unreadable = {"no_docstrings": text, "renamed": text, "n_functions": 0, "n_classes": 0}
-    found = {}
-    for name in wanted:
-        try:
-            found[name] = makers[name]()
-        except (*READ_ERRORS, AttributeError):
-            found[name] = unreadable.get(name)
+    found = {"no_docstrings": text, "renamed": text}
+    for name in makers:  # facts that change the tree come last
+        if name in wanted:
+            try:
+                found[name] = makers[name]()
+            except READ_ERRORS:
+                continue
     return found
 
 
 def _per_batch(batches, make, columns):
     for texts in batches:
         known = {text: make(text) for text in texts.dropna().unique()}
-        blank = dict.fromkeys(columns)
-        yield pd.DataFrame([known.get(text, blank) for text in texts], columns=list(columns))
+        yield pd.DataFrame({c: [known.get(text, {}).get(c) for text in texts] for c in columns})
+
+
+def node_types() -> list[str]:
+    """Every node type of the grammar in name order."""
+    found, todo = set(), [ast.AST]
+    while todo:
+        below = todo.pop().__subclasses__()
+        found |= {c.__name__ for c in below if c.__module__ == "ast"}
+        todo.extend(below)
+    return sorted(found)
 
 
 def code_facts(text: Column, *wanted: str) -> Column:

@@ -13,16 +13,21 @@ from codelake.operators.skew import lookup_join
 
 
 def lookup_pieces(
-    df: DataFrame, key: str, words: Column, pieces: DataFrame, unknown: int, to: str = "input_ids"
+    df: DataFrame, key: str, words: Column, pieces: DataFrame, unknown: int, to: str = "input_ids",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """JOIN-10: replace each word by its ids, as ``to``, keeping all documents and their word order.
 
     ``pieces`` is (word, ids). Each distinct word of a document is looked up once, and
-    words that fill a large share of the rows are salted.
+    words that fill a large share of the rows are salted; word ``counts`` (word, freq)
+    tell which without another pass over the texts.
     """
+    if counts is not None:
+        counts = counts.select("word", F.col("freq").alias("n"))
     places = df.select(key, F.posexplode(words).alias("pos", "word"))
     per_document = places.groupBy(key, "word").agg(F.collect_list("pos").alias("places"))
-    found = lookup_join(per_document, pieces.select("word", "ids"), ["word"], spread=[key], how="left")
+    found = lookup_join(
+        per_document, pieces.select("word", "ids"), ["word"], spread=[key], how="left", counts=counts)
     ids = F.coalesce("ids", F.array(F.lit(unknown)))
     placed = found.select(key, F.explode("places").alias("pos"), ids.alias("ids"))
     encoded = placed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("_ids"))

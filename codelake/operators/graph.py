@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codelake.functions.code import code_facts
+from codelake.functions.code import code_facts, node_types
 
 
 def syntax_nodes(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -17,17 +17,10 @@ def syntax_nodes(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return rows.select("doc", "nid", "n.type", "n.parent")
 
 
-def type_ids(nodes: DataFrame) -> DataFrame:
-    """GRF-1: a fixed dictionary (type, type_id): 0 for unknown, the others in name order.
-
-    Node types come from the grammar, about a hundred of them.
-    """
-    known = nodes.where("type <> '<unk>'").select("type").distinct()
-    smaller = known.select(F.col("type").alias("_other"))
-    ranked = F.size(F.filter(
-        smaller.agg(F.collect_set("_other")).scalar(), lambda other: other <= F.col("type")))
-    unknown = known.sparkSession.createDataFrame([("<unk>", 0)], "type string, type_id int")
-    return known.select("type", ranked.alias("type_id")).unionByName(unknown)
+def type_ids(spark) -> DataFrame:
+    """GRF-1: the fixed dictionary (type, type_id): 0 for unknown, then the grammar's types by name."""
+    rows = [("<unk>", 0), *((name, i) for i, name in enumerate(node_types(), 1))]
+    return spark.createDataFrame(rows, "type string, type_id int")
 
 
 def syntax_edges(nodes: DataFrame) -> DataFrame:

@@ -9,11 +9,14 @@ HOT_SHARE = 0.005
 SALTS = 64
 
 
-def hot_keys(rows: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(
+    rows: DataFrame, on: list[str], share: float = HOT_SHARE, counts: DataFrame | None = None
+) -> DataFrame:
     """Keys holding at least ``share`` of all rows: never more than 1/share of them."""
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") >= total * F.lit(share)).select(*on, F.lit(True).alias("_hot"))
+    if counts is None:
+        counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.where(F.col("n") >= total * F.lit(share)).select(*on, F.lit(True).alias("_hot"))
 
 
 def lookup_join(
@@ -24,13 +27,15 @@ def lookup_join(
     how: str = "inner",
     share: float = HOT_SHARE,
     salts: int = SALTS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a table with few rows per key.
 
     Rows of a hot key are dealt over ``salts`` partitions by their ``spread``
-    columns, and the table's rows for that key are repeated once per salt.
+    columns, and the table's rows for that key are repeated once per salt. Known key
+    ``counts`` (on..., n) save the pass that finds the hot keys.
     """
-    hot = F.broadcast(hot_keys(rows, on, share))  # at most 1/share rows
+    hot = F.broadcast(hot_keys(rows, on, share, counts))  # at most 1/share rows
     dealt = rows.join(hot, on, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0)))
     repeated = table.join(hot, on, "left").withColumn(

@@ -10,7 +10,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codelake.operators.ranking import take_first
+from codelake.session import durable
+
 SHRINK = 0.75
+TOP_WEIGHT = 65535
 SPARE = 1.1
 UNKNOWN_PENALTY = 10.0
 
@@ -27,18 +31,22 @@ def seed_pieces(counts: DataFrame, max_piece_length: int, seed_size: int) -> Dat
     spans = F.flatten(F.transform(starts, lambda at: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(max_piece_length), size - at + 1)),
         lambda n: F.substr(F.col("word"), at, n))))
-    found = (
+    # the substring counts are read once per cut step, so they are stored
+    found = durable(
         counts.where(size > 0).select("freq", F.explode(spans).alias("piece"))
         .groupBy("piece").agg(F.sum("freq").alias("freq"))
+        .where((F.col("freq") >= 2) | (F.length("piece") == 1))
     )
     length = F.length("piece")
     single = found.where(length == 1).select("piece", F.col("freq").cast("double").alias("weight"))
     longer = (
         found.where((length > 1) & (F.col("freq") >= 2))
-        .select("piece", (F.col("freq") * length).cast("double").alias("weight"))
-        .orderBy(F.desc("weight"), "piece").limit(seed_size)
+        .select("piece", (F.col("freq") * length).alias("weight"))
     )
-    return single.unionByName(longer)
+    # the cut falls among heavy pieces, where few share a weight
+    order, bucket = [-F.col("weight"), F.col("piece")], -F.least(F.col("weight"), F.lit(TOP_WEIGHT))
+    heaviest = take_first(longer, order, bucket, lambda total: seed_size)
+    return single.unionByName(heaviest.withColumn("weight", F.col("weight").cast("double")))
 
 
 def _arcs(word: str, logp: dict, longest: int, floor: float):

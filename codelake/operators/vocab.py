@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from codelake.operators.ranking import position
 from codelake.session import durable
 
 CANDIDATES = 512
-KEEP_ROUNDS = 8
+KEEP_ROUNDS = 16
 
 # Special pieces of each configuration, in id order.
 SPECIALS = {
@@ -95,19 +97,70 @@ def independent_prefix(ranked: list[tuple[int, int]], new_piece, known: dict) ->
     return run
 
 
-def _apply(symbols: Column, merges: list[tuple[int, int, int]]) -> Column:
-    """Merge the given pairs from left to right in one pass."""
-    table = F.create_map(*[part for a, b, c in merges for part in (F.lit((a << 32) + b), F.lit(c))])
-    empty = F.array().cast("array<int>")
+def _merge_runs(values, offsets, runs):
+    """Apply runs of merges, in order, to a batch of words given as one flat id array.
 
-    def step(done, x):
-        last = F.element_at(done, -1)
-        merged = table[F.shiftleft(last.cast("long"), 32) + x]
-        return F.when((F.size(done) > 0) & merged.isNotNull(), F.concat(
-            F.slice(done, 1, F.size(done) - 1), F.array(merged))).otherwise(F.concat(done, F.array(x)))
-
-    lefts = F.array(*[F.lit(a) for a, _, _ in merges])
-    return F.when(F.arrays_overlap(symbols, lefts), F.aggregate(symbols, empty, step)).otherwise(symbols)
+    Within a run every symbol belongs to one pair at most, so a table by left symbol
+    finds all its merges in one comparison. Only a pair of equal symbols can match at
+    neighbouring places; every other one of those is taken, from the left.
+    """
+    word = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    for run in runs:
+        size = max(max(pair) for pair in run) + 1
+        right, made = np.full(size, -1), np.zeros(size, dtype=np.int64)
+        for a, b, c in run:
+            right[a], made[a] = b, c
+        left = np.where(values[:-1] < size, values[:-1], 0)
+        hits = np.flatnonzero(
+            (right[left] == values[1:]) & (values[:-1] < size) & (word[:-1] == word[1:]))
+        if not len(hits):
+            continue
+        at = np.arange(len(hits))
+        first = np.maximum.accumulate(np.where(np.diff(hits, prepend=-2) > 1, at, 0))
+        hits = hits[(at - first) % 2 == 0]
+        values = values.copy()
+        values[hits] = made[values[hits]]
+        kept = np.ones(len(values), dtype=bool)
+        kept[hits + 1] = False
+        values, word = values[kept], word[kept]
+    ends = np.cumsum(np.bincount(word, minlength=len(offsets) - 1))
+    return values, np.concatenate([[0], ends]), word
+
+
+def _flat(batch: pa.RecordBatch):
+    lists = batch.column("symbols")
+    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets
+
+
+def _pair_counts(state: DataFrame, runs: list) -> DataFrame:
+    """(a, b, n) of adjacent symbols after ``runs``, summed per Arrow batch before the shuffle."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, _, word = _merge_runs(*_flat(batch), runs)
+            inside = word[:-1] == word[1:]
+            pairs = (values[:-1][inside] << 32) | values[1:][inside]
+            freq = batch.column("freq").to_numpy(zero_copy_only=False)[word[:-1][inside]]
+            distinct, place = np.unique(pairs, return_inverse=True)
+            sums = np.zeros(len(distinct), dtype=np.int64)
+            np.add.at(sums, place, freq)
+            yield pa.RecordBatch.from_pydict({
+                "a": (distinct >> 32).astype(np.int32), "b": (distinct & 0xFFFFFFFF).astype(np.int32), "n": sums})
+
+    parts = state.select("freq", "symbols").mapInArrow(count, "a int, b int, n long")
+    return parts.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _advance(state: DataFrame, runs: list) -> DataFrame:
+    """The word table after ``runs``."""
+    def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, offsets, _ = _merge_runs(*_flat(batch), runs)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), batch.column("freq"), lists], names=["word", "freq", "symbols"])
+
+    return state.mapInArrow(advance, "word string, freq long, symbols array<int>")
 
 
 def learn_bpe(
@@ -132,38 +185,33 @@ def learn_bpe(
     ids = F.transform("symbols", lambda s: (F.array_position(letters, s) - 1).cast("int"))
     state = durable(words.select("word", "freq", ids.alias("symbols")))
     words.unpersist()
-    merges, rounds, held = [], 0, None
+    merges, pending, rounds = [], [], 0
+
+    def name(a, b):
+        return _joined(pieces[a], pieces[b], kind)
 
     while len(pieces) < vocab_size:
-        neighbours = F.arrays_zip(
-            F.slice("symbols", 1, F.size("symbols") - 1).alias("a"), F.slice("symbols", 2, F.size("symbols")).alias("b"))
         top = (
-            state.where(F.size("symbols") > 1).select("freq", F.inline(neighbours).alias("a", "b"))
-            .groupBy("a", "b").agg(F.sum("freq").alias("n"))
-            .where(F.col("n") >= max(min_frequency, 1))
+            _pair_counts(state, pending).where(F.col("n") >= max(min_frequency, 1))
             .orderBy(F.desc("n"), "a", "b").limit(CANDIDATES).collect()
         )
-        def name(a, b):
-            return _joined(pieces[a], pieces[b], kind)
-
         run = independent_prefix([(r.a, r.b) for r in top], name, known)
         run = run[: 1 if one_per_round else vocab_size - len(pieces)]
         if not run:
             break
-        step = []
+        made = []
         for a, b in run:
             piece = name(a, b)
             if piece not in known:
                 known[piece] = len(pieces)
                 pieces.append(piece)
-            step.append((a, b, known[piece]))
-        merges += step
+            made.append((a, b, known[piece]))
+        merges += made
+        pending.append(made)
         rounds += 1
-        state = state.withColumn("symbols", _apply(F.col("symbols"), step))
-        state = durable(state) if rounds % KEEP_ROUNDS == 0 else state.persist()
-        if held is not None:
-            held.unpersist()
-        held = state if rounds % KEEP_ROUNDS else None
+        if len(pending) == KEEP_ROUNDS:
+            state, pending = durable(_advance(state, pending)), []
+    state = _advance(state, pending) if pending else state
     return Merges(pieces, merges, state.select("word", F.col("symbols").alias("ids")), kind, rounds)
 
 

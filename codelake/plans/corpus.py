@@ -11,6 +11,7 @@ from codelake.functions import code as C
 from codelake.functions import text as T
 from codelake.operators import dedup, normalize, select, stats
 from codelake.operators.vocab import word_counts
+from codelake.session import durable
 
 FINAL = [
     "submission_id", "user_id", "problem_id", "language", "status", "original_index", "original_code",
@@ -20,7 +21,7 @@ FINAL = [
 
 @dataclass
 class Prepared:
-    """Lazy tables of one run; nothing is executed until one is written."""
+    """Tables of one run, all read from one stored parse of the corpus."""
 
     parsed: DataFrame
     processed: DataFrame
@@ -66,11 +67,12 @@ def prepare_corpus(df: DataFrame, order: str = "submission_id", listed: DataFram
             df = df.withColumn(column, F.lit(None).cast("string"))
     if listed is not None:
         df = select.filter_problems(df, listed)
-    parsed = df.withColumn("parse_ok", C.code_facts(F.col("text"), "parse_ok")["parse_ok"])
-    processed = normalize.preprocess_corpus(parsed.where("parse_ok"))
-    hashed = processed.withColumn(
-        "structure_sha256", C.code_facts(F.col("processed_code"), "structure_sha256")["structure_sha256"])
-    kept = dedup.dedup_structural(hashed, order)
+    checked = df.withColumn("parse_ok", C.code_facts(F.col("text"), "parse_ok")["parse_ok"])
+    hash_of_processed = C.code_facts(F.col("processed_code"), "structure_sha256")["structure_sha256"]
+    # dedup, vocabulary and statistics all need the parse, which is the costly step
+    parsed = durable(normalize.preprocess_corpus(checked).withColumn("structure_sha256", hash_of_processed))
+    processed = parsed.where("parse_ok")
+    kept = dedup.dedup_structural(processed, order)
     final = select.usable_text(kept).withColumns({
         "original_index": F.col(order),
         "original_code": F.col("text"),

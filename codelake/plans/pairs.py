@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from codelake.functions import text as T
 from codelake.operators import dedup, evaluate, score, splits
+from codelake.session import durable
 
 
 @dataclass
@@ -22,7 +23,7 @@ def train_and_judge(
     pairs: DataFrame, key: str, ratio: float = 0.1, seed=42, code1: str = "code1", code2: str = "code2"
 ) -> Judged:
     """Pair dedup, stratified split, fit, score the validation part and judge it."""
-    unique = dedup.dedup_pairs(pairs, key, code1, code2)
+    unique = durable(dedup.dedup_pairs(pairs, key, code1, code2))  # split, fit and score all read it
     parts = splits.split_stratified(unique, "similar", key, ratio, seed).withColumns({
         "_t1": T.words(F.col(code1)), "_t2": T.words(F.col(code2))})
     model = score.fit_pair_model(parts.where("split = 'train'"), "_t1", "_t2")

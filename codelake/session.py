@@ -40,3 +40,9 @@ def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and cut its lineage there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal a scan with fewer partitions than cores over all of them; larger scans are left alone."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
