@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codelake.functions.code import code_facts, node_types
@@ -34,24 +34,20 @@ def syntax_edges(nodes: DataFrame) -> DataFrame:
 def propagate(nodes: DataFrame, edges: DataFrame, rounds: int = 2) -> DataFrame:
     """GRF-2: smooth one-hot node types over the graph, mean per document, unit length.
 
-    Returns (doc, type, value). Each round is x' = D^-1/2 (A + I) D^-1/2 x with A + I
-    as edges and self loops, kept sparse as (doc, nid, type, value) rows. All rounds
-    share the (doc, nid) partitioning.
+    Returns (doc, type, value). With S = D^-1/2 (A + I) D^-1/2 the mean over nodes of
+    S^r X is the row vector (1/N) 1'S^r X, and S is symmetric: so r rounds on one number
+    per node, summed by type at the end, replace r rounds on a vector per node.
     """
+    at = ["doc", "nid"]
     loops = nodes.select("doc", F.col("nid").alias("src"), F.col("nid").alias("dst"))
     links = edges.select("doc", "src", "dst").unionByName(loops)
-    degree = links.groupBy("doc", "src").agg(F.count(F.lit(1)).alias("n"))
-    scale = degree.select("doc", F.col("src").alias("nid"), (1 / F.sqrt("n")).alias("scale"))
-    values = nodes.select("doc", "nid", "type", F.lit(1.0).alias("value"))
+    state = links.groupBy("doc", F.col("src").alias("nid")).agg(
+        (1 / F.sqrt(F.count(F.lit(1)))).alias("scale")).withColumn("x", F.lit(1.0))
     for _ in range(rounds):
-        sent = values.join(scale, ["doc", "nid"]).select(
-            "doc", F.col("nid").alias("src"), "type", (F.col("value") * F.col("scale")).alias("sent"))
-        got = sent.join(links, ["doc", "src"]).groupBy("doc", F.col("dst").alias("nid"), "type").agg(
-            F.sum("sent").alias("got"))
-        values = got.join(scale, ["doc", "nid"]).select(
-            "doc", "nid", "type", (F.col("got") * F.col("scale")).alias("value"))
-    size = nodes.groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
-    pooled = values.groupBy("doc", "type").agg(F.sum("value").alias("value")).join(size, "doc").select(
-        "doc", "type", (F.col("value") / F.col("n")).alias("value"))
-    norm = pooled.groupBy("doc").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
-    return pooled.join(norm, "doc").select("doc", "type", (F.col("value") / F.col("norm")).alias("value"))
+        sent = state.select("doc", F.col("nid").alias("src"), (F.col("x") * F.col("scale")).alias("sent"))
+        got = links.join(sent, ["doc", "src"]).groupBy("doc", F.col("dst").alias("nid")).agg(F.sum("sent").alias("got"))
+        state = state.join(got, at).select(*at, "scale", (F.col("got") * F.col("scale")).alias("x"))
+    by_type = nodes.join(state, at).groupBy("doc", "type").agg(F.sum("x").alias("sum"))
+    # the mean's 1/N cancels in the unit length
+    norm = F.sqrt(F.sum(F.col("sum") * F.col("sum")).over(Window.partitionBy("doc")))
+    return by_type.select("doc", "type", (F.col("sum") / norm).alias("value"))
