@@ -207,5 +207,5 @@ def decode(spark, folder):
     counts = durable(vocab.word_counts(code, T.words(F.col("text"))))
     words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 20)
     pieces = words.select(F.col("piece").alias("word"), F.array("id").alias("ids"))
-    ids = encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1, counts=counts)
+    ids = durable(encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1, counts=counts))
     return encode.decode(ids, "submission_id", "input_ids", words)

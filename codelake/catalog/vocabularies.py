@@ -9,6 +9,7 @@ from codelake.catalog.encoding import COMMON
 from codelake.functions import text as T
 from codelake.operators import encode, pairs, unigram, vocab
 from codelake.plans.pairs import train_and_judge
+from codelake.plans.vocabularies import CONFIGURATIONS, learn
 from codelake.session import ensure_checkpoint_dir
 from codelake.sources import corpus as S
 from codelake.sources.generated import generated_code
@@ -34,7 +35,7 @@ def grown(counts, kind, specials, extra):
     """A vocabulary ``extra`` pieces larger than its alphabet."""
     symbols = counts.select(F.explode(vocab.initial_symbols(F.col("word"), kind)).alias("s")).distinct().count()
     size = (256 if kind == "bytes" else symbols) + len(specials) + extra
-    return vocab.learn_bpe(counts, size, 2, specials, kind)
+    return vocab.learn_bpe(counts, size, 2, specials, kind, all_bytes=kind == "bytes")
 
 
 @query("voc2_learn_bpe_chars")
@@ -72,6 +73,14 @@ def encode_bpe(spark, folder):
     return ids.select("doc_id", text_of("input_ids").alias("ids"))
 
 
+# One small corpus-bound vocabulary per configuration, named pieces in id order.
+for _name in CONFIGURATIONS:
+    @query(f"voc_configuration_{_name}")
+    def configured(spark, folder, name=_name):
+        code = generated_code(spark, folder)
+        return learn(code, "text", name, vocab_size=340).vocab(spark)
+
+
 @query("voc5_vocab_report", f"""
 with {COMMON}, all_pieces as (select word, id from v union all values ('<pad>', 0), ('<unk>', 1))
 select 'size' as item, '' as piece, count(*) as id from all_pieces

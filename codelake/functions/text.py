@@ -124,9 +124,23 @@ def words_by_space(text: Column) -> Column:
     return F.filter(F.split(text, rf"(?U){BLANK}+"), lambda w: F.length(w) > 0)
 
 
+# Punctuation: the Unicode class and every ASCII mark, symbols included.
+PUNCTUATION = r"\p{P}!-/:-@\[-`{-~"
+
+
+def split_punct_digits(text: Column) -> Column:
+    """Each punctuation mark and each numeral on its own, other runs whole; blanks stay inside runs."""
+    return F.regexp_extract_all(text, F.lit(rf"(\p{{N}}|[{PUNCTUATION}]|[^\p{{N}}{PUNCTUATION}]+)"), 1)
+
+
 def words_punct_digits(text: Column) -> Column:
-    """Blank-separated, each punctuation mark and each digit on its own."""
-    return F.regexp_extract_all(text, F.lit(r"(?U)(\d|\p{Punct}|[^\s\d\p{Punct}]+)"), 1)
+    """As ``split_punct_digits`` on the blank-separated words."""
+    return F.regexp_extract_all(text, F.lit(rf"(?U)(\p{{N}}|[{PUNCTUATION}]|[^\s\p{{N}}{PUNCTUATION}]+)"), 1)
+
+
+def lines_with_ends(text: Column) -> Column:
+    """Lines with their newline, the last one closed by a newline too."""
+    return F.regexp_extract_all(F.concat(text, F.lit("\n")), F.lit(r"([^\n]*\n)"), 1)
 
 
 def words_with_space(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codelake.operators.ranking import quantile_bucket, running_before
+from codelake.operators.ranking import running_before, with_quantile_bucket
 
 WEIGHTS = {"hard_negative": 1.5, "semi_hard_negative": 1.3}
 MIN_TAU = 0.001
@@ -113,7 +113,8 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """EVL-3: rank-sum area with average ranks for ties; NaN when one class is missing."""
     points = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    ranked = running_before(points, quantile_bucket(points, F.col("score")), "score", {"neg": "neg_below"})
+    bucketed = with_quantile_bucket(points, "score", "_range")
+    ranked = running_before(bucketed, F.col("_range"), "score", {"neg": "neg_below"})
     wins = F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2))
     both = F.sum("pos").cast("double") * F.sum("neg")
     return ranked.agg(F.when(both > 0, wins / both).otherwise(F.lit(float("nan"))).alias("auc"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,12 +125,14 @@ def range_bucket(value: Column, low: Column, high: Column, buckets: int = 1024)
     return F.least(F.floor((value - low) / width * buckets), F.lit(buckets - 1)).cast("int")
 
 
-def quantile_bucket(rows: DataFrame, value: Column, buckets: int = 128) -> Column:
-    """Near-equal buckets that keep the order of any number, from approximate quantiles."""
+def with_quantile_bucket(rows: DataFrame, value: str, to: str, buckets: int = 1024) -> DataFrame:
+    """Near-equal buckets that keep the order of any number, cut at approximate quantiles."""
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = rows.agg(F.percentile_approx(value.cast("double"), steps, 10000)).first()[0] or []
-    ends = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    return F.size(F.filter(ends, lambda end: end < value.cast("double")))
+    cuts = rows.agg(F.percentile_approx(F.col(value).cast("double"), steps, 10 * buckets)).first()[0] or [0.0]
+    ends = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    tagged = rows.withColumn("_value", F.col(value).cast("double"))
+    bucketizer = Bucketizer(splits=ends, inputCol="_value", outputCol=to, handleInvalid="keep")
+    return bucketizer.transform(tagged).drop("_value")
 
 
 def running_before(rows: DataFrame, bucket: Column, order: str, sums: dict[str, str]) -> DataFrame:

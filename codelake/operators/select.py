@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codelake.functions import text as T
 from codelake.functions.keys import draw_bucket, draw_key
-from codelake.operators.ranking import position, quantile_bucket, take_first
+from codelake.operators.ranking import position, take_first, with_quantile_bucket
 
 # Text columns by priority, per family of inputs.
 TEXT_PRIORITY = {
@@ -54,7 +54,8 @@ def with_row_problem(df: DataFrame, order: str, dense: bool = True) -> DataFrame
         return df
     if not dense:
         return df.withColumn("problem_id", F.col(order).cast("string"))
-    numbered = position(df, "problem_id", [F.col(order)], quantile_bucket(df, F.col(order)))
+    bucketed = with_quantile_bucket(df, order, "_range")
+    numbered = position(bucketed, "problem_id", [F.col(order)], F.col("_range")).drop("_range")
     return numbered.withColumn("problem_id", F.col("problem_id").cast("string"))
 
 

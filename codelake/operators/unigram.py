@@ -152,19 +152,31 @@ def prune(counts: DataFrame, logp: dict, target: int) -> dict:
     return kept | {piece: logp[piece] for _, piece in losses[: max(room, 0)]}
 
 
+def covered_letters(weights: dict[str, float], coverage: float) -> set[str]:
+    kept, room = set(), coverage * sum(weights.values())
+    for letter, weight in sorted(weights.items(), key=lambda item: (-item[1], item[0])):
+        if room <= 0:
+            break
+        kept.add(letter)
+        room -= weight
+    return kept
+
+
 def learn_unigram(
     counts: DataFrame, vocab_size: int, specials: list[str] = (), max_piece_length: int = 16,
-    seed_size: int = 1_000_000, rounds: int = 2,
+    seed_size: int = 1_000_000, rounds: int = 2, coverage: float = 1.0,
 ) -> list[tuple[str, float]]:
     """(piece, log probability) in id order: specials at 0, then pieces from likely to unlikely.
 
-    All state but the word table is bounded by ``seed_size``.
+    The most frequent characters that make up ``coverage`` of the corpus always get a
+    piece, other characters none. All state but the word table is bounded by ``seed_size``.
     """
     counts = counts.persist()
     seeds = {row.piece: row.weight for row in seed_pieces(counts, max_piece_length, seed_size).collect()}
+    letters = covered_letters({piece: weight for piece, weight in seeds.items() if len(piece) == 1}, coverage)
+    seeds = {piece: weight for piece, weight in seeds.items() if letters.issuperset(piece)}
     whole = math.log(sum(seeds.values()))
     logp = {piece: math.log(weight) - whole for piece, weight in seeds.items()}
-    letters = {piece for piece in seeds if len(piece) == 1}
     wanted = max(vocab_size - len(specials), len(letters))
     while True:
         for _ in range(rounds):

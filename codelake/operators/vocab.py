@@ -28,6 +28,9 @@ SPECIALS = {
     "bert": ["[PAD]", "[CLS]", "[SEP]", "[MASK]", "[UNK]"],
     "wordpiece": ["[UNK]", "[CLS]", "[SEP]", "[PAD]", "[MASK]", "[INDENT]", "[DEDENT]", "[NEWLINE]", "[EOF]"],
     "code_bytes": ["<unk>", "<s>", "</s>", "<pad>", "<mask>", "<indent>", "<dedent>", "<newline>", "<eof>"],
+    "marked": [
+        "<pad>", "<s>", "</s>", "<mask>", "<unk>", "<nl>", "<py>", "<indent>", "<dedent>", "<newline>", "<str>", "<num>"],
+    "sentence": ["<pad>", "<unk>", "<s>", "</s>", "<indent>", "<dedent>", "<newline>"],
 }
 DEFAULT_IDS = {"pad": 0, "unk": 1, "cls": 2, "sep": 3, "mask": 4}
 
@@ -44,12 +47,17 @@ def byte_alphabet() -> list[str]:
     return [chr(b if b in printable else next(spare)) for b in range(256)]
 
 
+def byte_characters(text: Column) -> Column:
+    """One printable character per UTF-8 byte."""
+    alphabet = F.array(*[F.lit(c) for c in byte_alphabet()])
+    digits = F.regexp_extract_all(F.hex(F.encode(text, "UTF-8")), F.lit("(..)"), 1)
+    return F.transform(digits, lambda d: F.element_at(alphabet, F.conv(d, 16, 10).cast("int") + 1))
+
+
 def initial_symbols(word: Column, kind: str) -> Column:
     """Characters, ``##``-continued characters, or byte characters of a word."""
     if kind == "bytes":
-        alphabet = F.array(*[F.lit(c) for c in byte_alphabet()])
-        digits = F.regexp_extract_all(F.hex(F.encode(word, "UTF-8")), F.lit("(..)"), 1)
-        return F.transform(digits, lambda d: F.element_at(alphabet, F.conv(d, 16, 10).cast("int") + 1))
+        return byte_characters(word)
     chars = F.regexp_extract_all(word, F.lit("(?s)(.)"), 1)
     if kind == "wordpiece":
         return F.transform(chars, lambda c, i: F.when(i == 0, c).otherwise(F.concat(F.lit("##"), c)))
@@ -165,20 +173,19 @@ def _advance(state: DataFrame, runs: list) -> DataFrame:
 
 def learn_bpe(
     counts: DataFrame, vocab_size: int, min_frequency: int = 2, specials: list[str] = (), kind: str = "chars",
-    one_per_round: bool = False,
+    all_bytes: bool = False, one_per_round: bool = False,
 ) -> Merges:
     """VOC-2, and VOC-3 with kind ``wordpiece``: merge the most frequent adjacent pair until full.
 
     Equal counts are ordered by the ids of the pair. Each round is one aggregation over
     the word table and takes as many merges as provably keep the one-at-a-time result.
+    ``all_bytes`` puts every byte character in the alphabet, seen or not.
     """
     spark = counts.sparkSession
     words = counts.select("word", "freq", initial_symbols(F.col("word"), kind).alias("symbols")).persist()
-    if kind == "bytes":
-        alphabet = sorted(byte_alphabet())
-    else:  # bounded by the number of characters there are
-        rows = words.select(F.explode("symbols").alias("s")).distinct().orderBy("s").collect()
-        alphabet = [row.s for row in rows if row.s not in specials]
+    # bounded by the number of characters there are
+    seen = {row.s for row in words.select(F.explode("symbols").alias("s")).distinct().collect()}
+    alphabet = sorted((seen | set(byte_alphabet()) if all_bytes else seen) - set(specials))
     pieces = [*specials, *alphabet]
     known = {piece: i for i, piece in enumerate(pieces)}
     letters = F.array(*[F.lit(p) for p in pieces])
@@ -280,8 +287,8 @@ def word_vocab(counts: DataFrame, specials: list[str], min_frequency: int = 1) -
     draw = draw_key("vocab", "word")
     placed = position(words.select("word"), "id", [draw, F.col("word")], draw_bucket(draw))
     fixed = counts.sparkSession.createDataFrame(list(enumerate(specials)), "id int, piece string")
-    return fixed.select("piece", "id").unionByName(
-        placed.select(F.col("word").alias("piece"), (F.col("id") + len(specials)).cast("int").alias("id")))
+    return durable(fixed.select("piece", "id").unionByName(
+        placed.select(F.col("word").alias("piece"), (F.col("id") + len(specials)).cast("int").alias("id"))))
 
 
 def vocab_report(vocab: DataFrame, names: dict[str, str], top: int = 10) -> DataFrame:

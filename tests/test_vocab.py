@@ -4,10 +4,11 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, decoders, models, pre_tokenizers, trainers
+from tokenizers import Tokenizer, decoders, models, normalizers, pre_tokenizers, trainers
 
 from codelake.functions import text as T
 from codelake.operators import unigram, vocab
+from codelake.plans.vocabularies import learn
 
 
 @pytest.fixture(scope="module")
@@ -55,7 +56,8 @@ def test_byte_bpe_equals_library(spark, texts, corpus):
         vocab_size=300, min_frequency=2, special_tokens=vocab.SPECIALS["roberta"],
         initial_alphabet=pre_tokenizers.ByteLevel.alphabet(), show_progress=False))
     model = vocab.learn_bpe(
-        counted(texts, T.words_with_space(F.col("text"))), 300, 2, vocab.SPECIALS["roberta"], kind="bytes")
+        counted(texts, T.words_with_space(F.col("text"))), 300, 2, vocab.SPECIALS["roberta"], kind="bytes",
+        all_bytes=True)
     assert {p: i for i, p in enumerate(model.pieces)} == tool.get_vocab()
 
 
@@ -128,3 +130,43 @@ def test_capped_size():
     assert unigram.capped_vocab_size(32000, 100) == 200
     assert unigram.capped_vocab_size(32000, 1000) == 500
     assert unigram.capped_vocab_size(32000, 10**6) == 2000
+
+
+def library(name, corpus, size):
+    """The same configuration in the public library, trained on whole texts or on lines."""
+    sequence, special = pre_tokenizers.Sequence, vocab.SPECIALS
+    punct, digits = pre_tokenizers.Punctuation(), pre_tokenizers.Digits(individual_digits=True)
+    accents = normalizers.Sequence([normalizers.NFD(), normalizers.StripAccents()])
+    lines = [line for text in corpus for line in (text + "\n").splitlines(keepends=True)]
+    alphabet = pre_tokenizers.ByteLevel.alphabet()
+    model, normal, splitter, specials, first, texts = {
+        "roberta_bytes": (models.BPE(), None, pre_tokenizers.ByteLevel(add_prefix_space=False), special["roberta"], alphabet, lines),
+        "bert_words": (models.BPE(), normalizers.NFKC(), pre_tokenizers.Whitespace(), special["bert"], [], corpus),
+        "code_bytes": (models.BPE(), accents, sequence([pre_tokenizers.ByteLevel(add_prefix_space=False), punct, digits]),
+                       special["code_bytes"], alphabet, corpus),
+        "marked_bytes": (models.BPE(), None, pre_tokenizers.ByteLevel(), special["marked"], [], lines),
+    }[name]
+    tool = Tokenizer(model)
+    if normal is not None:
+        tool.normalizer = normal
+    tool.pre_tokenizer = splitter
+    tool.train_from_iterator(texts, trainers.BpeTrainer(
+        vocab_size=size, min_frequency=2, special_tokens=specials, initial_alphabet=first, show_progress=False))
+    return tool.get_vocab()
+
+
+@pytest.mark.parametrize("name", ["roberta_bytes", "bert_words", "code_bytes", "marked_bytes"])
+def test_configurations_equal_library(spark, name):
+    odd = ["x = 'é'  # ﬁ 12\n\tif a<b:\n      y+=1\n", "don't  stop!\nx==y and z\n", "日本 a1b2\n"] * 3
+    rows = spark.createDataFrame(list(enumerate(odd)), "id int, text string")
+    model = learn(rows, "text", name, vocab_size=300, marked=False)
+    assert {p: i for i, p in enumerate(model.pieces)} == library(name, odd, 300)
+
+
+def test_splitters_equal_library(spark):
+    texts = ["a>b 12, c²", "x=(y)$ «q» _z", "ä1b"]
+    tool = pre_tokenizers.Sequence([
+        pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Punctuation(), pre_tokenizers.Digits(individual_digits=True)])
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = rows.select("i", T.words_punct_digits(F.col("t")).alias("w")).orderBy("i").collect()
+    assert [r.w for r in found] == [[w for w, _ in tool.pre_tokenize_str(t)] for t in texts]
