@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from codelake.catalog.base import CODE, SPLIT_SQL, documents, query, table
+from codelake.functions import code as C
 from codelake.functions import text as T
 from codelake.sources import corpus as S
 from codelake.sources.generated import generated_code
@@ -127,3 +128,19 @@ with {CODE} select submission_id,
 def words_punct_digits(spark, folder):
     return generated_code(spark, folder).select(
         "submission_id", F.array_join(T.words_punct_digits(F.col("text")), "|").alias("words"))
+
+
+@query("txt12_strip_accents", "select doc_id, strip_accents(text) as plain from documents")
+def strip_accents(spark, folder):
+    plain = C.unicode_normalize(F.col("text"), "NFD", strip_accents=True)
+    return documents(spark, folder).select("doc_id", plain.alias("plain"))
+
+
+@query("txt12_nfkc")
+def nfkc(spark, folder):
+    return documents(spark, folder).select("doc_id", C.unicode_normalize(F.col("text"), "NFKC").alias("plain"))
+
+
+@query("txt12_words_with_space")
+def words_with_space(spark, folder):
+    return documents(spark, folder).select("doc_id", F.array_join(T.words_with_space(F.col("text")), "|").alias("words"))

@@ -9,7 +9,7 @@ from codelake.catalog.encoding import COMMON
 from codelake.functions import text as T
 from codelake.operators import encode, pairs, unigram, vocab
 from codelake.plans.pairs import train_and_judge
-from codelake.plans.vocabularies import CONFIGURATIONS, learn
+from codelake.plans.vocabularies import learn
 from codelake.session import ensure_checkpoint_dir
 from codelake.sources import corpus as S
 from codelake.sources.generated import generated_code
@@ -73,12 +73,15 @@ def encode_bpe(spark, folder):
     return ids.select("doc_id", text_of("input_ids").alias("ids"))
 
 
-# One small corpus-bound vocabulary per configuration, named pieces in id order.
-for _name in CONFIGURATIONS:
+# Sizes that leave some forty pieces to learn beyond the alphabet of the rendered programs.
+CONFIGURED_SIZES = {
+    "roberta_bytes": 300, "bert_words": 110, "code_bytes": 305, "marked_bytes": 115, "wordpiece": 130,
+    "marked_unigram": 120, "sentence_unigram": 200,
+}
+for _name, _size in CONFIGURED_SIZES.items():
     @query(f"voc_configuration_{_name}")
-    def configured(spark, folder, name=_name):
-        code = generated_code(spark, folder)
-        return learn(code, "text", name, vocab_size=340).vocab(spark)
+    def configured(spark, folder, name=_name, size=_size):
+        return learn(generated_code(spark, folder), "text", name, size).vocab(spark)
 
 
 @query("voc5_vocab_report", f"""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from codelake.session import durable
 
 WINDOW_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-TOP_SALTS = 64
+TOP_SALTS = 1024
 
 
 def global_cut(

@@ -132,14 +132,26 @@ def maximise(counts: DataFrame, logp: dict) -> dict:
     return {p: _digamma(n) - total for p, n in kept.items()}
 
 
+def _rest_of_pieces(spark, logp: dict, longest: int, floor: float) -> dict[str, list[str]]:
+    """For each longer piece, how the others would spell it; empty where they cannot."""
+    @F.pandas_udf("array<string>")
+    def spelled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.map(lambda piece: best_path(piece, logp, longest, floor, without=piece))
+
+    pieces = spark.createDataFrame([(p,) for p in logp if len(p) > 1], "piece string")
+    return {r.piece: r.other for r in pieces.select("piece", spelled("piece").alias("other")).collect()}
+
+
 def prune(counts: DataFrame, logp: dict, target: int) -> dict:
     """Keep the pieces whose loss to the corpus likelihood would be largest."""
     longest, floor = max(map(len, logp)), _floor(logp)
     uses = _piece_sums(counts, lambda word: ((p, 1.0) for p in best_path(word, logp, longest, floor)))
+    others = _rest_of_pieces(counts.sparkSession, logp, longest, floor)
     total = sum(uses.values())
     losses, kept = [], {}
     for piece, score in logp.items():
-        other = best_path(piece, logp, longest, floor, without=piece) if len(piece) > 1 else []
+        other = others.get(piece)
         used = uses.get(piece, 0.0)
         if len(piece) == 1 or not other:
             kept[piece] = score
