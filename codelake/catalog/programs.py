@@ -51,6 +51,13 @@ def strip_comments_tok(spark, folder):
     return generated_code(spark, folder).select("submission_id", bare.alias("code"))
 
 
+@query("txt5_tidy_code", f"""
+with {PARTS} select submission_id, case when good then replace(printf('def f%d (a%d ):~~    if a%d >%d :~        return a%d *%d~    return "p%d"',
+ k, k, k, a, k, b, d), '~', chr(10)) else {BROKEN} end as tidy from parts""")
+def tidy_code(spark, folder):
+    return normalize.tidy_corpus(generated_code(spark, folder)).select("submission_id", "tidy")
+
+
 @query("txt3_drop_docstrings", f"""
 with {PARTS} select submission_id, case when good and k % 2 = 0 then {CLEAN} when good then printf('def f%d():', k)
  else replace(printf('def f%d(:~    return 1~', k), '~', chr(10)) end as code from parts""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from codelake.operators.ranking import running_before, with_quantile_bucket
 
+# Loss weights by pair type, the smallest temperature, and twentieths as cut-offs.
 WEIGHTS = {"hard_negative": 1.5, "semi_hard_negative": 1.3}
 MIN_TAU = 0.001
 THRESHOLDS = 20

@@ -42,6 +42,12 @@ def normalized_text(df: DataFrame, text: str = "text", to: str = "text_norm") ->
     return out.withColumn(to, T.collapse_blank_lines(renamed)).drop("_bare")
 
 
+def tidy_corpus(df: DataFrame, text: str = "text", to: str = "tidy") -> DataFrame:
+    """TXT-2 and TXT-5, light variant: unreadable texts keep their comments; then a tidy layout."""
+    bare = F.coalesce(C.strip_comments_tok(F.col(text)), F.col(text))
+    return df.withColumn("_bare", bare).withColumn(to, T.tidy_layout(F.col("_bare"))).drop("_bare")
+
+
 def normalize_corpus(df: DataFrame, order: str, text: str = "text") -> DataFrame:
     """NRM-1: normalised text with its hash and sizes, first row per hash.
 

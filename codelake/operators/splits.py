@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from codelake.functions.keys import draw_bucket, draw_key
 from codelake.operators.ranking import global_cut, group_cuts, upto_cut
+from codelake.operators.skew import lookup_join
 from codelake.session import durable
 
+BROADCAST_LABELS = 100_000
+
 
 def holdout_size(total: int, ratio: float, rounding: str = "ceil") -> int:
     """``ceil`` of the share, or its ``floor`` but at least one."""
@@ -56,13 +59,18 @@ def _quotas(sizes: DataFrame, total: int, label: str, ratio: float, seed) -> Dat
     return shares.select(label, (F.col("n") - F.col("_floor") - raised.cast("int")).alias("want"))
 
 
-def _held_by_label(df: DataFrame, label: str, key: str, ratio: float, seed, sizes: DataFrame, total: int) -> DataFrame:
+def _held_by_label(
+    df: DataFrame, label: str, key: str, ratio: float, seed, sizes: DataFrame, total: int, labels: int
+) -> DataFrame:
     """``df`` with boolean ``_held``: seeded rows up to each label's quota."""
     order, bucket = _order(seed, key)
     order[0] = order[0].alias("draw")
     cuts = group_cuts(df.where(F.col(label).isNotNull()), order, bucket, _quotas(sizes, total, label, ratio, seed), [label])
-    # one row per label: broadcast by the planner when small, skewed partitions are split otherwise
-    joined = df.join(cuts, label, "left")
+    # one row per label: broadcast while there are few labels, else a join that deals hot labels
+    if labels <= BROADCAST_LABELS:
+        joined = df.join(F.broadcast(cuts), label, "left")
+    else:
+        joined = lookup_join(df, cuts, [label], spread=[key], how="left", counts=sizes)
     draw, at = draw_key(seed, key), F.col("cut")
     held = (draw < at["draw"]) | ((draw == at["draw"]) & (F.col(key) <= at[key]))
     return joined.withColumn("_held", F.coalesce(held, F.lit(False))).drop("cut")
@@ -76,8 +84,8 @@ def _held_at_random(df: DataFrame, key: str, ratio: float, seed) -> DataFrame:
 
 def split_stratified(df: DataFrame, label: str, key: str, ratio: float, seed) -> DataFrame:
     """SPL-2: the label ratio is kept; one label alone is a plain random split."""
-    sizes, total, _, _ = _label_sizes(df, label)
-    held = _held_by_label(df, label, key, ratio, seed, sizes, total)
+    sizes, total, labels, _ = _label_sizes(df, label)
+    held = _held_by_label(df, label, key, ratio, seed, sizes, total, labels)
     return held.withColumn("split", F.when(F.col("_held"), "validation").otherwise("train")).drop("_held")
 
 
@@ -87,7 +95,7 @@ def _stratified_or_random(df: DataFrame, label: str, key: str, ratio: float, see
     wanted = allowed and labels > 1 and rarest >= 2
     held = math.ceil(total * ratio)
     if wanted and min(held, total - held) >= labels:
-        return _held_by_label(df, label, key, ratio, seed, sizes, total), wanted
+        return _held_by_label(df, label, key, ratio, seed, sizes, total, labels), wanted
     return _held_at_random(df, key, ratio, seed), wanted
 
 

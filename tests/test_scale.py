@@ -156,3 +156,46 @@ def test_no_group_reaches_one_task_in_auc(spark):
     pos, neg = points[points.y == 1].s, points[points.y == 0].s
     wanted = sum((p > neg).sum() + (p == neg).sum() / 2 for p in pos) / (len(pos) * len(neg))
     assert abs(evaluate.roc_auc(rows, "y", "s").first().auc - wanted) < 1e-9
+
+
+def test_many_labels_take_the_salted_join(spark, monkeypatch):
+    rows = hot_rows(spark)
+    few = splits.split_stratified(rows, "problem_id", "id", 0.2, 5)
+    monkeypatch.setattr(splits, "BROADCAST_LABELS", 0)
+    many = splits.split_stratified(rows, "problem_id", "id", 0.2, 5)
+    assert {tuple(sorted(r.asDict().items())) for r in few.collect()} == {
+        tuple(sorted(r.asDict().items())) for r in many.collect()}
+    assert few.where("split = 'validation'").count() == 180
+
+
+def test_splits_do_not_depend_on_partitions(spark):
+    rows = hot_rows(spark)
+    results = [
+        {(r.id, r.split) for r in splits.split_random(rows.repartition(n), "id", 0.1, 9).collect()} for n in (1, 4, 32)]
+    assert results[0] == results[1] == results[2]
+    assert sum(s == "validation" for _, s in results[0]) == 90
+
+
+def test_propagation_by_matrices(spark):
+    import numpy as np
+
+    from codelake.operators import graph
+
+    parents = {1: [-1, 0, 0, 1, 1, 3], 2: [-1], 3: [-1, 0]}
+    kinds = {1: "abcaba", 2: "a", 3: "bb"}
+    rows = [(d, i, kinds[d][i], p) for d, ps in parents.items() for i, p in enumerate(ps)]
+    nodes = spark.createDataFrame(rows, "doc int, nid int, type string, parent int")
+    found = {(r.doc, r.type): r.value for r in graph.propagate(nodes, graph.syntax_edges(nodes)).collect()}
+    for doc, ps in parents.items():
+        size = len(ps)
+        joined = np.eye(size)
+        for child, parent in enumerate(ps):
+            if parent >= 0:
+                joined[child, parent] = joined[parent, child] = 1
+        scale = np.diag(joined.sum(axis=1) ** -0.5)
+        names = sorted(set(kinds[doc]))
+        x = np.array([[float(k == n) for n in names] for k in kinds[doc]])
+        smooth = scale @ joined @ scale
+        mean = (smooth @ smooth @ x).mean(axis=0)
+        mean /= np.linalg.norm(mean)
+        assert all(abs(found[doc, n] - v) < 1e-9 for n, v in zip(names, mean))
