@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from codelake.functions.keys import draw_words
+from codelake.functions.keys import draw_digest, draw_word
 
 IGNORE = -100
 
@@ -93,19 +93,19 @@ def mask_mlm(ids, seed, key, vocab_size: int, mask_id: int, protected: tuple[int
     def share(x):
         return int(round(x * SHARE_UNIT))
 
-    def masked(x, i):
-        choose, how, which = draw_words(seed, _col(key), i)
-        return F.struct(x.alias("x"), choose.alias("choose"), how.alias("how"), which.alias("which"))
+    def drawn(x, i):
+        return F.struct(x.alias("x"), draw_digest(seed, _col(key), i).alias("digest"))
 
     def outcome(t):
-        chosen = (t["choose"] < share(p)) & ~t["x"].isin(*protected)
-        random_id = F.pmod(t["which"], F.lit(vocab_size)).cast("int")
-        replaced = F.when(t["how"] < share(0.8), F.lit(mask_id)).when(t["how"] < share(0.9), random_id)
+        choose, how, which = (draw_word(t["digest"], place) for place in range(3))
+        chosen = ~t["x"].isin(*protected) & (choose < share(p))
+        random_id = F.pmod(which, F.lit(vocab_size)).cast("int")
+        replaced = F.when(how < share(0.8), F.lit(mask_id)).when(how < share(0.9), random_id)
         return F.struct(
             F.when(chosen, F.coalesce(replaced, t["x"])).otherwise(t["x"]).alias("input"),
             F.when(chosen, t["x"]).otherwise(F.lit(IGNORE)).alias("label"))
 
-    return F.transform(F.transform(_col(ids), masked), outcome)
+    return F.transform(F.transform(_col(ids), drawn), outcome)
 
 
 def rtd_labels(original, replaced, attention, specials: tuple[int, ...]) -> Column:

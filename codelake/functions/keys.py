@@ -13,7 +13,8 @@ KEY_BITS = 60
 BUCKET_BITS = 10
 
 
-def _digest(seed, *parts) -> Column:
+def draw_digest(seed, *parts) -> Column:
+    """The digest all draws for (seed, parts) are taken from."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(p) if isinstance(p, str) else p for p in parts]))
 
 
@@ -23,7 +24,7 @@ def _hex_to_long(digits: Column) -> Column:
 
 def draw_key(seed, *parts) -> Column:
     """A 60-bit uniform integer for (seed, parts)."""
-    return _hex_to_long(F.substring(_digest(seed, *parts), 1, KEY_BITS // 4))
+    return _hex_to_long(F.substring(draw_digest(seed, *parts), 1, KEY_BITS // 4))
 
 
 def draw_bucket(key: Column) -> Column:
@@ -31,7 +32,6 @@ def draw_bucket(key: Column) -> Column:
     return F.shiftright(key, KEY_BITS - BUCKET_BITS).cast("int")
 
 
-def draw_words(seed, *parts) -> list[Column]:
-    """Three independent 32-bit draws from one digest."""
-    digest = _digest(seed, *parts)
-    return [_hex_to_long(F.substring(digest, start, 8)) for start in (1, 9, 17)]
+def draw_word(digest: Column, place: int) -> Column:
+    """One of three independent 32-bit draws (place 0, 1, 2) of a digest."""
+    return _hex_to_long(F.substring(digest, 8 * place + 1, 8))

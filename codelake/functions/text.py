@@ -17,7 +17,8 @@ _BEFORE_COMMENT = (
 
 
 def trim_right(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U){BLANK}+\z", "")
+    # tried only where a run of blanks begins
+    return F.regexp_replace(text, rf"(?U)(?<!{BLANK}){BLANK}++\z", "")
 
 
 def trim(text: Column) -> Column:
@@ -30,10 +31,11 @@ def is_blank(text: Column) -> Column:
 
 def strip_comments_scan(code: Column) -> Column:
     """TXT-1: cut each line at its first unquoted ``#`` and trim it on the right."""
-    lines = F.split(code, "\n", -1)
-    return F.array_join(
-        F.transform(lines, lambda line: trim_right(F.regexp_replace(line, _BEFORE_COMMENT, "$1"))), "\n"
-    )
+    def cut(line):
+        marked = F.contains(line, F.lit("#"))
+        return trim_right(F.when(marked, F.regexp_replace(line, _BEFORE_COMMENT, "$1")).otherwise(line))
+
+    return F.array_join(F.transform(F.split(code, "\n", -1), cut), "\n")
 
 
 def strip_comments_fallback(code: Column) -> Column:
