@@ -202,6 +202,11 @@ def node_types() -> list[str]:
     return sorted(found)
 
 
+def _once(job):
+    """Keep filters on a job's result above it: pushed below, they would run the job a second time."""
+    return job.asNondeterministic()
+
+
 def code_facts(text: Column, *wanted: str) -> Column:
     """A struct column with the wanted entries of ``FACTS``."""
     schema = ", ".join(f"{name} {FACTS[name]}" for name in wanted)
@@ -210,7 +215,7 @@ def code_facts(text: Column, *wanted: str) -> Column:
     def facts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield from _per_batch(batches, lambda text: _facts_of(text, wanted), wanted)
 
-    return facts(text)
+    return _once(facts)(text)
 
 
 def _token_stream(text):
@@ -232,7 +237,7 @@ def strip_comments_tok(text: Column) -> Column:
     def stripped(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield from _per_batch(batches, _drop_comment_tokens, ["text"])
 
-    return stripped(text)["text"]
+    return _once(stripped)(text)["text"]
 
 
 def mark_structure(text: Column, keep_comments: bool = False, normalize_literals: bool = True) -> Column:
@@ -258,7 +263,7 @@ def mark_structure(text: Column, keep_comments: bool = False, normalize_literals
     def job(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield from _per_batch(batches, marked, ["text"])
 
-    return job(text)["text"]
+    return _once(job)(text)["text"]
 
 
 def unicode_normalize(text: Column, form: str = "NFKC", strip_accents: bool = False) -> Column:

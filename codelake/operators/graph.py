@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codelake.functions.code import code_facts, node_types
+from codelake.session import durable
 
 
 def syntax_nodes(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -31,6 +32,12 @@ def syntax_edges(nodes: DataFrame) -> DataFrame:
     return nodes.where("parent >= 0").select("doc", F.inline(links))
 
 
+def syntax_graph(df: DataFrame, key: str, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """GRF-1: node and edge tables; the nodes are stored, since every later step reads them."""
+    nodes = durable(syntax_nodes(df, key, text))
+    return nodes, syntax_edges(nodes)
+
+
 def propagate(nodes: DataFrame, edges: DataFrame, rounds: int = 2) -> DataFrame:
     """GRF-2: smooth one-hot node types over the graph, mean per document, unit length.
 
