@@ -46,13 +46,13 @@ def propagate(nodes: DataFrame, edges: DataFrame, rounds: int = 2) -> DataFrame:
     per node, summed by type at the end, replace r rounds on a vector per node.
     """
     at = ["doc", "nid"]
-    loops = nodes.select("doc", F.col("nid").alias("src"), F.col("nid").alias("dst"))
-    links = edges.select("doc", "src", "dst").unionByName(loops)
-    state = links.groupBy("doc", F.col("src").alias("nid")).agg(
-        (1 / F.sqrt(F.count(F.lit(1)))).alias("scale")).withColumn("x", F.lit(1.0))
+    ends = edges.select("doc", F.col("src").alias("nid")).unionByName(nodes.select(*at))
+    state = ends.groupBy(*at).agg((1 / F.sqrt(F.count(F.lit(1)))).alias("scale")).withColumn("x", F.lit(1.0))
     for _ in range(rounds):
-        sent = state.select("doc", F.col("nid").alias("src"), (F.col("x") * F.col("scale")).alias("sent"))
-        got = links.join(sent, ["doc", "src"]).groupBy("doc", F.col("dst").alias("nid")).agg(F.sum("sent").alias("got"))
+        own = state.select(*at, (F.col("x") * F.col("scale")).alias("sent"))
+        across = edges.join(own.withColumnRenamed("nid", "src"), ["doc", "src"])
+        got = across.select("doc", F.col("dst").alias("nid"), "sent").unionByName(own).groupBy(*at).agg(
+            F.sum("sent").alias("got"))
         state = state.join(got, at).select(*at, "scale", (F.col("got") * F.col("scale")).alias("x"))
     by_type = nodes.join(state, at).groupBy("doc", "type").agg(F.sum("x").alias("sum"))
     # the mean's 1/N cancels in the unit length
