@@ -38,7 +38,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budget: floa
     level = (F.sum("source_size").over(everything) * F.lit(budget) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))) / (
         F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
     levels = known.withColumn("level", level).withColumn("stops", F.col("limit") <= F.col("level") * F.col("weight"))
-    final = F.min(F.when(~F.col("stops"), F.col("level"))).over(everything)
+    final = F.max(F.when(~F.col("stops"), F.col("level"))).over(everything)  # levels rise up to it, then fall
     target = F.when(F.col("stops"), F.col("limit")).otherwise(final * F.col("weight"))
     return levels.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 

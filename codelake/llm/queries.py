@@ -46,7 +46,7 @@ f as (select *, (sum(source_size) over () * 1.5::DOUBLE - coalesce(sum(most) ove
   / (sum(weight) over () - coalesce(sum(weight) over before, 0)) as level
  from k window before as (order by most / weight, source nulls last rows between unbounded preceding and 1 preceding)),
 t as (select source, source_size, case when most <= level * weight then most
-  else min(case when most <= level * weight then null else level end) over () * weight end as target from f),
+  else max(case when most <= level * weight then null else level end) over () * weight end as target from f),
 r as (select d.doc_id, d.size, d.draw, t.source, t.source_size, t.target,
   case when t.source_size > 0 then floor(t.target / t.source_size)::BIGINT else 0 end as whole
  from d join t on d.source is not distinct from t.source),
