@@ -12,6 +12,7 @@ from codelake.session import durable
 from codelake.sources.generated import generated_code
 
 PAD, CLS, SEP, MASK = 0, 1, 2, 3
+KEYWORD_LIST = ",".join(f"'{k}'" for k in T.KEYWORDS)
 JOIN = "array_to_string({}, ',')"
 
 
@@ -72,12 +73,11 @@ def encode_pair_cut_right(spark, folder):
 
 
 @query("enc3_pad_to_eight", f"""
-with {ENCODED}, c as (select doc_id, ids[1:100] as ids from encoded), p as (
- select doc_id, len(ids) as n, ids || [0 for i in range(0, (ceil(len(ids) / 8.0) * 8)::BIGINT - len(ids))] as ids from c)
+with {ENCODED}, p as (
+ select doc_id, len(ids) as n, ids || [0 for i in range(0, (ceil(len(ids) / 8.0) * 8)::BIGINT - len(ids))] as ids from encoded)
 select doc_id, array_to_string(ids, ',') as ids, array_to_string([(x <> 0)::INTEGER for x in ids], ',') as mask from p""")
 def pad_to_eight(spark, folder):
-    cut = encoded(spark, folder).withColumn("ids", A.truncate("ids", 100))
-    padded = cut.withColumn("ids", A.pad("ids", A.round_up(F.size("ids")), PAD))
+    padded = encoded(spark, folder).withColumn("ids", A.pad("ids", A.round_up(F.size("ids")), PAD))
     return padded.select("doc_id", text_of("ids").alias("ids"), text_of(A.attention_mask("ids", PAD)).alias("mask"))
 
 
@@ -126,19 +126,19 @@ def rtd_labels(spark, folder):
 
 
 @query("enc6_role_batch", f"""
-with w as (select doc_id, ['[CLS]'] || {SPLIT_SQL}[1:30] || ['[SEP]'] as w from documents),
-r as (select doc_id, len(w) as n, [case when x in ('[CLS]', '[SEP]') then 6 when lower(x) in ('is', 'in', 'and', 'or', 'not', 'as', 'with', 'for', 'from', 'if', 'else', 'while', 'def', 'class', 'return', 'elif', 'try', 'except', 'finally', 'import', 'pass', 'break', 'continue', 'lambda', 'yield', 'global', 'nonlocal', 'assert', 'raise', 'del', 'true', 'false', 'none') then 2
+with w as (select doc_id, ['[CLS]'] || {SPLIT_SQL} || ['[SEP]'] as w from documents),
+r as (select doc_id, len(w) as n, [case when x in ('[CLS]', '[SEP]') then 6 when lower(x) in ({KEYWORD_LIST}) then 2
  when regexp_full_match(x, '\\d+(\\.\\d+)?') then 5 when length(x) >= 2 and left(x, 1) in ('''', '"') then 5
  when regexp_full_match(x, '[-()\\[\\]{{}},:.;+*/%=!<>&|^~@]+') then 4 else 3 end for x in w] as roles from w)
-select doc_id, array_to_string(roles || [0 for i in range(0, 32 - n)], ',') as role_ids,
- array_to_string(roles || [-100 for i in range(0, 32 - n)], ',') as role_labels,
+select doc_id, array_to_string(roles || [0 for i in range(0, (ceil(n / 8.0) * 8)::BIGINT - n)], ',') as role_ids,
+ array_to_string(roles || [-100 for i in range(0, (ceil(n / 8.0) * 8)::BIGINT - n)], ',') as role_labels,
  n::BIGINT as attended from r""")
 def role_batch(spark, folder):
-    words = F.slice(T.words_by_space(F.col("text")), 1, 30)
+    words = T.words_by_space(F.col("text"))
     rows = table(spark, folder, "documents").select(
         "doc_id", F.concat(F.array(F.lit("[CLS]")), words, F.array(F.lit("[SEP]"))).alias("tokens"))
     rows = rows.withColumn("ids", F.transform("tokens", lambda w: (F.pmod(draw_key("id", w), F.lit(995)) + 5).cast("int")))
-    out = encode.role_batch(rows, "tokens", "ids", 32, PAD)
+    out = encode.role_batch(rows, "tokens", "ids", A.round_up(F.size("ids")), PAD)
     attended = F.aggregate("attention_mask", F.lit(0).cast("long"), lambda s, x: s + x)
     return out.select(
         "doc_id", text_of("role_ids").alias("role_ids"), text_of("role_labels").alias("role_labels"),
@@ -146,12 +146,12 @@ def role_batch(spark, folder):
 
 
 @query("win2_pack_blocks", f"""
-with {ENCODED}, e as (select doc_id // 100 as shard, doc_id, unnest(ids) as x, unnest(range(0, len(ids))) as i from encoded),
+with {ENCODED}, e as (select doc_id // 1000 as shard, doc_id, unnest(ids) as x, unnest(range(0, len(ids))) as i from encoded),
 p as (select shard, x, row_number() over (partition by shard order by doc_id, i) - 1 as place from e),
 b as (select shard, place // 512 as block, string_agg(x::VARCHAR, ',' order by place) as ids, count(*) as n from p group by all)
 select shard, block, ids from b where n = 512""")
 def pack_blocks(spark, folder):
-    rows = encoded(spark, folder).withColumn("shard", F.floor(F.col("doc_id") / 100))
+    rows = encoded(spark, folder).withColumn("shard", F.floor(F.col("doc_id") / 1000))
     packed = encode.pack_blocks(rows, "shard", "doc_id", "ids", 512)
     return packed.select("shard", "block", text_of("input_ids").alias("ids"))
 
@@ -182,7 +182,7 @@ def token_violations(spark, folder):
 WORDS = rf"regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\s]+')"
 COMMON = f"""
 {CODE}, counted as (select w as word, count(*) as freq from (select unnest({WORDS}) as w from code) group by w),
-v as (select word, 1 + row_number() over (order by {key_sql('vocab', 'word')}, word) as id from counted where freq >= 20)"""
+v as (select word, 1 + row_number() over (order by {key_sql('vocab', 'word')}, word) as id from counted where freq >= 1)"""
 
 
 @query("join10_lookup_pieces", f"""
@@ -192,7 +192,7 @@ from e left join v on v.word = e.word group by submission_id""")
 def lookup_pieces(spark, folder):
     code = generated_code(spark, folder).select("submission_id", "text")
     counts = durable(vocab.word_counts(code, T.words(F.col("text"))))
-    words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 20)
+    words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 1)
     pieces = words.select(F.col("piece").alias("word"), F.array("id").alias("ids"))
     out = encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1, counts=counts)
     return out.select("submission_id", text_of("input_ids").alias("ids"))
@@ -205,7 +205,7 @@ from e left join v on v.word = e.word group by submission_id""")
 def decode(spark, folder):
     code = generated_code(spark, folder).select("submission_id", "text")
     counts = durable(vocab.word_counts(code, T.words(F.col("text"))))
-    words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 20)
+    words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 1)
     pieces = words.select(F.col("piece").alias("word"), F.array("id").alias("ids"))
     ids = durable(encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1, counts=counts))
     return encode.decode(ids, "submission_id", "input_ids", words)

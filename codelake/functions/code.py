@@ -14,6 +14,7 @@ import io
 import platform
 import tokenize
 import unicodedata
+from collections import ChainMap, Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -62,14 +63,45 @@ def name_free(tree: ast.AST) -> ast.AST:
     return tree
 
 
-class _Frame:
-    """Names bound and names protected in one scope; aliases count up from one."""
+def name_events(node: ast.AST):
+    """TXT-7: what happens to names, in reading order: (event, where, field or label).
 
-    def __init__(self, letter):
-        self.letter, self.alias, self.kept = letter, {}, set()
-
-    def bind(self, name):
-        return self.alias.setdefault(name, f"{self.letter}{len(self.alias) + 1}")
+    ``open`` and ``close`` a scope; ``bind`` or ``read`` the name in a field; ``claim`` or ``keep`` a name as such.
+    A bare name that is a whole assigned value, or that an attribute is taken from, has no event.
+    """
+    below = ast.iter_child_nodes(node)
+    if isinstance(node, ast.Name):
+        yield ("read" if isinstance(node.ctx, ast.Load) else "bind"), node, "id"
+        return
+    if isinstance(node, (ast.Import, ast.ImportFrom)):
+        for given in node.names:
+            shown = given.name if isinstance(node, ast.ImportFrom) else given.name.split(".")[0]
+            yield "keep", given.asname or shown, None
+        return
+    label = {ast.FunctionDef: "func", ast.ClassDef: "Cls"}.get(type(node))
+    if label:
+        yield "open", node, label
+    if label == "func":
+        a = node.args
+        yield from (("bind", arg, "arg") for arg in [*a.posonlyargs, *a.args, *a.kwonlyargs, a.vararg, a.kwarg] if arg)
+    if isinstance(node, ast.Attribute):
+        below = ast.iter_child_nodes(node.value)
+    if isinstance(node, ast.Assign):
+        yield from (e for child in ast.iter_child_nodes(node.value) for e in name_events(child))
+        for target in node.targets:
+            todo = [target]
+            while todo:
+                part = todo.pop(0)
+                if isinstance(part, ast.Name):
+                    yield "claim", part.id, None
+                elif isinstance(part, (ast.Tuple, ast.List)):
+                    todo[:0] = part.elts
+            yield from name_events(target)
+        return
+    for child in below:
+        yield from name_events(child)
+    if label:
+        yield "close", node, None
 
 
 def scope_renamed(tree: ast.AST) -> ast.AST:
@@ -79,59 +111,25 @@ def scope_renamed(tree: ast.AST) -> ast.AST:
     classes at their uses, a bare name that is a whole assigned value, a bare name
     an attribute is taken from, and everything async functions declare.
     """
-    made = {"func": 0, "Cls": 0}
-
-    def read(name, frames):
-        if name in vars(builtins) or any(name in f.kept for f in frames):
-            return name
-        return next((f.alias[name] for f in reversed(frames) if name in f.alias), name)
-
-    def children(node, frames):
-        for child in ast.iter_child_nodes(node):
-            visit(child, frames)
-
-    def open_scope(node, frames, label):
-        made[label] += 1
-        node.name = f"{label}{made[label]}"
-        inner = _Frame("v")
-        if label == "func":
-            given = node.args
-            for arg in (*given.posonlyargs, *given.args, *given.kwonlyargs, given.vararg, given.kwarg):
-                if arg is not None:
-                    arg.arg = inner.bind(arg.arg)
-        children(node, [*frames, inner])
-
-    def bind_targets(target, frame):
-        if isinstance(target, ast.Name):
-            frame.bind(target.id)
-        elif isinstance(target, (ast.Tuple, ast.List)):
-            for part in target.elts:
-                bind_targets(part, frame)
-
-    def visit(node, frames):
-        match node:
-            case ast.Name(ctx=ast.Load()):
-                node.id = read(node.id, frames)
-            case ast.Name():
-                node.id = frames[-1].bind(node.id)
-            case ast.Import() | ast.ImportFrom():
-                whole = isinstance(node, ast.ImportFrom)
-                frames[-1].kept.update(a.asname or (a.name if whole else a.name.partition(".")[0]) for a in node.names)
-            case ast.FunctionDef():
-                open_scope(node, frames, "func")
-            case ast.ClassDef():
-                open_scope(node, frames, "Cls")
-            case ast.Attribute():
-                children(node.value, frames)
-            case ast.Assign():
-                children(node.value, frames)
-                for target in node.targets:
-                    bind_targets(target, frames[-1])
-                    visit(target, frames)
-            case _:
-                children(node, frames)
-
-    visit(tree, [_Frame("g")])
+    aliases, kept, made = ChainMap(), ChainMap(dict.fromkeys(vars(builtins))), Counter()
+    for event, where, field in [*name_events(tree)]:
+        scope = "v" if len(aliases.maps) > 1 else "g"
+        if event == "open":
+            made[field] += 1
+            where.name = f"{field}{made[field]}"
+            aliases, kept = aliases.new_child(), kept.new_child()
+        elif event == "close":
+            aliases, kept = aliases.parents, kept.parents
+        elif event == "keep":
+            kept[where] = None
+        elif event == "read":
+            if where.id not in kept:
+                where.id = aliases.get(where.id, where.id)
+        else:
+            own, name = aliases.maps[0], where if event == "claim" else getattr(where, field)
+            alias = own.setdefault(name, f"{scope}{len(own) + 1}")
+            if event == "bind":
+                setattr(where, field, alias)
     return tree
 
 

@@ -154,10 +154,13 @@ def words_with_space(text: Column) -> Column:
 # Role ids.
 ROLES = {"PAD": 0, "UNK": 1, "KEYWORD": 2, "IDENTIFIER": 3, "OP": 4, "LITERAL": 5, "SEP": 6}
 SPECIALS = ("[PAD]", "[CLS]", "[SEP]", "[MASK]", "[UNK]")
-KEYWORDS = (
-    "def class return if elif else for while try except finally with as import from pass break "
-    "continue lambda yield global nonlocal assert raise del in is not and or true false none"
-).split()
+KEYWORDS = [
+    "def", "class", "return", "if", "elif", "else", "for", "while", "try", "except", "finally", "with", "as",
+    "import", "from", "pass", "break", "continue", "lambda", "yield", "global", "nonlocal", "assert", "raise", "del",
+    "in", "is", "not", "and", "or", "true", "false", "none",
+]
+# Fixed value: characters of operators.
+OPERATOR = r"[-()\[\]{},:.;+*/%=!<>&|^~@]"
 
 
 def role_of(token: Column) -> Column:
@@ -166,7 +169,7 @@ def role_of(token: Column) -> Column:
         .when(F.lower(token).isin(*KEYWORDS), ROLES["KEYWORD"])
         .when(F.regexp_like(token, F.lit(r"(?U)\A\d+(\.\d+)?\z")), ROLES["LITERAL"])
         .when(F.regexp_like(token, F.lit(r"""\A['"][\s\S]""")), ROLES["LITERAL"])
-        .when(F.regexp_like(token, F.lit(r"\A[-()\[\]{},:.;+*/%=!<>&|^~@]+\z")), ROLES["OP"])
+        .when(F.regexp_like(token, F.lit(rf"\A{OPERATOR}+\z")), ROLES["OP"])
         .otherwise(ROLES["IDENTIFIER"])
         .cast("int")
     )

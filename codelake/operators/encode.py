@@ -87,8 +87,8 @@ def bucket_by_length(df: DataFrame, key: str, ids: str, seed, batch_size: int, s
     return batched.withColumn("padded_length", A.round_up(longest, step))
 
 
-def role_batch(df: DataFrame, tokens: str, ids: str, length: int, pad_id: int = 0) -> DataFrame:
-    """ENC-6: aligned, padded input ids, role ids, mask and role labels."""
+def role_batch(df: DataFrame, tokens: str, ids: str, length, pad_id: int = 0) -> DataFrame:
+    """ENC-6: aligned input ids, role ids, mask and role labels, padded to ``length`` (a number or a column)."""
     return (
         df.withColumn("role_ids", A.pad(T.role_tags(F.col(tokens)), length, T.ROLES["PAD"]))
         .withColumn("input_ids", A.pad(ids, length, pad_id))

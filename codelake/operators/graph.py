@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +42,38 @@ def syntax_graph(df: DataFrame, key: str, text: str = "text") -> tuple[DataFrame
     return nodes, syntax_edges(nodes)
 
 
+def propagate_rows(df: DataFrame, key: str, text: str = "text", rounds: int = 2) -> DataFrame:
+    """GRF-2 for graphs that lie whole in their rows: (doc, type, value) without a shuffle.
+
+    The graph of a program is local to its row, so degrees and rounds are counted on its parent positions where the row
+    lies. ``propagate`` does the same for node and edge tables of any graph.
+    """
+
+    @F.pandas_udf("array<struct<type:string,value:double>>")
+    def smoothed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for graphs in batches:
+            yield pd.Series([type_shares(t, np.asarray(p), rounds) for t, p in zip(graphs["types"], graphs["parents"])])
+
+    graph = df.select(F.col(key).alias("doc"), code_facts(F.col(text), "graph")["graph"].alias("g"))
+    return graph.select("doc", F.inline(smoothed("g")))
+
+
+def type_shares(types: list[str], parents: np.ndarray, rounds: int) -> list[dict]:
+    """Values by type of one graph: one number per node goes to its neighbours and back."""
+    child = np.flatnonzero(parents >= 0)
+    parent = parents[child]
+    degree = 1 + np.bincount(parent, minlength=len(parents)) + (parents >= 0)
+    scale, x = 1 / np.sqrt(degree), np.ones(len(parents))
+    for _ in range(rounds):
+        sent = x * scale
+        got = sent + np.bincount(parent, sent[child], len(parents))
+        got[child] += sent[parent]
+        x = got * scale
+    names, which = np.unique(np.asarray(types, dtype=str), return_inverse=True)
+    sums = np.bincount(which, x)
+    return [{"type": str(n), "value": float(v)} for n, v in zip(names, sums / np.sqrt((sums * sums).sum()))]
+
+
 def propagate(nodes: DataFrame, edges: DataFrame, rounds: int = 2) -> DataFrame:
     """GRF-2: smooth one-hot node types over the graph, mean per document, unit length.
 

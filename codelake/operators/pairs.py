@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codelake.functions.keys import draw_bucket, draw_key
-from codelake.operators.ranking import position, range_bucket, take_first
+from codelake.operators.ranking import first_n_per_group, position, range_bucket, take_first
 from codelake.session import durable
 
 PAIR_COUNT = (
@@ -139,20 +139,26 @@ def build_pairs(df: DataFrame, key: str, cap: int = 250, ratio: float = 1.0, see
     return positives.unionByName(negatives)
 
 
-def mine_pairs(df: DataFrame, key: str, cap: int = 250, seed=42, hash_col: str = "structure_sha256") -> DataFrame:
+def mine_pairs(df: DataFrame, key: str, cap: int = 250, seed=42, hash_col: str = "structure_sha256",
+               per_problem: int | None = 1) -> DataFrame:
     """JOIN-9: positive, hard_negative and semi_hard_negative tiers, each capped per group.
 
-    Semi-hard pairs join different problems that share a structure; each problem is
-    represented by its first row with that structure.
+    Semi-hard pairs join different problems that share a structure. Each problem is represented by its first
+    ``per_problem`` rows with that structure, all of them for None; draws that meet one problem twice are left out.
     """
     accepted, wrong = df.where("status = 'Accepted'"), df.where("status = 'Wrong Answer'")
     positive = positive_pairs(accepted, key, cap, f"{seed}:p").select("id1", "id2", F.lit("positive").alias("pair_type"))
     hard = crossed_pairs(accepted, wrong, key, cap, f"{seed}:h").select(
         "id1", "id2", F.lit("hard_negative").alias("pair_type"))
     # a small id table that is read several times below, made from costly hashes
-    representatives = durable(
-        df.where(F.col(hash_col).isNotNull()).groupBy(hash_col, "problem_id").agg(F.min(key).alias(key)))
-    semi = positive_pairs(representatives, key, cap, f"{seed}:s", by=hash_col).select(
-        "id1", "id2", F.lit("semi_hard_negative").alias("pair_type"))
+    shaped = df.where(F.col(hash_col).isNotNull()).select(hash_col, "problem_id", key)
+    if per_problem is not None:
+        shaped = first_n_per_group(shaped, [hash_col, "problem_id"], [F.col(key)], per_problem)
+    representatives = durable(shaped)
+    semi = positive_pairs(representatives, key, cap, f"{seed}:s", by=hash_col).select("id1", "id2")
+    if per_problem != 1:
+        of = representatives.select(key, "problem_id")
+        semi = semi.join(of.toDF("id1", "_p1"), "id1").join(of.toDF("id2", "_p2"), "id2").where("_p1 <> _p2").select("id1", "id2")
+    semi = semi.withColumn("pair_type", F.lit("semi_hard_negative"))
     return positive.unionByName(hard).unionByName(semi)
 

@@ -12,11 +12,14 @@ from collections.abc import Callable
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from codelake.session import durable
 
 WINDOW_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 TOP_SALTS = 1024
+#: Rows of a cut's bucket that one task sorts; a larger bucket is cut again.
+SORTED_ROWS = 1_000_000
 
 
 def global_cut(
@@ -39,11 +42,28 @@ def global_cut(
             break
         nth -= n
     names = [f"_o{i}" for i in range(len(order))]
-    ranked = keyed.where(F.col("_bucket") == at).withColumn(
+    edge, n, nth = refined(keyed.where(F.col("_bucket") == at), n, nth)
+    ranked = edge.withColumn(
         "_nth", F.row_number().over(Window.partitionBy("_bucket").orderBy(*names)))
     return tuple(ranked.where(F.col("_nth") == nth).select(*names).first())
 
 
+def refined(edge: DataFrame, n: int, nth: int) -> tuple[DataFrame, int, int]:
+    """Narrow the bucket of a cut, by histograms over its range of the first order value, until a task can sort it."""
+    while n > SORTED_ROWS and isinstance(edge.schema["_o0"].dataType, LongType):
+        low, high = edge.agg(F.min("_o0"), F.max("_o0")).first()
+        if low == high:
+            break
+        shift = max((high - low).bit_length() - 10, 0)
+        parts = F.shiftright(F.col("_o0") - F.lit(low), shift)
+        for at, n in sorted(map(tuple, edge.groupBy(parts.alias("at")).agg(F.count(F.lit(1))).collect())):
+            if nth <= n:
+                break
+            nth -= n
+        edge = edge.where(parts == at)
+    return edge, n, nth
+
+
 def upto_cut(order: list[Column], cut: tuple | None) -> Column:
     """True for rows up to the cut; no cut keeps none."""
     if cut is None:
@@ -126,7 +146,13 @@ def range_bucket(value: Column, low: Column, high: Column, buckets: int = 1024)
 
 
 def with_quantile_bucket(rows: DataFrame, value: str, to: str, buckets: int = 1024) -> DataFrame:
-    """Near-equal buckets that keep the order of any number, cut at approximate quantiles."""
+    """Near-equal buckets that keep the order of a number or string, cut at approximate quantiles.
+
+    A string counts by its first six bytes, which a double holds exactly.
+    """
+    if isinstance(rows.schema[value].dataType, StringType):
+        lead = F.rpad(F.hex(F.substring(F.encode(F.col(value), "UTF-8"), 1, 6)), 12, "0")
+        return with_quantile_bucket(rows.withColumn("_lead", F.conv(lead, 16, 10).cast("long")), "_lead", to, buckets).drop("_lead")
     steps = [i / buckets for i in range(1, buckets)]
     cuts = rows.agg(F.percentile_approx(F.col(value).cast("double"), steps, 10 * buckets)).first()[0] or [0.0]
     ends = [float("-inf"), *sorted(set(cuts)), float("inf")]

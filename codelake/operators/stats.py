@@ -28,10 +28,10 @@ def count_distinct(df: DataFrame, *columns: str, approximate: bool = False) -> D
 
 
 def length_stats(df: DataFrame, text: str, by: str = "problem_id") -> DataFrame:
-    """AGG-3: per group and overall (null group) in one pass."""
+    """AGG-3: per group and overall in one pass; ``level`` is 0 for a group, also for the null one, and 1 for the total."""
     sized = df.select(by, T.n_chars(F.col(text)).alias("_len"))
     return sized.rollup(by).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("_len").alias("avg_length"), F.sum("_len").alias("total_length"))
+        F.grouping(by).cast("int").alias("level"), F.count(F.lit(1)).alias("n"), F.avg("_len").alias("avg_length"), F.sum("_len").alias("total_length"))
 
 
 def stage_rates(df: DataFrame, **passed: Column) -> DataFrame:

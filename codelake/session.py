@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +30,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="codelake-checkpoint-")
     sc.setCheckpointDir(folder)
@@ -37,9 +38,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and cut its lineage there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as Parquet to the checkpoint folder and read it: lineage ends there, and later scans read only
+    the columns they need. ``release`` deletes what a session has stored."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/durable-{uuid.uuid4().hex}"
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_stored: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that ``durable`` wrote in this session; for when their results have been written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _stored.pop(spark.sparkContext.applicationId, [])
+    for path in map(jvm.org.apache.hadoop.fs.Path, paths):
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:

@@ -60,11 +60,10 @@ def read_source_tree(
 ) -> DataFrame:
     """SRC-3: ``root/<problem>/*.py`` as (problem_id, file_path, code); both caps follow name order.
 
-    Directory names alone decide the caps, so file contents are read only for kept files.
+    Names alone decide the caps: paths are listed without contents, and only the kept files are opened.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.py").load(root)
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.py")
+    files = reader.load(root)
     parts = F.split("path", "/")
     depth = F.size(F.split(F.regexp_replace(F.lit(root), "/+$", ""), "/"))
     below = F.size(F.split(F.regexp_extract("path", r"^(?:file:/*)?(/.*)$", 1), "/")) - depth
@@ -76,7 +75,9 @@ def read_source_tree(
     if max_files is not None:
         kept = first_n_per_group(kept, ["problem_id"], [F.col("path")], max_files)
     if max_problems is not None or max_files is not None:
-        named = named.join(kept.select("path"), "path", "left_semi")
+        paths = [r["path"] for r in kept.select("path").collect()]  # the file listing, which the driver holds anyway
+        chosen = reader.load(paths) if paths else files.limit(0)
+        named = chosen.withColumn("problem_id", F.element_at(parts, -2))
     code = F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.decode("content", "ISO-8859-1"))
     # text-mode reading turns every line ending into a newline
     code = F.regexp_replace(code, r"\r\n?", "\n")

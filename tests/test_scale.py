@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codelake.functions import arrays as A
 from codelake.functions.keys import draw_bucket, draw_key
-from codelake.operators import dedup, encode, evaluate, pairs, ranking, skew, splits, stats
+from codelake.operators import dedup, encode, evaluate, graph, pairs, ranking, skew, splits, stats
 
 
 def hot_rows(spark, n=900):
@@ -179,8 +179,6 @@ def test_splits_do_not_depend_on_partitions(spark):
 def test_propagation_by_matrices(spark):
     import numpy as np
 
-    from codelake.operators import graph
-
     parents = {1: [-1, 0, 0, 1, 1, 3], 2: [-1], 3: [-1, 0]}
     kinds = {1: "abcaba", 2: "a", 3: "bb"}
     rows = [(d, i, kinds[d][i], p) for d, ps in parents.items() for i, p in enumerate(ps)]
@@ -199,3 +197,36 @@ def test_propagation_by_matrices(spark):
         mean = (smooth @ smooth @ x).mean(axis=0)
         mean /= np.linalg.norm(mean)
         assert all(abs(found[doc, n] - v) < 1e-9 for n, v in zip(names, mean))
+
+
+def test_graph_per_row_equals_tables(spark):
+    code = spark.createDataFrame([(1, "def f(a):\n    return [a, a + 1]\n"), (2, "x = 1\n"), (3, "not code (")], "k int, text string")
+    nodes, edges = graph.syntax_graph(code, "k")
+    by_table = {(r.doc, r.type): r.value for r in graph.propagate(nodes, edges).collect()}
+    by_row = {(r.doc, r.type): r.value for r in graph.propagate_rows(code, "k").collect()}
+    assert by_table.keys() == by_row.keys() and all(abs(by_table[k] - by_row[k]) < 1e-9 for k in by_row)
+    assert "Join" not in graph.propagate_rows(code, "k")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_bucket_is_cut_again(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SORTED_ROWS", 50)
+    rows = spark.range(5000).select((F.col("id") * F.col("id")).alias("v"))
+    taken = ranking.take_first(rows, [F.col("v")], F.lit(0), lambda n: 1234)
+    assert sorted(r.v for r in taken.collect()) == [i * i for i in range(1234)]
+    same = spark.range(500).select(F.lit(7).cast("long").alias("v"), "id")
+    assert ranking.take_first(same, [F.col("v"), F.col("id")], F.lit(0), lambda n: 99).count() == 99
+
+
+def test_salts_follow_the_key(spark):
+    rows = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    found = {r.k: r._salts for r in skew.hot_keys(rows, ["k"], share=0.01).collect()}
+    assert found == {"hot": 34}
+    table = spark.createDataFrame([("hot", 1), ("5", 2)], "k string, v int")
+    assert skew.lookup_join(rows, table, ["k"], ["id"], share=0.01).count() == 3334 + 1
+
+
+def test_stored_tables_are_released(spark):
+    from codelake.session import durable, release
+
+    kept = durable(spark.range(5))
+    assert kept.count() == 5 and release(spark) >= 1
