@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +20,19 @@ from codelake.llm.common import map_batches, new_folder, texts_of
 REMEMBERED = 300_000
 SAFE_BLANK = re.compile(r"(?<![\s\x1c-\x1f]) (?![\s\x1c-\x1f])")
 UNSAFE_BLANK = re.compile(r"[\s\x1c-\x1f] | [\s\x1c-\x1f]|\A | \Z")
+#: What an ASCII text needs to have for a blank to be unsafe, but for one at either end.
+UNSAFE_PAIRS = ["  ", *[p for c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" for p in (" " + c, c + " ")]]
+
+
+def byte_names() -> dict[int, int]:
+    """The byte-level alphabet: visible Latin-1 characters stand for themselves, other bytes for characters from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+BYTE_NAMES = byte_names()
+BLANK_NAME = chr(BYTE_NAMES[ord(" ")])
 #: Marks that make one pre-token where they follow a word.
 MARKS = ".,!?;:|&%$#*"
 #: Bytes of text that one record file is made from, at most by plan.
@@ -79,16 +93,37 @@ def piecewise(model: str):
     def by_tokenizer(text):
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    tokens = Known(by_tokenizer)
+    by_model = tokenizer.model.tokenize
 
-    def after_blank(piece):
-        letters = piece.rstrip(MARKS)
-        return tokens[" " + letters] + tokens[piece[len(letters):]] if letters.isalpha() and len(letters) < len(piece) else tokens[" " + piece]
+    def one_token(text):
+        """A text that is one pre-token needs the model alone, whose alphabet has a character for each byte."""
+        named = text.replace(" ", BLANK_NAME) if text.isascii() else text.encode().decode("latin-1").translate(BYTE_NAMES)
+        return array("I", [t.id for t in by_model(named)]).tobytes()
+
+    tokens = Known(one_token)
 
+    def word(lead, text):
+        """Letters and the marks after them are two pre-tokens; what else there may be is left to the tokenizer."""
+        letters = text.rstrip(MARKS)
+        if not letters.isalpha():
+            return by_tokenizer(lead + text)
+        return tokens[lead + letters] + tokens[text[len(letters):]] if len(letters) < len(text) else tokens[lead + letters]
+
+    def after_blank(piece):
+        if "\n" not in piece:
+            return word(" ", piece)
+        first, *lines = piece.split("\n")
+        # a line feed between characters other than white space is a pre-token of its own
+        if not first or not all(lines) or any(map(str.isspace, piece.replace("\n", ""))):
+            return by_tokenizer(" " + piece)
+        return word(" ", first) + b"".join(feed + word("", x) for x in lines)
+
+    feed = by_tokenizer("\n")
     pieces = Known(after_blank)
 
     def encode(text: str) -> np.ndarray:
-        head, *rest = (SAFE_BLANK.split(text) if UNSAFE_BLANK.search(text) else text.split(" "))
+        plain = text.isascii() and not any(map(text.__contains__, UNSAFE_PAIRS)) and text[:1] != " " != text[-1:]
+        head, *rest = text.split(" ") if plain or not UNSAFE_BLANK.search(text) else SAFE_BLANK.split(text)
         return np.frombuffer(b"".join([by_tokenizer(head), *map(pieces.__getitem__, rest)]), "<u4")
 
     return encode
