@@ -9,7 +9,7 @@ from codelake.llm.common import BLANKS, stored
 
 #: Normalised characters that the second refinement hashes.
 PREFIX = 256
-#: Surviving (length, prefix) groups that are sent to every task, at 16 bytes each; more are joined by shuffle.
+#: Surviving lengths, or (length, prefix) groups, that are sent to every task, at 16 bytes each; more are joined by shuffle.
 GROUPS_TO_SEND = 100_000
 
 
@@ -27,7 +27,9 @@ def surviving_groups(docs: DataFrame, text: str = "text") -> DataFrame:
     """(length, prefix hash) groups of two rows or more, found on two numbers per document."""
     body = normalised(F.col(text))
     marks = stored(docs.select(F.length(body).alias("norm_length"), F.xxhash64(F.substring(body, 1, PREFIX)).alias("prefix_hash")), "exact-marks")
-    lengths = repeated(marks, "norm_length")
+    lengths = stored(repeated(marks, "norm_length"), "exact-lengths")
+    if lengths.count() <= GROUPS_TO_SEND:  # a length that many rows have is then no shuffle key
+        lengths = F.broadcast(lengths)
     return stored(repeated(marks.join(lengths, "norm_length", "left_semi"), "norm_length", "prefix_hash"), "exact-groups")
 
 
