@@ -55,8 +55,8 @@ def test_gapped_insults():
     calm = [b"the weather is good and the people walk in the old town", b"we read a long book about rivers and stones"] * 30
     rude = [b"you are an idiot and more", b"what a moron he is", b"the people are idiots here"] * 20
     model = toxicity.trained(calm + rude, np.r_[np.zeros(len(calm)), np.ones(len(rude))].astype(int))
-    low, *high = toxicity.scores(model, [calm[0], b"such an i.d.i.o.t he is", b"an IdxIot", b"m-o-r-o-n"])
-    assert low < 0.3 and min(high) > 0.7
+    low, spaced, *high = toxicity.scores(model, [calm[0], b"such an i.d.i.o.t he is", b"an IdxIot", b"an idi-ot"])
+    assert low < 0.1 < spaced and min(high) > 0.7  # a mark after every letter is noticed but not enough
     long = b"we walk in the old town " * 100_000
     assert toxicity.scores(model, [long])[0] < 0.3 and toxicity.scores(model, [long + rude[0]])[0] > 0.7
 

@@ -71,7 +71,7 @@ def test_furniture_is_removed(spark):
     random.seed(4)
     word = lambda: "".join(random.choice("abcdefgh") for _ in range(6))
     body = lambda n: "\n".join(" ".join(word() for _ in range(20)) for _ in range(n))
-    foot = "\n".join(f"Home  About us {i} Contact and legal notices of this site" for i in range(10))
+    foot = "\n".join(" ".join(word() for _ in range(11)) for _ in range(10))
     values = [(i, body(12) + "\n" + foot, "h") for i in range(30)] + [(50 + i, body(2) + "\n" + foot, "h") for i in range(5)]
     values += [(70, body(2) + "\n" + foot, "other")] + [(80 + i, values[0][1], "copies") for i in range(40)]
     rows = {r["doc_id"]: r for r in line_rules.line_rules(spark.createDataFrame(values, "doc_id long, text string, source string")).collect()}
