@@ -16,8 +16,8 @@ from tokenizers import Tokenizer
 
 from codelake.llm.common import map_batches, new_folder, texts_of
 
-#: Pieces that a task remembers the ids of.
-REMEMBERED = 300_000
+#: Pieces between blanks, and single pre-tokens, that a task remembers the ids of: some 200 bytes each.
+PIECES, TOKENS = 300_000, 500_000
 SAFE_BLANK = re.compile(r"(?<![\s\x1c-\x1f]) (?![\s\x1c-\x1f])")
 UNSAFE_BLANK = re.compile(r"[\s\x1c-\x1f] | [\s\x1c-\x1f]|\A | \Z")
 #: What an ASCII text needs to have for a blank to be unsafe, but for one at either end.
@@ -68,16 +68,16 @@ def parse(data: bytes, at: int) -> tuple[int | None, np.ndarray, int]:
 
 
 class Known(dict):
-    """Text -> its ids as bytes, made by ``make`` when first met; forgets all at ``REMEMBERED`` short texts."""
+    """Text -> its ids as bytes, made by ``make`` when first met; at ``most`` short texts it forgets all."""
 
-    def __init__(self, make):
+    def __init__(self, make, most):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, text):
         ids = self.make(text)
         if len(text) <= 64:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.clear()
             self[text] = ids
         return ids
@@ -100,7 +100,7 @@ def piecewise(model: str):
         named = text.replace(" ", BLANK_NAME) if text.isascii() else text.encode().decode("latin-1").translate(BYTE_NAMES)
         return array("I", [t.id for t in by_model(named)]).tobytes()
 
-    tokens = Known(one_token)
+    tokens = Known(one_token, TOKENS)
 
     def word(lead, text):
         """Letters and the marks after them are two pre-tokens; what else there may be is left to the tokenizer."""
@@ -119,7 +119,7 @@ def piecewise(model: str):
         return word(" ", first) + b"".join(feed + word("", x) for x in lines)
 
     feed = by_tokenizer("\n")
-    pieces = Known(after_blank)
+    pieces = Known(after_blank, PIECES)
 
     def encode(text: str) -> np.ndarray:
         plain = text.isascii() and not any(map(text.__contains__, UNSAFE_PAIRS)) and text[:1] != " " != text[-1:]
