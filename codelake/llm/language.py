@@ -22,7 +22,7 @@ LANGUAGES = 32
 #: Bytes that the score's message has at most: it would be 1 for any longer text.
 MESSAGE = 32
 #: Bytes that are scored at a time.
-SLAB = 1 << 20
+SLAB = 1 << 18
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -99,7 +99,7 @@ def frozen(langs: np.ndarray, grams: np.ndarray, uses: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def loaded(model: bytes):
     with np.load(io.BytesIO(model)) as file:
         names, kind, rows, bits = (file[k] for k in ("names", "kind", "rows", "bits"))
@@ -125,7 +125,7 @@ def code_lengths(model: bytes, texts: list[bytes]) -> np.ndarray:
         for k in range(ORDER):
             keep[starts + k] = False
         cost *= keep[3:, None]
-        np.add.at(total, owners, np.add.reduceat(cost.astype(np.float64), np.maximum(starts - 3, 0), axis=0))
+        np.add.at(total, owners, np.add.reduceat(cost, np.maximum(starts - 3, 0), axis=0, dtype=np.float64))
 
     for i, text in enumerate(texts):
         text = b"\n" * ORDER + text
