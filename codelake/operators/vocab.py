@@ -6,12 +6,15 @@ the driver; the word table, which grows with the corpus, never leaves Spark.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +23,12 @@ from codelake.operators.ranking import position
 from codelake.session import durable
 
 CANDIDATES = 512
-KEEP_ROUNDS = 16
+MOST_CANDIDATES = 65_536
+# Most distinct stretches, and symbols in them, that a round brings to the driver.
+STRETCHES = 100_000
+STRETCH_SYMBOLS = 2_000_000
+KEEP_ROUNDS = 4
+FAR = np.iinfo(np.int64).max
 
 # Special pieces of each configuration, in id order.
 SPECIALS = {
@@ -86,51 +94,106 @@ def _joined(left: str, right: str, kind: str) -> str:
     return left + (right.removeprefix("##") if kind == "wordpiece" else right)
 
 
-def independent_prefix(ranked: list[tuple[int, int]], new_piece, known: dict) -> list[tuple[int, int]]:
-    """The longest run of top pairs that one-at-a-time merging would also take next, in this order.
+def merges_up_to(
+    stretches: list[list[int]], freqs: list[int], last: tuple[int, int, int], make: Callable, room: int,
+) -> list[tuple[int, int, int]]:
+    """One-at-a-time merging within the stretches, as far as no pair outside of them can come first.
 
-    A pair whose two symbols occur in no earlier pair keeps its count while those are
-    merged, and every pair they create is contained in a pair ranked below the run, so
-    it cannot come first (on equal counts the fresh, larger id loses). That argument
-    needs two different symbols and a fresh piece: other pairs end the run.
+    ``last`` is (-count, a, b) of the lowest ranked pair that links stretches; every pair outside
+    ranks below it. A new piece is made of one pair only, so a pair that holds new pieces occurs
+    either in stretches alone or outside alone. There its count is at most that of the outer pair
+    it grew from, and on equal counts its larger ids lose. A merge that makes a piece known
+    before breaks this argument and ends the run.
     """
-    run, touched = [], set()
-    for a, b in ranked:
-        if a in touched or b in touched:
+    counts, places = Counter(), defaultdict(set)
+    for i, (symbols, freq) in enumerate(zip(stretches, freqs)):
+        for pair in zip(symbols, symbols[1:]):
+            counts[pair] += freq
+            places[pair].add(i)
+    heap = [(-n, *pair) for pair, n in counts.items()]
+    heapify(heap)
+    merges = []
+    while heap and len(merges) < room:
+        rank = heappop(heap)
+        pair = rank[1:]
+        if rank > last:
             break
-        run.append((a, b))
-        touched |= {a, b}
-        if a == b or new_piece(a, b) in known:
+        if -rank[0] != counts[pair]:
+            continue
+        made, fresh = make(*pair)
+        merges.append((*pair, made))
+        if not fresh:
             break
-    return run
+        changed = set()
+        for i in places.pop(pair):
+            old, freq = stretches[i], freqs[i]
+            new = stretches[i] = replaced(old, pair, made)
+            for p in zip(old, old[1:]):
+                counts[p] -= freq
+                changed.add(p)
+            for p in zip(new, new[1:]):
+                counts[p] += freq
+                changed.add(p)
+                places[p].add(i)
+        for p in changed:
+            if counts[p] > 0:
+                heappush(heap, (-counts[p], *p))
+    return merges
+
+
+def replaced(symbols: list[int], pair: tuple[int, int], made: int) -> list[int]:
+    """``symbols`` with each occurrence of ``pair``, from the left, written as ``made``."""
+    out, at = [], 0
+    while at < len(symbols):
+        if tuple(symbols[at:at + 2]) == pair:
+            out.append(made)
+            at += 2
+        else:
+            out.append(symbols[at])
+            at += 1
+    return out
+
+
+def _pair_keys(left, right):
+    return (left.astype(np.int64) << 32) | right.astype(np.int64)
 
 
 def _merge_runs(values, offsets, runs):
     """Apply runs of merges, in order, to a batch of words given as one flat id array.
 
-    Within a run every symbol belongs to one pair at most, so a table by left symbol
-    finds all its merges in one comparison. Only a pair of equal symbols can match at
-    neighbouring places; every other one of those is taken, from the left.
+    Within a run each word takes its earliest merge, all words at once, until none applies;
+    words without a merge leave the loop.
     """
     word = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     for run in runs:
-        size = max(max(pair) for pair in run) + 1
-        right, made = np.full(size, -1), np.zeros(size, dtype=np.int64)
-        for a, b, c in run:
-            right[a], made[a] = b, c
-        left = np.where(values[:-1] < size, values[:-1], 0)
-        hits = np.flatnonzero(
-            (right[left] == values[1:]) & (values[:-1] < size) & (word[:-1] == word[1:]))
-        if not len(hits):
-            continue
-        at = np.arange(len(hits))
-        first = np.maximum.accumulate(np.where(np.diff(hits, prepend=-2) > 1, at, 0))
-        hits = hits[(at - first) % 2 == 0]
-        values = values.copy()
-        values[hits] = made[values[hits]]
-        kept = np.ones(len(values), dtype=bool)
-        kept[hits + 1] = False
-        values, word = values[kept], word[kept]
+        table = np.array(run, dtype=np.int64).reshape(-1, 3)
+        keys = _pair_keys(table[:, 0], table[:, 1])
+        order = np.argsort(keys)
+        keys, made = keys[order], table[order, 2]
+        finished = []
+        while len(values):
+            pairs = _pair_keys(values[:-1], values[1:])
+            at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+            rank = np.where((keys[at] == pairs) & (word[:-1] == word[1:]), order[at], FAR)
+            at, rank = np.append(at, 0), np.append(rank, FAR)
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            best = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(word))))
+            live = best < FAR
+            finished.append((values[~live], word[~live]))
+            values, word, at, rank, best = values[live], word[live], at[live], rank[live], best[live]
+            # only a pair of equal symbols can match at neighbouring places: every other one is taken, from the left
+            hits = np.flatnonzero(rank == best)
+            count = np.arange(len(hits))
+            first = np.maximum.accumulate(np.where(np.diff(hits, prepend=-2) > 1, count, 0))
+            hits = hits[(count - first) % 2 == 0]
+            values[hits] = made[at[hits]]
+            kept = np.ones(len(values), dtype=bool)
+            kept[hits + 1] = False
+            values, word = values[kept], word[kept]
+        if finished:
+            values, word = (np.concatenate(part) for part in zip(*finished))
+            back = np.argsort(word, kind="stable")
+            values, word = values[back], word[back]
     ends = np.cumsum(np.bincount(word, minlength=len(offsets) - 1))
     return values, np.concatenate([[0], ends]), word
 
@@ -147,7 +210,7 @@ def _pair_counts(state: DataFrame, runs: list) -> DataFrame:
         for batch in batches:
             values, _, word = _merge_runs(*_flat(batch), runs)
             inside = word[:-1] == word[1:]
-            pairs = (values[:-1][inside] << 32) | values[1:][inside]
+            pairs = _pair_keys(values[:-1][inside], values[1:][inside])
             freq = batch.column("freq").to_numpy(zero_copy_only=False)[word[:-1][inside]]
             distinct, place = np.unique(pairs, return_inverse=True)
             sums = np.zeros(len(distinct), dtype=np.int64)
@@ -159,6 +222,44 @@ def _pair_counts(state: DataFrame, runs: list) -> DataFrame:
     return parts.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
+def _stretches(state: DataFrame, runs: list, chosen: list[tuple[int, int]]) -> DataFrame:
+    """(symbols, freq): the longest parts of words whose neighbours are all ``chosen`` pairs, each distinct part once."""
+    table = np.array(chosen, dtype=np.int64)
+    keys = np.sort(_pair_keys(table[:, 0], table[:, 1]))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, _, word = _merge_runs(*_flat(batch), runs)
+            pairs = _pair_keys(values[:-1], values[1:])
+            at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+            linked = (keys[at] == pairs) & (word[:-1] == word[1:])
+            after, before = np.append(linked, False)[:len(values)], np.insert(linked, 0, False)[:len(values)]
+            member = after | before
+            starts = after & ~before
+            offsets = np.append((np.cumsum(member) - 1)[starts], member.sum())
+            freq = batch.column("freq").to_numpy(zero_copy_only=False)[word[starts]]
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[member], pa.int32()))
+            yield pa.RecordBatch.from_arrays([lists, pa.array(freq, pa.int64())], names=["symbols", "freq"])
+
+    parts = state.select("freq", "symbols").mapInArrow(cut, "symbols array<int>, freq long")
+    return parts.groupBy("symbols").agg(F.sum("freq").alias("freq"))
+
+
+def _numbered(words: DataFrame, pieces: list[str]) -> DataFrame:
+    """The word table with symbols as ids."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(pieces, pa.string())
+        for batch in batches:
+            lists = batch.column("symbols")
+            ids = pc.index_in(lists.flatten(), value_set=known).cast(pa.int32())
+            offsets = pa.array(lists.offsets.to_numpy() - lists.offsets[0].as_py(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), batch.column("freq"), pa.ListArray.from_arrays(offsets, ids)],
+                names=["word", "freq", "symbols"])
+
+    return words.select("word", "freq", "symbols").mapInArrow(number, "word string, freq long, symbols array<int>")
+
+
 def _advance(state: DataFrame, runs: list) -> DataFrame:
     """The word table after ``runs``."""
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,46 +278,54 @@ def learn_bpe(
 ) -> Merges:
     """VOC-2, and VOC-3 with kind ``wordpiece``: merge the most frequent adjacent pair until full.
 
-    Equal counts are ordered by the ids of the pair. Each round is one aggregation over
-    the word table and takes as many merges as provably keep the one-at-a-time result.
-    ``all_bytes`` puts every byte character in the alphabet, seen or not.
+    Equal counts are ordered by the ids of the pair. A round counts pairs over the word table, cuts
+    words to the stretches that the top pairs link, and merges in these, of which the driver holds at
+    most ``STRETCHES`` distinct ones: with too many, fewer pairs are taken. The result is that of
+    one merge at a time. ``all_bytes`` puts every byte character in the alphabet, seen or not.
     """
-    spark = counts.sparkSession
-    words = counts.select("word", "freq", initial_symbols(F.col("word"), kind).alias("symbols")).persist()
+    words = durable(counts.select("word", "freq", initial_symbols(F.col("word"), kind).alias("symbols")))
     # bounded by the number of characters there are
     seen = {row.s for row in words.select(F.explode("symbols").alias("s")).distinct().collect()}
     alphabet = sorted((seen | set(byte_alphabet()) if all_bytes else seen) - set(specials))
     pieces = [*specials, *alphabet]
     known = {piece: i for i, piece in enumerate(pieces)}
-    letters = F.array(*[F.lit(p) for p in pieces])
-    ids = F.transform("symbols", lambda s: (F.array_position(letters, s) - 1).cast("int"))
-    state = durable(words.select("word", "freq", ids.alias("symbols")))
-    words.unpersist()
-    merges, pending, rounds = [], [], 0
+    state = durable(_numbered(words, pieces))
+    merges, pending, rounds, reach = [], [], 0, 1 if one_per_round else CANDIDATES
 
-    def name(a, b):
-        return _joined(pieces[a], pieces[b], kind)
+    def make(a, b):
+        piece = _joined(pieces[a], pieces[b], kind)
+        if piece in known:
+            return known[piece], False
+        known[piece] = len(pieces)
+        pieces.append(piece)
+        return known[piece], True
 
     while len(pieces) < vocab_size:
         top = (
             _pair_counts(state, pending).where(F.col("n") >= max(min_frequency, 1))
-            .orderBy(F.desc("n"), "a", "b").limit(CANDIDATES).collect()
+            .orderBy(F.desc("n"), "a", "b").limit(reach).collect()
         )
-        run = independent_prefix([(r.a, r.b) for r in top], name, known)
-        run = run[: 1 if one_per_round else vocab_size - len(pieces)]
-        if not run:
+        if not top:
             break
-        made = []
-        for a, b in run:
-            piece = name(a, b)
-            if piece not in known:
-                known[piece] = len(pieces)
-                pieces.append(piece)
-            made.append((a, b, known[piece]))
-        merges += made
-        pending.append(made)
+        while True:
+            parts = _stretches(state, pending, [(r.a, r.b) for r in top])
+            n, symbols = parts.agg(F.count(F.lit(1)), F.sum(F.size("symbols"))).first()
+            if len(top) == 1 or (n <= STRETCHES and symbols <= STRETCH_SYMBOLS):
+                break
+            top = top[: len(top) // 2]
+            reach = len(top)
+        held = parts.toArrow()
+        last = (-top[-1].n, top[-1].a, top[-1].b)
+        run = merges_up_to(
+            held["symbols"].to_pylist(), held["freq"].to_pylist(), last, make,
+            1 if one_per_round else vocab_size - len(pieces))
+        merges += run
+        # a merge into a piece known before applies after all others
+        pending += [run[:-1], run[-1:]] if len(run) > 1 else [run]
         rounds += 1
-        if len(pending) == KEEP_ROUNDS:
+        if not one_per_round and n < STRETCHES // 4 and symbols < STRETCH_SYMBOLS // 4:
+            reach = min(reach * 2, MOST_CANDIDATES)
+        if rounds % KEEP_ROUNDS == 0:
             state, pending = durable(_advance(state, pending)), []
     state = _advance(state, pending) if pending else state
     return Merges(pieces, merges, state.select("word", F.col("symbols").alias("ids")), kind, rounds)
@@ -227,58 +336,99 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int, min_frequency: int = 2,
     return learn_bpe(counts, vocab_size, min_frequency, specials, kind="wordpiece")
 
 
-def encode_words(words: DataFrame, model: Merges, unknown: int | None = None) -> DataFrame:
-    """(word, ids) for any words, in an Arrow job holding the merges (at most ``vocab_size``)."""
-    known = {piece: i for i, piece in enumerate(model.pieces)}
-    ranks = {(a, b): (rank, c) for rank, (a, b, c) in enumerate(model.merges)}
+def symbols_of(word: str, kind: str) -> list[str]:
+    """What :func:`initial_symbols` makes of one word, inside a task."""
+    if kind == "bytes":
+        alphabet = byte_alphabet()
+        return [alphabet[b] for b in word.encode()]
+    return [c if i == 0 or kind != "wordpiece" else f"##{c}" for i, c in enumerate(word)]
 
-    def merged(symbols):
-        ids = [known.get(s, unknown) for s in symbols]
-        while len(ids) > 1:
-            best = min((ranks[p] + (p,) for p in zip(ids, ids[1:]) if p in ranks), default=None)
-            if best is None:
-                break
-            _, made, pair = best
-            out = []
-            for x in ids:
-                if out and (out[-1], x) == pair:
-                    out[-1] = made
-                else:
-                    out.append(x)
-            ids = out
-        return [i for i in ids if i is not None]
-
-    @F.pandas_udf("array<int>")
+
+def _each_word_once(encode_distinct: Callable, words: Column) -> Column:
+    """array<array<int>>: each distinct word of an Arrow batch encoded once; null lists become empty."""
+    @F.pandas_udf("array<array<int>>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for symbols in batches:
-            yield symbols.map(merged)
+        for lists in batches:
+            lists = [[] if words is None else list(words) for words in lists]
+            distinct = list({word for words in lists for word in words})
+            ids = dict(zip(distinct, encode_distinct(distinct)))
+            yield pd.Series([[ids[word] for word in words] for words in lists], dtype=object)
 
-    return words.select("word", encoded(initial_symbols(F.col("word"), model.kind)).alias("ids"))
+    return encoded(words)
 
 
-def encode_words_longest_match(words: DataFrame, pieces: list[str], unknown: int, max_chars: int = 100) -> DataFrame:
-    """(word, ids) by longest match from the left with ``##`` continuations; all or unknown."""
+def encode_lists(words: Column, model: Merges, unknown: int | None = None) -> Column:
+    """ENC-1 with a learned vocabulary: the ids of each word of a list, without a shuffle.
+
+    The tasks hold the pieces and merges, at most ``vocab_size`` of each. Symbols without
+    a piece become ``unknown``, or go if that is None.
+    """
+    known = {piece: i for i, piece in enumerate(model.pieces)}
+    merges, kind = model.merges, model.kind
+
+    def of_distinct(distinct):
+        symbols = [[known.get(s, unknown) for s in symbols_of(word, kind)] for word in distinct]
+        symbols = [[i for i in ids if i is not None] for ids in symbols]
+        offsets = np.concatenate([[0], np.cumsum([len(ids) for ids in symbols], dtype=np.int64)]).astype(np.int64)
+        flat = np.array([i for ids in symbols for i in ids], dtype=np.int64)
+        values, offsets, _ = _merge_runs(flat, offsets, [merges] if merges else [])
+        return [values[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+
+    return _each_word_once(of_distinct, words)
+
+
+def encode_words(words: DataFrame, model: Merges, unknown: int | None = None) -> DataFrame:
+    """(word, ids) for any words."""
+    return words.select("word", F.element_at(encode_lists(F.array("word"), model, unknown), 1).alias("ids"))
+
+
+def longest_match_lists(words: Column, pieces: list[str], unknown: int, max_chars: int | None = None) -> Column:
+    """The ids of each word of a list by longest match from the left with ``##`` continuations; all or unknown.
+
+    With ``max_chars``, longer words are unknown.
+    """
     known = {piece: i for i, piece in enumerate(pieces)}
+    longest = max(map(len, pieces), default=0)
 
     def matched(word):
-        if len(word) > max_chars:
+        if max_chars is not None and len(word) > max_chars:
             return [unknown]
         ids, at = [], 0
         while at < len(word):
             prefix = "##" if at else ""
-            end = next((e for e in range(len(word), at, -1) if prefix + word[at:e] in known), None)
+            ends = range(min(len(word), at + longest), at, -1)
+            end = next((e for e in ends if prefix + word[at:e] in known), None)
             if end is None:
                 return [unknown]
             ids.append(known[prefix + word[at:end]])
             at = end
         return ids
 
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for words in batches:
-            yield words.map(matched)
+    return _each_word_once(lambda distinct: map(matched, distinct), words)
+
+
+def encode_words_longest_match(
+    words: DataFrame, pieces: list[str], unknown: int, max_chars: int | None = None
+) -> DataFrame:
+    """(word, ids) by longest match."""
+    ids = longest_match_lists(F.array("word"), pieces, unknown, max_chars)
+    return words.select("word", F.element_at(ids, 1).alias("ids"))
+
+
+def decode_lists(ids: Column, pieces: list[str], kind: str) -> Column:
+    """ENC-7 for :func:`encode_lists`: the words back from their ids, without a shuffle."""
+    bytes_of = {c: b for b, c in enumerate(byte_alphabet())} if kind == "bytes" else None
+
+    def word(one):
+        text = "".join(pieces[i].removeprefix("##") if at and kind == "wordpiece" else pieces[i] for at, i in enumerate(one))
+        return bytes(bytes_of[c] for c in text).decode("utf-8", "replace") if bytes_of else text
+
+    @F.pandas_udf("array<string>")
+    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for lists in batches:
+            yield lists.map(lambda words: [word(one) for one in words])
 
-    return words.select("word", encoded("word").alias("ids"))
+    return decoded(ids)
 
 
 def word_vocab(counts: DataFrame, specials: list[str], min_frequency: int = 1) -> DataFrame:

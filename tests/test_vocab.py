@@ -1,7 +1,9 @@
 """Learned vocabularies against public tokenizer libraries."""
 
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders, models, normalizers, pre_tokenizers, trainers
@@ -170,3 +172,40 @@ def test_splitters_equal_library(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     found = rows.select("i", T.words_punct_digits(F.col("t")).alias("w")).orderBy("i").collect()
     assert [r.w for r in found] == [[w for w, _ in tool.pre_tokenize_str(t)] for t in texts]
+
+
+def test_few_stretches_on_the_driver_give_the_same(spark, texts, monkeypatch):
+    counts = counted(texts, T.words(F.col("text")))
+    whole = vocab.learn_bpe(counts, 400, 2, ["<unk>"])
+    monkeypatch.setattr(vocab, "STRETCHES", 40)
+    monkeypatch.setattr(vocab, "CANDIDATES", 64)
+    few = vocab.learn_bpe(counts, 400, 2, ["<unk>"])
+    assert few.merges == whole.merges and few.rounds > whole.rounds
+
+
+def test_two_thousand_pieces_equal_library(spark, texts, corpus):
+    tool = Tokenizer(models.BPE())
+    tool.pre_tokenizer = pre_tokenizers.Whitespace()
+    tool.train_from_iterator(corpus, trainers.BpeTrainer(
+        vocab_size=2000, min_frequency=2, special_tokens=vocab.SPECIALS["bert"], show_progress=False))
+    model = vocab.learn_bpe(counted(texts, T.words(F.col("text"))), 2000, 2, vocab.SPECIALS["bert"])
+    assert {p: i for i, p in enumerate(model.pieces)} == tool.get_vocab()
+
+
+def test_runs_merge_as_one_at_a_time():
+    draw = random.Random(5)
+    for _ in range(300):
+        words = [[draw.randrange(3) for _ in range(draw.randrange(0, 9))] for _ in range(draw.randrange(1, 6))]
+        merges = []
+        for made in range(3, 3 + draw.randrange(1, 6)):
+            pair = draw.randrange(made), draw.randrange(made)
+            if pair not in [m[:2] for m in merges]:
+                merges.append((*pair, made))
+        wanted = words
+        for a, b, made in merges:
+            wanted = [vocab.replaced(w, (a, b), made) for w in wanted]
+        flat = np.array([s for w in words for s in w], dtype=np.int64)
+        offsets = np.cumsum([0, *map(len, words)])
+        values, offsets, word = vocab._merge_runs(flat, offsets, [merges])
+        assert [values[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == wanted
+        assert word.tolist() == [i for i, w in enumerate(wanted) for _ in w]
