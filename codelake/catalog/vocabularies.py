@@ -4,18 +4,17 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from codelake.catalog.base import documents, query, table, text_of, turns
+from codelake.catalog.base import CODE, TURNS, documents, query, table, text_of, turns
 from codelake.catalog.encoding import COMMON
+from codelake.functions import arrays as A
 from codelake.functions import text as T
-from codelake.operators import encode, pairs, unigram, vocab
+from codelake.operators import pairs, unigram, vocab
 from codelake.plans.pairs import train_and_judge
-from codelake.plans.vocabularies import learn
+from codelake.plans.vocabularies import CONFIGURATIONS, learn
 from codelake.session import ensure_checkpoint_dir
 from codelake.sources import corpus as S
 from codelake.sources.generated import generated_code
 
-MERGES = 60
-
 
 def fresh_folder(spark) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
@@ -31,57 +30,104 @@ def word_counts(spark, folder):
     return vocab.word_counts(documents(spark, folder), T.words_by_space(F.col("text")))
 
 
-def grown(counts, kind, specials, extra):
-    """A vocabulary ``extra`` pieces larger than its alphabet."""
-    symbols = counts.select(F.explode(vocab.initial_symbols(F.col("word"), kind)).alias("s")).distinct().count()
-    size = (256 if kind == "bytes" else symbols) + len(specials) + extra
-    return vocab.learn_bpe(counts, size, 2, specials, kind, all_bytes=kind == "bytes")
-
-
 @query("voc2_learn_bpe_chars")
 def learn_bpe_chars(spark, folder):
-    words = T.words(F.col("text"))
-    model = grown(vocab.word_counts(documents(spark, folder), words), "chars", vocab.SPECIALS["bert"], MERGES)
-    return model.merge_table(spark)
+    return vocab.learn_bpe(document_words(spark, folder), 32000, 2, vocab.SPECIALS["bert"]).merge_table(spark)
+
+
+@query("voc2_first_merge", r"""
+with w as (select w, count(*) as n from (select unnest(regexp_extract_all(text, '\w+|[^\w\s]+')) as w from documents) group by w),
+p as (select w[i] as l, w[i + 1] as r, n from (select w, n, unnest(range(1, length(w))) as i from w))
+select 0::INTEGER as rank, l as "left", r as "right" from p group by l, r order by sum(n) desc, l, r limit 1""")
+def first_merge(spark, folder):
+    counts = document_words(spark, folder)
+    letters = counts.select(F.explode(vocab.initial_symbols(F.col("word"), "chars"))).distinct().count()
+    return vocab.learn_bpe(counts, letters + 1).merge_table(spark)
 
 
 @query("voc2_learn_bpe_bytes")
 def learn_bpe_bytes(spark, folder):
     words = T.words_with_space(F.col("text"))
     counts = vocab.word_counts(documents(spark, folder), words)
-    return grown(counts, "bytes", vocab.SPECIALS["roberta"], MERGES).merge_table(spark)
+    return vocab.learn_bpe(counts, 50265, 2, vocab.SPECIALS["roberta"], "bytes", all_bytes=True).merge_table(spark)
 
 
 @query("voc3_learn_wordpiece")
 def learn_wordpiece(spark, folder):
     counts = vocab.word_counts(documents(spark, folder), T.words_punct_digits(F.col("text")))
-    return grown(counts, "wordpiece", vocab.SPECIALS["wordpiece"], MERGES).vocab(spark)
+    return vocab.learn_wordpiece(counts, 32000, 2, vocab.SPECIALS["wordpiece"]).vocab(spark)
 
 
 @query("voc4_learn_unigram")
 def learn_unigram(spark, folder):
-    model = unigram.learn_unigram(document_words(spark, folder), 400, ["<unk>"], seed_size=4000)
+    model = unigram.learn_unigram(document_words(spark, folder), 32000, ["<unk>"])
     return unigram.model_table(spark, model)
 
 
 @query("enc1_encode_bpe")
 def encode_bpe(spark, folder):
-    texts = documents(spark, folder).select("doc_id", "text")
-    words = T.words(F.col("text"))
-    model = grown(vocab.word_counts(texts, words), "chars", vocab.SPECIALS["bert"], MERGES)
-    ids = encode.lookup_pieces(texts, "doc_id", words, model.words, unknown=4)
-    return ids.select("doc_id", text_of("input_ids").alias("ids"))
-
-
-# Sizes that leave some forty pieces to learn beyond the alphabet of the rendered programs.
-CONFIGURED_SIZES = {
-    "roberta_bytes": 300, "bert_words": 110, "code_bytes": 305, "marked_bytes": 115, "wordpiece": 130,
-    "marked_unigram": 120, "sentence_unigram": 200,
-}
-for _name, _size in CONFIGURED_SIZES.items():
+    texts = documents(spark, folder)
+    model = vocab.learn_bpe(document_words(spark, folder), 32000, 2, vocab.SPECIALS["bert"])
+    ids = F.flatten(vocab.encode_lists(T.words(F.col("text")), model, unknown=4))
+    return texts.select("doc_id", text_of(ids).alias("ids"))
+
+
+@query("enc7_learned_bytes_round_trip", "select doc_id, text from documents")
+def learned_bytes_round_trip(spark, folder):
+    texts, words = documents(spark, folder), T.words_with_space(F.col("text"))
+    model = vocab.learn_bpe(
+        vocab.word_counts(texts, words), 50265, 2, vocab.SPECIALS["roberta"], "bytes", all_bytes=True)
+    coded = texts.select("doc_id", vocab.encode_lists(words, model).alias("ids"))
+    decoded = vocab.decode_lists(F.col("ids"), model.pieces, "bytes")
+    return coded.select("doc_id", F.array_join(decoded, "").alias("text"))
+
+
+@query("enc7_learned_wordpiece_round_trip", f"""
+with {CODE} select submission_id,
+ array_to_string(regexp_extract_all(text, '[0-9]|[!-/:-@\\[-`{{-~]|[A-Za-z]+'), ' ') as text from code""")
+def learned_wordpiece_round_trip(spark, folder):
+    code, words = generated_code(spark, folder), T.words_punct_digits(F.col("text"))
+    model = vocab.learn_wordpiece(vocab.word_counts(code, words), 32000, 2, vocab.SPECIALS["wordpiece"])
+    coded = code.select("submission_id", vocab.longest_match_lists(words, model.pieces, unknown=0).alias("ids"))
+    decoded = vocab.decode_lists(F.col("ids"), model.pieces, "wordpiece")
+    return coded.select("submission_id", F.array_join(decoded, " ").alias("text"))
+
+
+@query("enc7_learned_unigram_round_trip", rf"""
+with {CODE} select submission_id,
+ array_to_string(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\s]+'), ' ') as text from code""")
+def learned_unigram_round_trip(spark, folder):
+    code, words, specials = generated_code(spark, folder), T.words(F.col("text")), ["<pad>", "<unk>"]
+    model = unigram.learn_unigram(vocab.word_counts(code, words), 32000, specials)
+    ids = unigram.unigram_lists(words, model, specials, unknown=1)
+    decoded = vocab.decode_lists(ids, [piece for piece, _ in model], "chars")
+    return code.select("submission_id", F.array_join(decoded, " ").alias("text"))
+
+
+# Whole texts on either side of the separator, so that both come back.
+@query("enc2_learned_pairs", f"""
+with {TURNS} select pair_id, code1, code2 from turns""")
+def learned_pairs(spark, folder):
+    said = turns(spark, folder)
+    words = {side: T.words_with_space(F.col(side)) for side in ("code1", "code2")}
+    counts = vocab.word_counts(said, F.concat(*words.values()))
+    model = vocab.learn_bpe(counts, 50265, 2, vocab.SPECIALS["roberta"], "bytes", all_bytes=True)
+    coded = said.select("pair_id", *[F.flatten(vocab.encode_lists(words[side], model)).alias(side) for side in words])
+    ids, segments = A.encode_pair("code1", "code2", 2**30, (0, 2))
+    laid = coded.select("pair_id", ids.alias("ids"), segments.alias("segments"))
+    inner = F.filter(F.arrays_zip("ids", "segments"), lambda x: ~x["ids"].isin(0, 2))
+
+    def side(number):
+        part = F.transform(F.filter(inner, lambda x: x["segments"] == number), lambda x: x["ids"])
+        return F.array_join(vocab.decode_lists(F.array(part), model.pieces, "bytes"), "")
+
+    return laid.select("pair_id", side(0).alias("code1"), side(1).alias("code2"))
+
+
+for _name in CONFIGURATIONS:
     @query(f"voc_configuration_{_name}")
-    def configured(spark, folder, name=_name, size=_size):
-        return learn(generated_code(spark, folder), "text", name, size).vocab(spark)
+    def configured(spark, folder, name=_name):
+        return learn(generated_code(spark, folder), "text", name).vocab(spark)
 
 
 @query("voc5_vocab_report", f"""
@@ -91,7 +137,7 @@ union all values ('pad', '<pad>', 0), ('unk', '<unk>', 1), ('mask', '<mask>', 4)
 union all (select 'sample', word, id from all_pieces order by id limit 10)""")
 def vocab_report(spark, folder):
     counts = vocab.word_counts(generated_code(spark, folder), T.words(F.col("text")))
-    words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 20)
+    words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 1)
     return vocab.vocab_report(words, {"pad": "<pad>", "unk": "<unk>", "mask": "<mask>"})
 
 
@@ -100,7 +146,7 @@ with {COMMON}, all_pieces as (select word as piece, id::INTEGER as id from v uni
 select * from all_pieces union all values ('<mask>', (select max(id) + 1 from all_pieces)), ('<eof>', (select max(id) + 2 from all_pieces))""")
 def extend_vocab(spark, folder):
     counts = vocab.word_counts(generated_code(spark, folder), T.words(F.col("text")))
-    return vocab.extend_vocab(vocab.word_vocab(counts, ["<pad>", "<unk>"], 20), ["<unk>", "<mask>", "<pad>", "<eof>"])
+    return vocab.extend_vocab(vocab.word_vocab(counts, ["<pad>", "<unk>"], 1), ["<unk>", "<mask>", "<pad>", "<eof>"])
 
 
 @query("src9_vocab_round_trip", f"""
@@ -108,7 +154,7 @@ with {COMMON} select word as piece, id::INTEGER as id from v union all values ('
 def vocab_round_trip(spark, folder):
     counts = vocab.word_counts(generated_code(spark, folder), T.words(F.col("text")))
     path = fresh_folder(spark) + ".json"
-    S.write_vocab(vocab.word_vocab(counts, ["<pad>", "<unk>"], 20), path)
+    S.write_vocab(vocab.word_vocab(counts, ["<pad>", "<unk>"], 1), path)
     return S.read_vocab(spark, path)[0]
 
 

@@ -7,10 +7,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codelake.operators.ranking import take_first
+from codelake.operators.vocab import each_word_once, held
 from codelake.session import durable
 
 SHRINK = 0.75
@@ -20,7 +21,7 @@ UNKNOWN_PENALTY = 10.0
 
 
 def capped_vocab_size(vocab_size: int, n_texts: int) -> int:
-    """The corpus-bound cap: half the texts, at least 200, never above 2000."""
+    """An optional cap by the corpus: half the texts, at least 200, never above 2000."""
     return min(vocab_size, max(n_texts // 2, 200), 2000)
 
 
@@ -211,18 +212,22 @@ def learn_unigram(
     return [(s, 0.0) for s in specials] + ordered
 
 
-def encode_words_unigram(words: DataFrame, model: list[tuple[str, float]], specials: list[str], unknown: int) -> DataFrame:
-    """(word, ids) by likeliest segmentation; the model is bounded by the vocabulary size."""
+def unigram_lists(words: Column, model: list[tuple[str, float]], specials: list[str], unknown: int) -> Column:
+    """The ids of each word of a list by likeliest segmentation; the tasks hold the model, bounded by the vocabulary size."""
+    held([piece for piece, _ in model])
     ids = {piece: i for i, (piece, _) in enumerate(model)}
     logp = {piece: score for piece, score in model if piece not in specials}
     longest, floor = max(map(len, logp)), _floor(logp)
 
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(lambda word: [ids.get(p, unknown) for p in best_path(word, logp, longest, floor)])
+    def of_distinct(distinct):
+        return [[ids.get(p, unknown) for p in best_path(word, logp, longest, floor)] for word in distinct]
+
+    return each_word_once(of_distinct, words)
 
-    return words.select("word", encoded("word").alias("ids"))
+
+def encode_words_unigram(words: DataFrame, model: list[tuple[str, float]], specials: list[str], unknown: int) -> DataFrame:
+    """(word, ids) by likeliest segmentation."""
+    return words.select("word", F.element_at(unigram_lists(F.array("word"), model, specials, unknown), 1).alias("ids"))
 
 
 def model_table(spark, model: list[tuple[str, float]]) -> DataFrame:

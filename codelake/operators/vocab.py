@@ -28,6 +28,8 @@ MOST_CANDIDATES = 65_536
 STRETCHES = 100_000
 STRETCH_SYMBOLS = 2_000_000
 KEEP_ROUNDS = 4
+# Most pieces that a task holds to encode or decode; for larger tables join with encode.lookup_pieces.
+MOST_PIECES = 1_000_000
 FAR = np.iinfo(np.int64).max
 
 # Special pieces of each configuration, in id order.
@@ -344,7 +346,14 @@ def symbols_of(word: str, kind: str) -> list[str]:
     return [c if i == 0 or kind != "wordpiece" else f"##{c}" for i, c in enumerate(word)]
 
 
-def _each_word_once(encode_distinct: Callable, words: Column) -> Column:
+def held(pieces: list[str]) -> list[str]:
+    """``pieces``, if they are few enough to be sent to every task."""
+    if len(pieces) > MOST_PIECES:
+        raise ValueError(f"{len(pieces)} pieces are over {MOST_PIECES}; use encode.lookup_pieces")
+    return pieces
+
+
+def each_word_once(encode_distinct: Callable, words: Column) -> Column:
     """array<array<int>>: each distinct word of an Arrow batch encoded once; null lists become empty."""
     @F.pandas_udf("array<array<int>>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -363,7 +372,7 @@ def encode_lists(words: Column, model: Merges, unknown: int | None = None) -> Co
     The tasks hold the pieces and merges, at most ``vocab_size`` of each. Symbols without
     a piece become ``unknown``, or go if that is None.
     """
-    known = {piece: i for i, piece in enumerate(model.pieces)}
+    known = {piece: i for i, piece in enumerate(held(model.pieces))}
     merges, kind = model.merges, model.kind
 
     def of_distinct(distinct):
@@ -374,7 +383,7 @@ def encode_lists(words: Column, model: Merges, unknown: int | None = None) -> Co
         values, offsets, _ = _merge_runs(flat, offsets, [merges] if merges else [])
         return [values[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
 
-    return _each_word_once(of_distinct, words)
+    return each_word_once(of_distinct, words)
 
 
 def encode_words(words: DataFrame, model: Merges, unknown: int | None = None) -> DataFrame:
@@ -387,7 +396,7 @@ def longest_match_lists(words: Column, pieces: list[str], unknown: int, max_char
 
     With ``max_chars``, longer words are unknown.
     """
-    known = {piece: i for i, piece in enumerate(pieces)}
+    known = {piece: i for i, piece in enumerate(held(pieces))}
     longest = max(map(len, pieces), default=0)
 
     def matched(word):
@@ -404,7 +413,7 @@ def longest_match_lists(words: Column, pieces: list[str], unknown: int, max_char
             at = end
         return ids
 
-    return _each_word_once(lambda distinct: map(matched, distinct), words)
+    return each_word_once(lambda distinct: map(matched, distinct), words)
 
 
 def encode_words_longest_match(
@@ -417,6 +426,7 @@ def encode_words_longest_match(
 
 def decode_lists(ids: Column, pieces: list[str], kind: str) -> Column:
     """ENC-7 for :func:`encode_lists`: the words back from their ids, without a shuffle."""
+    pieces = held(pieces)
     bytes_of = {c: b for b, c in enumerate(byte_alphabet())} if kind == "bytes" else None
 
     def word(one):

@@ -81,17 +81,21 @@ class Unigram:
         return unigram.model_table(spark, self.model)
 
 
-def learn(df: DataFrame, text: str, name: str, vocab_size: int | None = None, marked: bool | None = None):
+def learn(
+    df: DataFrame, text: str, name: str, vocab_size: int | None = None, marked: bool | None = None,
+    cap_by_texts: bool = False,
+):
     """VOC-2, VOC-3, VOC-4: learn one configuration on a text column.
 
     ``marked`` says whether layout marks are put in first; by default as configured.
+    ``cap_by_texts`` holds the size to half the number of texts, between 200 and 2000.
     """
     chosen = CONFIGURATIONS[name]
     size = vocab_size or chosen.vocab_size
     rows = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull())
     if chosen.marked if marked is None else marked:
         rows = mark_corpus(rows, to="text")
-    if name == "sentence_unigram":
+    if cap_by_texts:
         size = unigram.capped_vocab_size(size, rows.count())
     normal = rows.select(chosen.normalize(F.col("text")).alias("text"))
     counts = vocab.word_counts(normal, chosen.words(F.col("text")))
