@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -15,43 +16,97 @@ from codelake.llm.labelled import labelled_sample
 
 #: Labelled documents per class that the machine is fitted on, by expectation, and their longest text.
 DOCS_PER_LABEL, LONGEST = 1500, 4000
-#: Byte kinds: 0 white space, 1-26 letters of either case, 27 other digits, 28 marks, 29-31 lead bytes, 32-63 the rest of
-#: a character. Digits that stand for letters count as these.
+#: Kinds of characters: 0 white space, 1-26 ASCII letters of either case, 27 other digits, 28 marks, 32-63 other letters.
+#: Digits that stand for letters count as these. Characters that are not seen (zero width, joined accents) are left out.
 KINDS = 64
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
-#: A subsequence has three bytes; up to one byte may stand between neighbours, at this decay a byte.
+#: A subsequence has three characters; up to one may stand between neighbours, at this decay a character.
 GAPS, DECAY = ((1, 1), (1, 2), (2, 1), (2, 2)), 0.6
 SPAN = 4
 #: A sentence is scored by its strongest stretch of this many starts of subsequences.
 STRETCH = 7
+#: Characters that the parts of a long text share: room for a stretch whose letters stand far apart.
+SHARED = 4096
 LANDMARKS, ROUNDS, PENALTY = 240, 4, 10.0
+#: Machines, each with landmarks of its own draw, whose mean counts: one alone depends much on its draw.
+DRAWS = 4
 SLAB = 1 << 20
 #: Score from which a document counts as toxic.
 REJECT = 0.7
 
 
-def byte_kinds() -> np.ndarray:
-    kind = np.full(256, 28, np.int64)
-    for code in b" \t\n\x0b\x0c\r":
-        kind[code] = 0
+MARK, UNSEEN = 28, -1
+
+
+def character_kinds() -> np.ndarray:
+    """The kind of each character of the first two planes; the last entry is for all others, which are mostly ideographs."""
+    kind = np.full(0x20001, MARK, np.int32)
     for i in range(26):
         kind[65 + i] = kind[97 + i] = i + 1
     kind[48:58] = 27
     for mark, letter in LEET.items():
         kind[ord(mark)] = ord(letter) - 96
-    kind[0x80:0xC0] = 32 + np.arange(64) % 32  # the second halves of É and é are 32 apart
-    kind[0xC0:0xE0], kind[0xE0:0xF0], kind[0xF0:] = 29, 30, 31
+    kind[[9, 10, 11, 12, 13, 32]] = 0
+    for code in range(0x80, 0x20000):
+        group = unicodedata.category(chr(code))
+        if group == "Cf" or 0x300 <= code < 0x370 or 0xFE00 <= code < 0xFE10:
+            kind[code] = UNSEEN
+        elif group[0] in "LM":
+            kind[code] = 32 + code % 32  # É and é are 32 apart, and so are most letters of either case
+        elif group[0] == "Z" or code == 0x85:
+            kind[code] = 0
+        elif group[0] == "N":
+            kind[code] = 27
+    kind[-1] = 32
     return kind
 
 
-KIND = byte_kinds().astype(np.int32)
-PAD = b" " * (SPAN + STRETCH)
+KIND = character_kinds()
+PAD = " " * (SPAN + STRETCH)
+
+
+def apart(kinds: np.ndarray) -> np.ndarray:
+    """Which characters only keep the letters of a word apart.
+
+    These are marks between two letters, however many, and whatever stands between letters that are words of their own.
+    """
+    letters = np.flatnonzero((kinds != 0) & (kinds != MARK))
+    gap = np.diff(letters) - 1
+    blank = np.diff(np.cumsum(kinds == 0)[letters]) > 0
+    alone = np.concatenate([[True], blank]) & np.concatenate([blank, [True]])
+    drop = (gap > 0) & (~blank | (alone[:-1] & alone[1:] & (gap < len(PAD))))
+    step = np.zeros(len(kinds) + 1, np.int8)
+    step[letters[:-1][drop] + 1] += 1
+    step[letters[1:][drop]] -= 1
+    return np.cumsum(step[:-1], dtype=np.int8) > 0
+
+
+def between(kinds: np.ndarray) -> np.ndarray:
+    """Every second letter of words of five or more in which these are all the same: one put between all others."""
+    letters = (kinds != 0) & (kinds != MARK)
+    first = letters & ~np.concatenate([[False], letters[:-1]])
+    at, starts = np.flatnonzero(letters), np.flatnonzero(first)
+    word = np.cumsum(first)[at] - 1
+    place = at - starts[word]
+    other = (place % 2 == 1) & (place > 2) & (kinds[at] != kinds[np.maximum(at - 2, 0)])
+    put = (np.bincount(word, minlength=len(starts)) >= 5) & (np.bincount(word[other], minlength=len(starts)) == 0)
+    out = np.zeros(len(kinds), bool)
+    out[at[(place % 2 == 1) & put[word]]] = True
+    return out
 
 
-def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Kinds of all bytes, texts set apart by blanks, and where each text starts."""
+def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Kinds of all characters, and where each text starts: with blanks of its own, so many that its stretches end before
+    the next text's first character."""
     sizes = np.fromiter((len(t) + len(PAD) for t in texts), np.int64, len(texts))
-    return KIND[np.frombuffer(PAD.join([*texts, b""]), np.uint8)], np.cumsum(sizes) - sizes
+    kinds, starts = KIND[np.minimum(np.frombuffer(PAD.join(["", *texts, ""]).encode("utf-32-le"), "<u4"), len(KIND) - 1)], np.cumsum(sizes) - sizes
+    for left_out in (lambda k: k == UNSEEN, apart):
+        kinds, starts = without(kinds, starts, left_out(kinds))
+    return kinds, starts
+
+
+def without(kinds: np.ndarray, starts: np.ndarray, left_out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return kinds[~left_out], starts - np.concatenate([[0], np.cumsum(left_out)])[starts]
 
 
 def subsequences(kinds: np.ndarray):
@@ -69,6 +124,13 @@ def stretches(kinds: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return run[STRETCH:] - run[:-STRETCH]
 
 
+def strongest(kinds: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """For each text its highest value, with and without letters put between all others of a word."""
+    plain = np.maximum.reduceat(stretches(kinds, weights), starts)
+    kinds, starts = without(kinds, starts, between(kinds))
+    return np.maximum(plain, np.maximum.reduceat(stretches(kinds, weights), starts))
+
+
 def best_stretch(kinds: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each text its highest value, and where that stretch starts."""
     value = stretches(kinds, weights)
@@ -112,35 +174,39 @@ def machine(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int =
     return w
 
 
-def trained(texts: list[bytes], labels: np.ndarray, landmarks: int = LANDMARKS, rounds: int = ROUNDS, seed: int = 7) -> bytes:
+def trained(texts: list[bytes], labels: np.ndarray, landmarks: int = LANDMARKS, rounds: int = ROUNDS, seed: int = 7,
+            draws: int = DRAWS) -> bytes:
     """Fit on labelled documents, whose sentences share their label only if it is 0.
 
     A toxic document's label holds for its strongest stretch alone. The first guess of that weighs subsequences by
     how much more often toxic documents have them; then, round by round, landmarks are drawn from the strongest
     stretches, the machine is fitted on Nyström features of toxic documents' strongest stretches against harmless
     documents' strongest and random ones, and strongest stretches are looked for again. As the kernel is an inner
-    product over subsequences, landmarks and machine fold into one weight per subsequence.
+    product over subsequences, landmarks and machine fold into one weight per subsequence. This is done ``draws`` times;
+    the mean counts of those that fit the sample at most twice as badly as the best, as some draws miss the insults.
     """
     out = io.BytesIO()
     if not (labels == 1).any() or not (labels == 0).any():
         np.savez(out, weights=np.zeros(KINDS ** 3, np.float32), scale=np.array([0.0, 0.0 if not len(labels) else 20.0 * labels.mean() - 10.0]))
         return out.getvalue()
-    kinds, starts = joined(texts)
+    kinds, starts = joined([t.decode("utf-8", "replace") for t in texts])
     random = np.random.default_rng(seed)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    owner = np.repeat(np.arange(len(texts)), np.diff(np.append(starts, len(kinds))))
+    room = np.diff(np.append(starts, len(kinds)))
+    sizes, owner = room - len(PAD), np.repeat(np.arange(len(texts)), room)
     has = np.zeros((2, KINDS ** 3))
     for _, code in subsequences(kinds):
         pairs = np.unique(owner[: len(code)] * np.int64(KINDS ** 3) + code)
         for label in (0, 1):
             has[label] += np.bincount(pairs[labels[pairs // KINDS ** 3] == label] % KINDS ** 3, minlength=KINDS ** 3)
     share = (has + 1) / (np.array([[(labels == 0).sum()], [(labels == 1).sum()]]) * len(GAPS) + 2)
-    weights = np.maximum(np.log(share[1] / share[0]), 0) * (has[1] >= 5)
-    harmless, toxic, pool = np.flatnonzero(labels == 0), np.flatnonzero(labels == 1), []
-    for _ in range(rounds):
+    guess, found = np.maximum(np.log(share[1] / share[0]), 0) * (has[1] >= 5), []
+    harmless, toxic = np.flatnonzero(labels == 0), np.flatnonzero(labels == 1)
+    for turn in range(draws * rounds):
+        if turn % rounds == 0:
+            weights, pool = guess, []
         _, place = best_stretch(kinds, starts, weights)
         pool.append(place[harmless])
-        pool.append(starts[harmless] + (random.random(len(harmless)) * np.maximum(sizes[harmless] - SPAN, 1)).astype(np.int64))
+        pool.append(starts[harmless] + len(PAD) + (random.random(len(harmless)) * np.maximum(sizes[harmless] - SPAN, 1)).astype(np.int64))
         negative = np.unique(np.concatenate(pool))
         positive = place[toxic]
         chosen = np.concatenate([random.choice(positive, min(len(positive), landmarks * 3 // 4), replace=False),
@@ -160,8 +226,11 @@ def trained(texts: list[bytes], labels: np.ndarray, landmarks: int = LANDMARKS,
         w = machine(kernel(features(kinds, at, index), table) @ root, y)
         weights = np.zeros(KINDS ** 3)
         weights[codes] = (table @ (root @ w[:-1]))[1:]
-    top, _ = best_stretch(kinds, starts, weights)
-    np.savez(out, weights=weights.astype(np.float32), scale=np.array(logistic(top, labels)))
+        if turn % rounds == rounds - 1:
+            found.append((loss(strongest(kinds, starts, weights), labels), weights))
+    least = min(x for x, _ in found)
+    total = np.mean([w for x, w in found if x <= 2 * least], axis=0)
+    np.savez(out, weights=total.astype(np.float32), scale=np.array(logistic(strongest(kinds, starts, total), labels)))
     return out.getvalue()
 
 
@@ -179,6 +248,13 @@ def logistic(value: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple[fl
     return float(w[0]), float(w[1])
 
 
+def loss(value: np.ndarray, labels: np.ndarray) -> float:
+    """Logarithmic loss of the fitted probability, classes of equal weight."""
+    slope, offset = logistic(value, labels)
+    each = np.logaddexp(0, np.where(labels == 1, -1, 1) * (value * slope + offset))
+    return float(each[labels == 1].mean() + each[labels == 0].mean()) / 2
+
+
 @lru_cache(maxsize=2)
 def loaded(model: bytes):
     with np.load(io.BytesIO(model)) as file:
@@ -192,12 +268,11 @@ def scores(model: bytes, texts: list[bytes]) -> np.ndarray:
 
     def flush():
         if slab:
-            kinds, starts = joined(slab)
-            np.maximum.at(top, owners, np.maximum.reduceat(stretches(kinds, weights), starts))
+            np.maximum.at(top, owners, strongest(*joined(slab), weights))
 
-    for i, text in enumerate(texts):
+    for i, text in enumerate(t.decode("utf-8", "replace") for t in texts):
         for at in range(0, max(len(text), 1), SLAB):  # parts of a long text share a stretch's length
-            part = text[max(at - len(PAD), 0):at + SLAB]
+            part = text[max(at - SHARED, 0):at + SLAB]
             slab.append(part)
             owners.append(i)
             size += len(part)

@@ -61,6 +61,23 @@ def test_gapped_insults():
     assert toxicity.scores(model, [long])[0] < 0.3 and toxicity.scores(model, [long + rude[0]])[0] > 0.7
 
 
+def test_spelled_insults():
+    calm = [b"the weather is good and the people walk in the old town", b"we read a long book about rivers and stones"] * 30
+    rude = [b"you are an idiot and more", b"what a moron he is", b"the people are idiots here"] * 20
+    model = toxicity.trained(calm + rude, np.r_[np.zeros(len(calm)), np.ones(len(rude))].astype(int))
+    spelled = ["such an i.d.i.o.t he is", "an IdxIot", "m-o-r-o-n", "what a m..o..r--o..n he", "an i\u00b7d\u00b7i\u00b7o\u00b7t", "an i\u200bd\u200bi\u200bo\u200bt",
+               "an i d i o t here", "an ixdxixoxt he"]
+    assert min(toxicity.scores(model, [t.encode() for t in spelled])) > 0.7
+    alone = [toxicity.scores(model, [t.encode()])[0] for t in spelled]
+    assert np.allclose(toxicity.scores(model, [b"", *[t.encode() for t in spelled]])[1:], alone)  # whatever text comes next
+    assert toxicity.scores(model, [calm[0], b"idiot"])[0] < 0.3
+    harmless = [calm[0], b"the p.e.o.p.l.e walk", b"U.S.A. a.m. e.g. x y z", b"", b"a"]
+    assert max(toxicity.scores(model, harmless)) < 0.3
+    long = "\u00e9t\u00e9 we walk in the old town " * 60_000  # cut between characters, not within
+    found = toxicity.scores(model, [long.encode(), (long + "an i.d.i.o.t " + long).encode()])
+    assert found[0] < 0.3 and found[1] > 0.7
+
+
 def test_edges(spark, odd, nothing, labels):
     some = spark.createDataFrame([(1, 1, 0), (3, 0, 1), (3, 0, 1), (5, None, None), (7, 1, 0), (10, 0, 1)], LABELS)
     none = spark.createDataFrame([], LABELS)
