@@ -110,20 +110,30 @@ def confident_patterns(links: DataFrame, rounds: int = ROUNDS, confidence: float
     """Patterns worth trusting, by rounds over the graph of patterns and instances.
 
     A seed's confidence is 1. A pattern's is the mean of its distinct instances', an instance's is the best of its
-    patterns' so far; only patterns with ``support`` instances, of which two at least are seeds, count. Confidence
-    thus reaches instances that share a context with seeds, and from them further contexts.
+    patterns' so far; only patterns with ``support`` instances, of which two at least are believed, count. After
+    ``rounds`` of that the instances of trusted patterns are believed as seeds are, and all begins again, until no
+    further pattern is trusted: a context without any seed is reached through instances that it shares.
     """
     links = stored(links, "pii-links")
-    met = links.groupBy("pattern").agg(F.count("*").alias("instances"), F.sum(F.col("seed").cast("int")).alias("seeds"))
-    able = stored(met.where((F.col("instances") >= support) & (F.col("seeds") >= 2)).select("pattern"), "pii-able")
-    # the best confidence of an instance in each round; seeds keep theirs
-    links = stored(links.join(able, "pattern"), "pii-able-links")
-    belief = links.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("belief"))
-    for _ in range(rounds):
-        patterns = stored(links.join(belief, "instance").groupBy("pattern").agg(F.avg("belief").alias("confidence")), "pii-patterns")
-        belief = stored(links.join(patterns, "pattern").groupBy("instance").agg(
-            F.greatest(F.max(F.col("seed").cast("double")), F.max("confidence")).alias("belief")), "pii-beliefs")
-    return patterns.where(F.col("confidence") >= confidence).select("pattern")
+    believed, trusted, many = links, None, 0
+    while True:
+        met = believed.groupBy("pattern").agg(F.count("*").alias("instances"), F.sum(F.col("seed").cast("int")).alias("seeds"))
+        able = stored(met.where((F.col("instances") >= support) & (F.col("seeds") >= 2)).select("pattern"), "pii-able")
+        near = stored(believed.join(able, "pattern"), "pii-able-links")
+        # the best confidence of an instance in each round; seeds keep theirs
+        belief = near.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("belief"))
+        for _ in range(rounds):
+            patterns = stored(near.join(belief, "instance").groupBy("pattern").agg(F.avg("belief").alias("confidence")), "pii-patterns")
+            belief = stored(near.join(patterns, "pattern").groupBy("instance").agg(
+                F.greatest(F.max(F.col("seed").cast("double")), F.max("confidence")).alias("belief")), "pii-beliefs")
+        trusted = stored(patterns.where(F.col("confidence") >= confidence).select("pattern"), "pii-trusted-patterns")
+        found = trusted.count()
+        if found <= many:
+            return trusted
+        many = found
+        shared = links.join(trusted, "pattern", "left_semi").select("instance").distinct().withColumn("shared", F.lit(True))
+        believed = stored(links.join(shared, "instance", "left").select(
+            "pattern", "instance", (F.col("seed") | F.coalesce("shared", F.lit(False))).alias("seed")), "pii-believed")
 
 
 def spelled(kind: str, spans: Column) -> Column:

@@ -58,6 +58,18 @@ def test_contexts_discover(spark):
     assert not rows[101]["found"] and not any(rows[i]["found"] for i, _ in noise + seeds)
 
 
+def test_contexts_reach_further(spark):
+    """A context that no rule's match follows is reached through instances it shares with a trusted one."""
+    seeds = [(i, f"Please mail me at user{i}@site.org today.") for i in range(8)]
+    shared = [(20 + i, f"Please mail me at person{i}0000 today.") for i in range(3)] + [(30 + i, f"our staff id person{i}0000 is") for i in range(3)]
+    unseen = [(40 + i, f"our staff id person{i}9999 is") for i in range(2)]
+    noise = [(200 + i, f"It was the version {1000 + i}0 of it") for i in range(10)]
+    rows = pii.personal_data(spark.createDataFrame(seeds + shared + unseen + noise, "doc_id long, text string")).collect()
+    found = {r["doc_id"]: [s["match"] for s in r["found"]] for r in rows}
+    assert [found[i] for i in (20, 30, 40, 41)] == [["person00000"], ["person00000"], ["person09999"], ["person19999"]]
+    assert not any(found[i] for i, _ in noise + seeds)
+
+
 def test_odd(odd, nothing):
     assert pii.span_texts(pii.personal_data(odd)).count() == len(ODD)
     assert pii.personal_data(nothing).count() == 0
