@@ -85,7 +85,7 @@ class Known(dict):
 
 @lru_cache(maxsize=2)
 def piecewise(model: str):
-    """Text -> ids. A blank between two characters that are not white space always begins a pre-token, so the text is
+    """Text without added tokens -> ids. A blank between two characters that are not white space always begins a pre-token, so the text is
     cut there; what the tokenizer makes of a piece, or of its letters and the marks after them, is remembered."""
     tokenizer = Tokenizer.from_str(model)
     tokenizer.encode_special_tokens = True
@@ -129,6 +129,20 @@ def piecewise(model: str):
     return encode
 
 
+@lru_cache(maxsize=2)
+def encoder(model: str):
+    """Text -> ids as the tokenizer gives them as it is loaded: a text that holds an added token goes to it whole."""
+    tokenizer, plain = Tokenizer.from_str(model), piecewise(model)
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def encode(text: str) -> np.ndarray:
+        if any(map(text.__contains__, added)):
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return plain(text)
+
+    return encode
+
+
 def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text",
                   file_bytes: int = FILE_BYTES) -> None:
     """Encode texts and write them as records to ``folder``/records, in ascending key order over the files by name.
@@ -146,7 +160,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // file_bytes))
 
     def run(batch):
-        encode, end = piecewise(sent.value), np.array([end_id], "<u4")
+        encode, end = encoder(sent.value), np.array([end_id], "<u4")
         keys = batch.column("doc_id").to_pylist()
         yield {"frame": [frame(k, np.concatenate([encode(t), end])) for k, t in zip(keys, texts_of(batch))]}
 

@@ -117,3 +117,16 @@ def test_piecewise(tokenizer):
         "", " ", "a  b   c", "it's x.\ny. ", "don't. ... x!", " lead", "trail ", "\x1c a \x1d b", "<|endoftext|> a", "é. É, 日本 a"]
     for text in odd:
         assert code(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_added_tokens(spark):
+    """Ids are those of the tokenizer as loaded, with nothing switched."""
+    unaltered = Tokenizer.from_file(MODEL)
+    values = list(enumerate(["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  z <|endoftext|>", "a <|endof text|> b", "plain words.", ""]))
+    assert unaltered.encode(values[0][1], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    rows = sorted(records.token_records(spark.createDataFrame(values, "doc_id long, text string"), MODEL, 2).collect())
+    start = 0
+    for r, (i, text) in zip(rows, values, strict=True):
+        ids = [*unaltered.encode(text, add_special_tokens=False).ids, 2]
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (i, start, len(ids), zlib.crc32(packed(ids)))
+        start += len(ids)
