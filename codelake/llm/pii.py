@@ -23,31 +23,37 @@ GATES = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "ph
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 #: A word of another kind of identifier: four digits or more, or an @.
 CANDIDATE = r"(?<![^\x20\x09-\x0D])(?:(?=(?:[^0-9\x20\x09-\x0D]*+[0-9]){4})|(?=[^@\x20\x09-\x0D]*+@))[^\x20\x09-\x0D]++"
-#: Characters before an entity in which its context words are looked for.
-CONTEXT = 64
+#: What of a text before an entity has its last two words: these, and what directly precedes the entity.
+LAST = r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){0,2}[^\x20\x09-\x0D]*+$"
 #: Rounds of scoring; confidence and distinct instances that a pattern must reach.
 ROUNDS, CONFIDENCE, SUPPORT = 3, 0.6, 5
 
 
-def context_of(before: Column) -> Column:
+def context_of(last: Column) -> Column:
     """The last two words of a text as a pattern; empty if there are fewer."""
-    words = F.filter(F.split(F.lower(F.substring(before, -CONTEXT, CONTEXT)), r"[\x20\x09-\x0D]+", -1), lambda w: w != F.lit(""))
-    # the first word of the window may be cut, so one more is asked for unless the text is shorter
-    least = F.when(F.length(before) > CONTEXT, F.lit(3)).otherwise(F.lit(2))
-    return bound(words, lambda w: F.when(F.size(w) >= least, F.concat_ws(" ", F.slice(w, -2, 2))).otherwise(F.lit("")))
+    words = F.filter(F.split(F.lower(last), r"[\x20\x09-\x0D]+", -1), lambda w: w != F.lit(""))
+    return bound(words, lambda w: F.when(F.size(w) >= 2, F.concat_ws(" ", F.slice(w, -2, 2))).otherwise(F.lit("")))
 
 
 def found(text: Column, pattern: str) -> Column:
-    """Array of (start, end, match, context) of a pattern's matches, in code points, end exclusive."""
+    """Array of (start, end, match, context) of a pattern's matches, in code points, end exclusive.
+
+    The context is that of all the text before the match. Identifiers in it, which differ each time, stand as ``@``.
+    """
     both = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string,context:string>>").alias("out"))
+    empty = F.struct(F.lit(0).alias("at"), F.lit("").alias("last"), F.array().cast("array<struct<start:int,end:int,match:string,context:string>>").alias("out"))
 
     def add(b):
         def step(state, i):
             hit, gap = F.get(b["hits"], i), F.get(b["gaps"], i)
             start = state["at"] + F.length(gap)
-            entry = F.struct(start.alias("start"), (start + F.length(hit)).alias("end"), hit.alias("match"), context_of(gap).alias("context"))
-            return F.struct((start + F.length(hit)).alias("at"), F.concat(state["out"], F.array(entry)).alias("out"))
+            before = F.regexp_replace(F.regexp_extract(F.concat(state["last"], gap), LAST, 0), CANDIDATE, "@")
+
+            def entered(last):
+                entry = F.struct(start.alias("start"), (start + F.length(hit)).alias("end"), hit.alias("match"), context_of(last).alias("context"))
+                return F.struct((start + F.length(hit)).alias("at"), F.concat(last, hit).alias("last"), F.concat(state["out"], F.array(entry)).alias("out"))
+
+            return bound(before, entered)
 
         places = F.when(F.size(b["hits"]) > 0, F.sequence(F.lit(0), F.size(b["hits"]) - 1)).otherwise(F.array().cast("array<int>"))
         return F.aggregate(places, empty, step, lambda state: state["out"])

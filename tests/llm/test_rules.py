@@ -6,6 +6,7 @@ import re
 from codelake.llm import line_rules, pii, queries
 from codelake.llm.common import release
 from conftest import ODD
+from pyspark.sql import functions as F
 
 PLAIN = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -70,6 +71,14 @@ def test_contexts_reach_further(spark):
     assert not any(found[i] for i, _ in noise + seeds)
 
 
+def test_context_before_a_match(spark):
+    url = "https://" + "long/" * 20
+    texts = ["call 5550101 or 5550102 now", "id 12345 ssn 98765", f"see {url} at {url}b no 77777", "7777 x", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    found = [[s["context"] for s in r[0]] for r in df.select(pii.found(F.col("text"), pii.CANDIDATE)).collect()]
+    assert found == [["", "@ or"], ["", "@ ssn"], [f"{url}b no"], [""], []]
+
+
 def test_odd(odd, nothing):
     assert pii.span_texts(pii.personal_data(odd)).count() == len(ODD)
     assert pii.personal_data(nothing).count() == 0
