@@ -292,7 +292,7 @@ union all select 'length', source, 'total_length', total_length::DOUBLE from s
 union all select 'labels', '', 'n', (select count(*)::DOUBLE from labels)""")
 def report(spark, folder):
     lengths = stats.length_stats(table(spark, folder, "documents"), "text", by="source").where("level = 0 and source IS NOT NULL")
-    lengths = lengths.withColumn("avg_length", F.round("avg_length", 6))
+    lengths = lengths.drop("level").withColumn("avg_length", F.round("avg_length", 6))
     labels = table(spark, folder, "labels").agg(F.count(F.lit(1)).alias("n"))
     return stats.report_rows("length", lengths, "source").unionByName(stats.report_rows("labels", labels))
 
