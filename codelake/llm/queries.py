@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelake.llm import byte_bpe, exact_dedup, language, line_rules, mixing, pii, quality, records, simhash, toxicity
+from codelake.llm import byte_bpe, divergence, exact_dedup, language, line_rules, mixing, pii, quality, records, simhash, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +140,31 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+ORACLES["op11_source_divergence"] = r"""
+with d as (select row_number() over () as rn, coalesce(lang, '') as lang, coalesce(source, '') as source,
+ regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+t as (select rn, lang, source, unnest(terms) as term from d),
+k as (select lang, term, count(*)::HUGEINT as n from t group by lang, term having count(distinct rn) >= 10),
+v as (select lang, count(*)::HUGEINT as terms, sum(n)::HUGEINT as total from k group by lang),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*)::HUGEINT as n from t group by lang, source, term),
+m as (select g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT as n, k.n as lang_n from g join k using (lang) left join c using (lang, source, term)),
+s as (select *, sum(n) over (partition by lang, source)::HUGEINT as total from m),
+p as (select s.lang, source, term, n, 1 + 1000000000 * (n + 2) // (s.total + 2 * v.terms) as p,
+ 1 + 1000000000 * (lang_n + 2) // (v.total + 2 * v.terms) as q from s join v using (lang)),
+f as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+ from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0)::BIGINT as value
+ from g a join g b on a.lang = b.lang and a.source <> b.source left join f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // (p + q))::BIGINT as value from p where n > 0 and p > q),
+r as (select *, row_number() over (partition by lang, source, part order by value desc, item)::INTEGER as rank
+ from (select * from pairs union all select * from terms))
+select * from r where part = 'pair' or rank <= 10"""
