@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelake.llm import byte_bpe, divergence, exact_dedup, language, line_rules, mixing, pii, quality, records, simhash, toxicity
+from codelake.llm import byte_bpe, divergence, exact_dedup, language, line_rules, mixing, pii, prefix_trie, quality, records, simhash, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -168,3 +168,33 @@ terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q)
 r as (select *, row_number() over (partition by lang, source, part order by value desc, item)::INTEGER as rank
  from (select * from pairs union all select * from terms))
 select * from r where part = 'pair' or rank <= 10"""
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+ORACLES["op13_prefix_trie"] = r"""
+with t as (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first,
+  md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) as pos,
+  md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) as said,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT as words from conversations where conv_id is not null),
+h as (select distinct c, c - c % 20 as base, xor(list_reduce(list_concat([4294967295::BIGINT],
+  list_transform(string_split(c::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+  lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+   lambda x, z: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)), 4294967295) % 4 as h from t),
+r as (select h.c, t.pos as pos, t.said, t.words from h join t on t.c = h.base and t.pos <= h.h
+ union all select h.c, t.pos, t.said, t.words from h join t on t.c = h.c and t.pos > h.h),
+d as (select c, row_number() over w as depth, words, string_agg(said, '') over w as path from r window w as (partition by c order by pos)),
+p as (select c, depth, words, path, left(path, (depth - 1) * 32) as up from d
+ union all select c, 0, 0, '', null from h),
+n as (select path, any_value(up) as up, any_value(depth) as depth, any_value(words) as words, min(c) as conv_id, count(*) as n_convs from p group by path),
+e as (select path, sha256(string_agg(c::VARCHAR, ',' order by c)) as ends
+ from (select c, max_by(path, depth) as path from p group by c) group by path),
+k as (select up as path, count(*) as n_children from n where up is not null group by up),
+v as (select n.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * words as saved from n left join k using (path)),
+s as (select a.path, sum(b.saved) as saved, count(*) filter (b.n_children = 0) as leaves from v a join v b on starts_with(b.path, a.path) group by a.path)
+select v.conv_id, v.depth::BIGINT as depth, u.conv_id as parent_conv_id, v.n_convs, v.n_children, s.leaves as n_leaves, s.saved::BIGINT as saved_tokens,
+ coalesce(e.ends, sha256('')) as ends_sha256
+from v join s using (path) left join n u on u.path = v.up left join e on e.path = v.path"""
