@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelake.llm import byte_bpe, divergence, exact_dedup, language, line_rules, mixing, pii, prefix_trie, quality, records, simhash, toxicity
+from codelake.llm import byte_bpe, divergence, exact_dedup, jaccard, language, line_rules, mixing, pii, prefix_trie, quality, records, simhash, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -170,6 +170,27 @@ r as (select *, row_number() over (partition by lang, source, part order by valu
 select * from r where part = 'pair' or rank <= 10"""
 
 
+@query
+def op12_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, folder, "documents"))
+
+
+ORACLES["op12_jaccard_join"] = r"""
+with d as (select row_number() over () as rn, doc_id, regexp_extract_all(
+ translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+g as (select rn, doc_id, list_sort(list_distinct(case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+ else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end)) as grams from d),
+s as (select md5(array_to_string(grams, chr(10))) as name, any_value(grams) as grams, any_value(len(grams)) as n, min(doc_id) as least
+ from g where len(grams) > 0 group by 1),
+e as (select name, n, unnest(grams) as gram from s),
+r as (select a.name as x, b.name as y from e a join e b on a.gram = b.gram and a.name <> b.name and a.n <= b.n * 5 // 4 + 1 and b.n <= a.n * 5 // 4 + 1
+ group by a.name, b.name, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach as (with recursive w(x, y) as (select name, name from s union select w.x, r.y from w join r on w.y = r.x) select x, y from w),
+c as (select reach.x as name, min(s.least) as component_id from reach join s on s.name = reach.y group by reach.x)
+select g.doc_id, len(g.grams)::BIGINT as n_shingles, case when len(g.grams) = 0 then g.doc_id else c.component_id end as component_id
+from g left join c on c.name = md5(array_to_string(g.grams, chr(10)))"""
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
