@@ -227,7 +227,7 @@ def pair_sums(trees: DataFrame, blocks: DataFrame) -> DataFrame:
                                        r["rows_a"] == r["rows_b"])
                 i, j = np.nonzero(visited)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([r["lang"]] * len(i)), pa.array(np.full(len(i), r["rows_a"], np.int32)), pa.array(np.full(len(i), r["rows_b"], np.int32)),
+                    pa.array([r["lang"]] * len(i), pa.string()), pa.array(np.full(len(i), r["rows_a"], np.int32)), pa.array(np.full(len(i), r["rows_b"], np.int32)),
                     pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(value[i, j]), pa.array(visited[i, j])], names)
 
     found = met.mapInArrow(run, "lang string, a int, b int, i int, j int, value long, visited long")
