@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -16,13 +18,16 @@ from codelake.operators.skew import lookup_join
 #: Words of an n-gram; hundredths of the union that two linked sets share at least.
 WORDS, PERCENT = 5, 80
 #: Entries of a row block, at which a task cuts its rows; entries of a column block, as intended.
-ROW_ENTRIES, COLUMN_ENTRIES = 2_000_000, 500_000
+ROW_ENTRIES, COLUMN_ENTRIES = 2_000_000, 2_000_000
+#: Bytes of a hash by which an n-gram is named in the blocks. Of two sets of 100 n-grams, two differ but share a name
+#: with a probability of 10^4 / 2^48.
+NAME = 6
 #: Counters of the sketch of all entries; a cell with so many times the mean holds frequent n-grams.
 CELLS, FREQUENT = 1 << 18, 4
 #: Sketch counters in a row; rows of a column's members that one task compares at once.
 SLICE, MEMBERS = 1 << 12, 20_000
-#: Rounds in which each set is compared with one partner per round, before all that is left.
-STAR_ROUNDS = 2
+#: Bits of the marks that a set carries; share of the sets below which a round's links are few.
+MARKS, FEW = 512, 0.01
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -108,30 +113,58 @@ def frequent_cells(slices: DataFrame) -> tuple[np.ndarray, int]:
     return np.where(cells > max(FREQUENT * total / CELLS, 1), cells, 0), total
 
 
+def named(grams: np.ndarray) -> np.ndarray:
+    """The names of n-grams: the low bytes of their hashes, sorted and distinct."""
+    return np.unique(grams & np.uint64(2 ** (8 * NAME) - 1))
+
+
+def packed(grams: np.ndarray) -> bytes:
+    return np.ascontiguousarray(grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :NAME]).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // NAME, 8), np.uint8)
+    wide[:, :NAME] = np.frombuffer(data, np.uint8).reshape(-1, NAME)
+    return wide.view("<u8").ravel()
+
+
+def narrow(lengths: np.ndarray) -> bytes:
+    """Lengths in as few bytes each as the largest needs; one per set, so :func:`lengths_of` knows how many."""
+    return lengths.astype(np.min_scalar_type(int(lengths.max(initial=0)))).tobytes()
+
+
+def lengths_of(part: dict) -> np.ndarray:
+    sets = len(part["sets"]) // 8
+    return np.frombuffer(part["lengths"], f"u{len(part['lengths']) // max(sets, 1) or 1}").astype(np.int64)
+
+
 def row_blocks(docs: DataFrame, text: str, words: int, hot: np.ndarray, columns: int) -> DataFrame:
     """The incidence matrix cut into blocks: (block, column, sets, sizes, grams, lengths).
 
-    A row block holds the distinct sets of a stretch of documents; a column block holds the n-grams of a range of hashes, as one
-    compressed row per set (``lengths`` and ``grams``). Frequent n-grams need no counting: they are in a negative column of their block.
+    A row block holds the distinct sets of a stretch of documents; a column block holds the n-grams of a range of names, as one
+    compressed row per set (``lengths`` and ``grams``). Frequent n-grams need no counting: they are in a negative column of their block,
+    which names all of its sets with their sizes.
     """
     few_rows(docs.sparkSession)
     names = ["block", "column", "sets", "sizes", "grams", "lengths"]
     kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-    shift = np.uint64(64 - (columns.bit_length() - 1))
+    shift = np.uint64(8 * NAME - (columns.bit_length() - 1))
 
     def cut(held, block):
         keys, grams = np.array(list(held), np.int64), list(held.values())
         sizes = np.fromiter(map(len, grams), np.int64, len(grams))
         flat, own = np.concatenate(grams), np.repeat(np.arange(len(grams)), sizes)
-        column = (flat >> shift).astype(np.int32) if columns > 1 else np.zeros(len(flat), np.int32)
-        column[hot[cell_of(flat)] > 0] = -1 - block % 2**31
+        column = (flat >> shift).astype(np.int64)
+        column[hot[cell_of(flat)] > 0] = -1
         order = np.argsort(column, kind="stable")
         flat, own, column = flat[order], own[order], column[order]
-        starts = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
-        rows = []
+        many = int(np.searchsorted(column, 0))
+        frequent = np.bincount(own[:many], minlength=len(keys))
+        rows = [(block, -1 - block % 2**31, keys.tobytes(), sizes.tobytes(), packed(flat[:many]), narrow(frequent))]
+        starts = many + np.flatnonzero(np.r_[True, column[many + 1:] != column[many:-1]]) if many < len(flat) else []
         for a, b in zip(starts, [*starts[1:], len(flat)]):
             there, lengths = np.unique(own[a:b], return_counts=True)
-            rows.append((block, int(column[a]), keys[there].tobytes(), sizes[there].tobytes(), flat[a:b].tobytes(), lengths.astype(np.int32).tobytes()))
+            rows.append((block, int(column[a]), keys[there].tobytes(), None, packed(flat[a:b]), narrow(lengths)))
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
     def run(batches):
@@ -141,7 +174,8 @@ def row_blocks(docs: DataFrame, text: str, words: int, hot: np.ndarray, columns:
                 grams = gram_set(t, words)
                 name = set_key(grams)
                 if len(grams) and name not in held:
-                    held[name], entries = grams, entries + len(grams)
+                    held[name] = named(grams)
+                    entries += len(grams)
                     if entries >= ROW_ENTRIES:
                         yield cut(held, block)
                         held, entries, block = {}, 0, block + 1
@@ -166,8 +200,8 @@ def shared_entries(blocks: DataFrame) -> DataFrame:
             yield from (tuple(p.get(name) for name in names) for p in parts)
             return
         keys = [np.frombuffer(p["sets"], np.int64) for p in parts]
-        lengths = [np.frombuffer(p["lengths"], np.int32) for p in parts]
-        grams = np.concatenate([np.frombuffer(p["grams"], np.uint64) for p in parts])
+        lengths = [lengths_of(p) for p in parts]
+        grams = np.concatenate([unpacked(p["grams"]) for p in parts])
         row_key, row_length = np.concatenate(keys), np.concatenate(lengths)
         first = np.zeros(len(row_key), bool)
         first[np.unique(row_key, return_index=True)[1]] = True
@@ -175,18 +209,17 @@ def shared_entries(blocks: DataFrame) -> DataFrame:
         _, place, count = np.unique(grams[kept], return_inverse=True, return_counts=True)
         counts = np.zeros(len(grams), np.int64)
         counts[kept] = count[place]
-        start = row = 0
+        start = 0
         for p, k, n in zip(parts, keys, lengths):
             end = start + int(n.sum())
             yield part(p, k, n, grams[start:end], counts[start:end], counts[start:end] > 1)
-            start, row = end, row + len(k)
+            start = end
 
     def part(p, keys, lengths, grams, counts, kept):
         own = np.repeat(np.arange(len(keys)), lengths)[kept]
         there, left = np.unique(own, return_counts=True)
-        sizes = np.frombuffer(p["sizes"], np.int64)
-        return (p["block"], p["column"], keys[there].tobytes(), sizes[there].tobytes(), grams[kept].tobytes(),
-                left.astype(np.int32).tobytes(), np.minimum(counts[kept], 2**31 - 1).astype(np.int32).tobytes())
+        return (p["block"], p["column"], keys[there].tobytes(), None, packed(grams[kept]), narrow(left),
+                np.minimum(counts[kept], 2**31 - 1).astype(np.int32).tobytes())
 
     def run(batches):
         column, parts = None, []
@@ -208,33 +241,43 @@ def shared_entries(blocks: DataFrame) -> DataFrame:
     return blocks.repartition("column").sortWithinPartitions("column", "block").mapInArrow(run, schema)
 
 
+def marks_of(grams: np.ndarray) -> bytes:
+    """Bits that each n-gram turns over: in so many bits as differ, two sets differ in as many n-grams at least."""
+    turned = np.bincount(((grams * MIX) >> np.uint64(40)).astype(np.int64) % MARKS, minlength=MARKS) & 1
+    return np.packbits(turned.astype(np.uint8)).tobytes()
+
+
 def candidates(entries: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
-    """(set, n, grams, prefix) of the sets that share enough n-grams with others to be linked at all.
+    """(set, n, grams, prefix, marks) of the sets that share enough n-grams with others to be linked at all.
 
     ``grams`` are the shared ones, sorted; ``prefix`` the shared ones among the first n - bound + 1 of the set, rarest first: two
-    linked sets have one of these in common.
+    linked sets have one of these in common. ``marks``: see :func:`marks_of`.
     """
-    names, kinds = ["set", "n", "grams", "prefix"], [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+    names = ["set", "n", "grams", "prefix", "marks"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
 
     def assembled(parts):
-        key, size, gram, count = [], [], [], []
+        key, gram, count, sizes = [], [], [], {}
         for p in parts:
-            lengths = np.frombuffer(p["lengths"], np.int32)
-            grams = np.frombuffer(p["grams"], np.uint64)
-            key.append(np.repeat(np.frombuffer(p["sets"], np.int64), lengths))
-            size.append(np.repeat(np.frombuffer(p["sizes"], np.int64), lengths))
+            keys, grams = np.frombuffer(p["sets"], np.int64), unpacked(p["grams"])
+            key.append(np.repeat(keys, lengths_of(p)))
             gram.append(grams)
-            # frequent n-grams come after all counted ones
-            count.append(hot[cell_of(grams)] + (1 << 40) if p["counts"] is None else np.frombuffer(p["counts"], np.int32).astype(np.int64))
-        key, size, gram, count = map(np.concatenate, (key, size, gram, count))
+            if p["counts"] is None:  # frequent n-grams come after all counted ones
+                sizes = dict(zip(keys.tolist(), np.frombuffer(p["sizes"], np.int64).tolist()))
+                count.append(hot[cell_of(grams)] + (1 << 40))
+            else:
+                count.append(np.frombuffer(p["counts"], np.int32).astype(np.int64))
+        key, gram, count = map(np.concatenate, (key, gram, count))
+        if not len(key):
+            return
         order = np.lexsort((gram, count, key))
-        key, size, gram = key[order], size[order], gram[order]
+        key, gram = key[order], gram[order]
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         for a, b in zip(starts, [*starts[1:], len(key)]):
-            n = int(size[a])
+            n = sizes[int(key[a])]
             if b - a >= bound(n, percent):
                 alone = n - (b - a)  # n-grams of no other set come first
-                yield int(key[a]), n, np.sort(gram[a:b]).tobytes(), gram[a:a + n - bound(n, percent) + 1 - alone].view(np.int64)
+                yield int(key[a]), n, np.sort(gram[a:b]).tobytes(), gram[a:a + n - bound(n, percent) + 1 - alone].view(np.int64), marks_of(gram[a:b])
 
     def run(batches):
         block, parts = None, []
@@ -253,7 +296,7 @@ def candidates(entries: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
     placed = entries.repartition("block").sortWithinPartitions("block")
-    found = placed.mapInArrow(run, "set long, n long, grams binary, prefix array<long>")
+    found = placed.mapInArrow(run, "set long, n long, grams binary, prefix array<long>, marks binary")
     return found
 
 
@@ -285,12 +328,13 @@ def labelled(rows: DataFrame, links: DataFrame | None) -> DataFrame:
     return rows.join(components(links), F.col("set") == F.col("node"), "left").withColumn("part", F.coalesce("root", "set")).drop("node", "root")
 
 
-def star_pairs(members: DataFrame, round_: int) -> DataFrame:
-    """One partner of another component for each set: the one that leads most of the columns they share.
+def star_pairs(members: DataFrame) -> DataFrame:
+    """One partner for each set: the one that leads most of the columns they share.
 
-    A column's members of like size are led by the set whose component comes first in a new order each round.
+    A column's members of like size are led by the first of them in an order of all sets. Dense groups come together
+    in this round, at a cost that grows with their size only.
     """
-    order = F.xxhash64("part", F.lit(round_))
+    order = F.xxhash64("part")
     like = F.floor(F.log("n") / F.log(F.lit(1.25)))
     rows = members.withColumn("like", like).withColumn("lead", F.struct(order.alias("order"), "part", "set"))
     leads = rows.groupBy("gram", "like").agg(F.min("lead").alias("low"), F.max("lead").alias("high"), F.count("*").alias("n")).where("low.part <> high.part")
@@ -301,66 +345,86 @@ def star_pairs(members: DataFrame, round_: int) -> DataFrame:
     return best.select(F.least("x", "best.y").alias("x"), F.greatest("x", "best.y").alias("y")).distinct()
 
 
-def column_pairs(members: DataFrame, percent: int, most: int) -> DataFrame:
+def column_pairs(members: DataFrame, percent: int, most: int, best: bool) -> DataFrame:
     """All pairs of sets of different components that have a prefix n-gram in common and may reach the bound.
 
-    By sizes, and by what can still follow the common n-gram in either prefix order. A column of one component needs no
-    work; one with more than ``most`` members is dealt over cells, each of which compares its own with all.
+    With ``best``, one for each set, the most promising. Pairs are judged by their sizes, by what can still follow the common n-gram in
+    either prefix order, and by their marks. A column of one component needs no work; one with more than ``most``
+    members is dealt over cells, each of which compares its own with all.
     """
     mixed = stored(members.groupBy("gram").agg(F.count("*").alias("members"), F.min("part").alias("low"), F.max("part").alias("high")).where(
         "low <> high").select("gram", "members", F.ceil(F.col("members") / most).cast("int").alias("cells")), "jaccard-columns")
-    crowded = mixed.select("gram", "cells", F.col("members").alias("n"))
-    rows = lookup_join(members, crowded.drop("n"), ["gram"], ["set"], counts=crowded.select("gram", "n"))
+    rows = lookup_join(members, mixed.select("gram", "cells"), ["gram"], ["set"], counts=mixed.select("gram", F.col("members").alias("n")))
     own = F.pmod(F.xxhash64("set"), F.col("cells")).cast("int")
-    dealt = rows.select("gram", "set", "n", "rest", "part", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"))
-    dealt = dealt.select("gram", "cell", "set", "n", "rest", "part", (F.col("own") == F.col("cell")).alias("home"))
+    carried = ["gram", "set", "n", "rest", "part", "shared", "marks"]
+    dealt = rows.select(*carried, own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"))
+    dealt = dealt.select("cell", *carried, (F.col("own") == F.col("cell")).alias("home"))
     placed = dealt.repartition("gram", "cell").sortWithinPartitions("gram", "cell", F.desc("home"))
 
     def run(batches):
-        held_key, held = None, None
+        held_key, held, held_marks = None, None, None
         for batch in batches:
             gram, cell = batch.column("gram").to_numpy(), batch.column("cell").to_numpy()
-            data = np.stack([batch.column(c).to_numpy() for c in ("set", "n", "rest", "part")])
+            data = np.stack([batch.column(c).to_numpy() for c in ("set", "n", "rest", "part", "shared")])
+            marks = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.uint64).reshape(-1, MARKS // 64)
             home = batch.column("home").to_numpy(zero_copy_only=False).astype(bool)
             if not len(gram):
                 continue
             starts = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (cell[1:] != cell[:-1])])
-            x, y = [], []
+            found = []
             for a, b in zip(starts, [*starts[1:], len(gram)]):
-                mine = data[:, a:b][:, home[a:b]]
+                mine, own_marks = data[:, a:b][:, home[a:b]], marks[a:b][home[a:b]]
                 if (gram[a], cell[a]) == held_key:
-                    held = np.concatenate([held, mine], axis=1)
+                    held, held_marks = np.concatenate([held, mine], axis=1), np.concatenate([held_marks, own_marks])
                 else:
-                    held_key, held = (gram[a], cell[a]), mine
-                for p, q in facing(held, data[:, a:b], percent):
-                    x.append(p)
-                    y.append(q)
-            if x:
-                found = np.unique(np.stack([np.concatenate(x), np.concatenate(y)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["x", "y"])
+                    held_key, held, held_marks = (gram[a], cell[a]), mine, own_marks
+                found += facing(held, held_marks, data[:, a:b], marks[a:b], percent, best)
+            if found:
+                x, y, slack = np.concatenate(found, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(slack)], ["x", "y", "slack"])
 
-    return placed.mapInArrow(run, "x long, y long").distinct()
+    met = placed.mapInArrow(run, "x long, y long, slack long")
+    if best:
+        met = met.groupBy("x").agg(F.max(F.struct("slack", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
+    return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def facing(homes: np.ndarray, others: np.ndarray, percent: int, step: int = 1 << 20):
-    """Pairs of different components whose sizes and remaining prefix order allow the overlap, a block at a time."""
-    key, n, rest, part = others
+def facing(homes: np.ndarray, home_marks: np.ndarray, others: np.ndarray, other_marks: np.ndarray, percent: int, best: bool,
+           step: int = 1 << 18) -> list[np.ndarray]:
+    """(one, other, slack) of different components where sizes, the remaining prefix order and marks allow the overlap.
+
+    ``slack`` is by how much; with ``best``, only a home's largest. A block of the product at a time.
+    """
+    key, n, rest, part, shared = others
     if (part == part[0]).all() and (homes[3] == part[0]).all():
-        return
-    rows = max(1, step // max(len(key), 1))
+        return []
+    rows, found = max(1, step // max(len(key), 1)), []
     for a in range(0, homes.shape[1], rows):
-        k, m, r, p = (v[a:a + rows, None] for v in homes)
-        needed = -(-percent * (m + n) // (100 + percent))
-        may = (p != part) & (np.minimum(r, rest) >= needed)
-        i, j = np.nonzero(may)
+        k, m, r, p, s = homes[:, a:a + rows]
+        needed = -(-percent * (m[:, None] + n) // (100 + percent))
+        i, j = np.nonzero((p[:, None] != part) & (np.minimum(r[:, None], rest) >= needed))
+        if not len(i):
+            continue
+        differ = np.bitwise_count(home_marks[a:a + rows][i] ^ other_marks[j]).sum(axis=1, dtype=np.int64)
+        slack = (s[i] + shared[j] - differ) // 2 - needed[i, j]
+        may = slack >= 0
+        i, j, slack = i[may], j[may], slack[may]
+        if best and len(i):
+            order = np.lexsort((key[j], -slack, i))
+            first = order[np.r_[True, i[order][1:] != i[order][:-1]]]
+            i, j, slack = i[first], j[first], slack[first]
         if len(i):
-            one, two = homes[0][a + i], key[j]
-            yield np.minimum(one, two), np.maximum(one, two)
+            found.append(np.stack([k[i], key[j], slack]))
+    return found
 
 
 def linked_sets(docs: DataFrame, text: str, words: int, percent: int, slices: DataFrame, most: int = MEMBERS,
-                column_entries: int = COLUMN_ENTRIES, rounds: int = STAR_ROUNDS) -> DataFrame | None:
-    """Links (src, dst) between sets, of which chains join every two sets with a Jaccard similarity of ``percent`` or more."""
+                column_entries: int = COLUMN_ENTRIES) -> DataFrame | None:
+    """Links (src, dst) between sets, of which chains join every two sets with a Jaccard similarity of ``percent`` or more.
+
+    First each set against one leader, then, until few links come of it, each against its most promising partner, then all that is
+    left. A round leaves out what the components so far join already, so that dense groups don't give all of their pairs.
+    """
     hot, total = frequent_cells(slices)
     if not total:
         return None
@@ -368,22 +432,26 @@ def linked_sets(docs: DataFrame, text: str, words: int, percent: int, slices: Da
     blocks = row_blocks(docs, text, words, hot, columns)
     chosen = stored(candidates(shared_entries(blocks), hot, percent), "jaccard-candidates")
     # a set may be in several row blocks: the first one has all that is shared, others the frequent n-grams alone
-    fullest = F.max_by(F.struct("n", "grams", "prefix"), F.octet_length("grams"))
+    fullest = F.max_by(F.struct("n", "grams", "prefix", "marks"), F.octet_length("grams"))
     chosen = stored(chosen.groupBy("set").agg(fullest.alias("all")).select("set", "all.*"), "jaccard-sets")
-    prefix = chosen.select("set", "n", F.posexplode("prefix").alias("pos", "gram"), F.size("prefix").alias("long"))
+    prefix = chosen.select("set", "n", (F.octet_length("grams") / 8).cast("long").alias("shared"), "marks",
+                           F.posexplode("prefix").alias("pos", "gram"), F.size("prefix").alias("long"))
     # what follows the n-gram at this place of the prefix, itself included
-    prefix = stored(prefix.select("gram", "set", "n", (bound_column(F.col("n"), percent) + F.col("long") - 1 - F.col("pos")).alias("rest")), "jaccard-prefixes")
-    links = None
-    for n in range(rounds + 1):
-        members = labelled(prefix, links)
-        if n < rounds:
-            members = stored(members, "jaccard-members")
-            pairs = star_pairs(members, n)
-        else:
-            pairs = column_pairs(stored(members, "jaccard-members"), percent, most)
-        new = verified(stored(pairs, "jaccard-pairs"), chosen, percent)
-        links = stored(new if links is None else links.unionByName(new), "jaccard-links")
-    return links
+    rest = bound_column(F.col("n"), percent) + F.col("long") - 1 - F.col("pos")
+    prefix = prefix.select("gram", "set", "n", rest.alias("rest"), "shared", "marks")
+    few = chosen.count() * FEW
+    links, _ = with_round(star_pairs, prefix, chosen, None, percent)
+    found = few + 1
+    while found > few:
+        links, found = with_round(lambda m: column_pairs(m, percent, most, True), prefix, chosen, links, percent)
+    return with_round(lambda m: column_pairs(m, percent, most, False), prefix, chosen, links, percent)[0]
+
+
+def with_round(partners: Callable, prefix: DataFrame, chosen: DataFrame, links: DataFrame | None, percent: int) -> tuple[DataFrame, int]:
+    """The links with those among the pairs that ``partners`` makes of the prefixes, and how many came."""
+    pairs = stored(partners(stored(labelled(prefix, links), "jaccard-members")), "jaccard-pairs")
+    new = stored(verified(pairs, chosen, percent), "jaccard-links")
+    return new if links is None else links.unionByName(new), new.count()
 
 
 def bound_column(n: Column, percent: int) -> Column:
@@ -414,7 +482,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     else:
         nodes = nodes.withColumnRenamed("least", "component_id")
     counts = per_doc.where("n > 0").groupBy("set").agg(F.count("*").alias("n"))
-    named = lookup_join(per_doc.where("n > 0"), nodes, ["set"], ["doc_id"], "left", counts=stored(counts, "jaccard-copies"))
+    found = lookup_join(per_doc.where("n > 0"), nodes, ["set"], ["doc_id"], "left", counts=stored(counts, "jaccard-copies"))
     lone = per_doc.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    return named.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
         lone.select("doc_id", F.col("n").alias("n_shingles"), "component_id"))

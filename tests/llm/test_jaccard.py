@@ -62,9 +62,9 @@ def crowd(seed):
     return rows + [(500 + i, t) for i, t in rows[:30]]
 
 
-@pytest.mark.parametrize("tuning", [{}, {"most": 20, "column_entries": 500, "rounds": 0}, {"most": 7, "column_entries": 100, "rounds": 1}])
+@pytest.mark.parametrize("tuning", [{}, {"most": 20, "column_entries": 500}, {"most": 7, "column_entries": 100}])
 def test_crowd(spark, tuning):
-    rows = crowd(len(tuning) + 3)
+    rows = crowd(tuning.get("most", 3))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert found(jaccard_join(df, **tuning)) == brute(rows)
 
