@@ -258,6 +258,7 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source:
         "blocks", F.ceil(F.col("terms") / block_terms))
     inside = Window.partitionBy("lang", "columns").orderBy(F.desc("lang_n"), "term")
     columns = kept.join(tongues, "lang").withColumn("columns", F.pmod(F.xxhash64("term"), F.col("blocks")))
+    columns = columns.repartition("lang", "columns")  # else the join leaves each language in one task
     columns = stored(columns.withColumn("column", F.row_number().over(inside) - 1).withColumn(
         "width", F.count("*").over(Window.partitionBy("lang", "columns"))).select(
         "lang", "term", "lang_n", "columns", F.col("column").cast("int"), F.col("width").cast("int")), "divergence-columns")
