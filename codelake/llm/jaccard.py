@@ -17,8 +17,8 @@ from codelake.operators.skew import lookup_join
 
 #: Words of an n-gram; hundredths of the union that two linked sets share at least.
 WORDS, PERCENT = 5, 80
-#: Entries and sets of a row block, at which a task cuts its rows; entries of a column block, as intended.
-ROW_ENTRIES, ROW_SETS, COLUMN_ENTRIES = 2_000_000, 1 << 16, 2_000_000
+#: Entries of a row block, at which a task cuts its rows; entries of a column block, as intended.
+ROW_ENTRIES, COLUMN_ENTRIES = 2_000_000, 4_000_000
 #: Bytes of a hash by which an n-gram is named in the blocks. Of two sets of 100 n-grams, two differ but share a name
 #: with a probability of 10^4 / 2^48.
 NAME = 6
@@ -128,32 +128,25 @@ def unpacked(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def owners(own: np.ndarray) -> bytes:
-    """For ascending numbers of sets, one per entry: so many entries per set, or the numbers themselves, whichever is shorter.
-
-    The first byte says how many bytes a length takes; 0: two bytes a number.
-    """
-    lengths = np.bincount(own)
-    lengths = lengths.astype(np.min_scalar_type(int(lengths.max(initial=0))))
-    return bytes([lengths.itemsize]) + lengths.tobytes() if lengths.nbytes <= 2 * len(own) else b"\0" + own.astype("<u2").tobytes()
+def narrow(lengths: np.ndarray) -> bytes:
+    """Lengths in as few bytes each as the largest needs; one per set, so :func:`lengths_of` knows how many."""
+    return lengths.astype(np.min_scalar_type(int(lengths.max(initial=0)))).tobytes()
 
 
-def owned(data: bytes) -> np.ndarray:
-    if data[0] == 0:
-        return np.frombuffer(data, "<u2", offset=1).astype(np.int64)
-    lengths = np.frombuffer(data, f"<u{data[0]}", offset=1)
-    return np.repeat(np.arange(len(lengths)), lengths)
+def lengths_of(part: dict) -> np.ndarray:
+    sets = len(part["sets"]) // 8
+    return np.frombuffer(part["lengths"], f"u{len(part['lengths']) // max(sets, 1) or 1}").astype(np.int64)
 
 
 def row_blocks(docs: DataFrame, text: str, words: int, hot: np.ndarray, columns: int) -> DataFrame:
-    """The incidence matrix cut into blocks: (block, column, sets, sizes, grams, owners).
+    """The incidence matrix cut into blocks: (block, column, sets, sizes, grams, lengths).
 
-    A row block holds the distinct sets of a stretch of documents; a column block holds the n-grams of a range of names: ``grams``, and
-    the ``owners`` of each in the row block, two bytes an entry at most. Frequent n-grams need no counting: they are in a
-    negative column of their block, which also has the keys and sizes of its sets.
+    A row block holds the distinct sets of a stretch of documents; a column block holds the n-grams of a range of names, as one
+    compressed row per set (``lengths`` and ``grams``). Frequent n-grams need no counting: they are in a negative column of their block,
+    which names all of its sets with their sizes.
     """
     few_rows(docs.sparkSession)
-    names = ["block", "column", "sets", "sizes", "grams", "owners"]
+    names = ["block", "column", "sets", "sizes", "grams", "lengths"]
     kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
     shift = np.uint64(8 * NAME - (columns.bit_length() - 1))
 
@@ -166,10 +159,12 @@ def row_blocks(docs: DataFrame, text: str, words: int, hot: np.ndarray, columns:
         order = np.argsort(column, kind="stable")
         flat, own, column = flat[order], own[order], column[order]
         many = int(np.searchsorted(column, 0))
-        rows = [(block, -1 - block % 2**31, keys.tobytes(), sizes.tobytes(), packed(flat[:many]), owners(own[:many]))]
+        frequent = np.bincount(own[:many], minlength=len(keys))
+        rows = [(block, -1 - block % 2**31, keys.tobytes(), sizes.tobytes(), packed(flat[:many]), narrow(frequent))]
         starts = many + np.flatnonzero(np.r_[True, column[many + 1:] != column[many:-1]]) if many < len(flat) else []
         for a, b in zip(starts, [*starts[1:], len(flat)]):
-            rows.append((block, int(column[a]), None, None, packed(flat[a:b]), owners(own[a:b])))
+            there, lengths = np.unique(own[a:b], return_counts=True)
+            rows.append((block, int(column[a]), keys[there].tobytes(), None, packed(flat[a:b]), narrow(lengths)))
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
     def run(batches):
@@ -181,40 +176,51 @@ def row_blocks(docs: DataFrame, text: str, words: int, hot: np.ndarray, columns:
                 if len(grams) and name not in held:
                     held[name] = named(grams)
                     entries += len(grams)
-                    if entries >= ROW_ENTRIES or len(held) == ROW_SETS:
+                    if entries >= ROW_ENTRIES:
                         yield cut(held, block)
                         held, entries, block = {}, 0, block + 1
         if held:
             yield cut(held, block)
 
-    schema = "block long, column int, sets binary, sizes binary, grams binary, owners binary"
+    schema = "block long, column int, sets binary, sizes binary, grams binary, lengths binary"
     return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def shared_entries(blocks: DataFrame) -> DataFrame:
-    """What of the blocks other sets have too: (block, column, sets, sizes, grams, owners, counts).
+    """What of the blocks other sets have too: (block, column, sets, sizes, grams, lengths, counts).
 
-    A column block's parts meet in one task, which counts the sets of each n-gram; equal sets of several row blocks count
-    each. ``counts`` says how many sets have each n-gram; frequent ones pass as they are.
+    A column block's parts meet in one task, which counts the distinct sets of each n-gram; equal sets of several
+    row blocks count once, and stay in the first. ``counts`` says how many sets have each n-gram; frequent ones pass as they are.
     """
-    names = ["block", "column", "sets", "sizes", "grams", "owners", "counts"]
+    names = ["block", "column", "sets", "sizes", "grams", "lengths", "counts"]
     kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
 
     def counted(parts):
         if parts[0]["column"] < 0:
             yield from (tuple(p.get(name) for name in names) for p in parts)
             return
+        keys = [np.frombuffer(p["sets"], np.int64) for p in parts]
+        lengths = [lengths_of(p) for p in parts]
         grams = np.concatenate([unpacked(p["grams"]) for p in parts])
-        _, place, count = np.unique(grams, return_inverse=True, return_counts=True)
-        counts, start = np.minimum(count, 2**31 - 1).astype(np.int32)[place], 0
-        for p in parts:
-            end = start + len(p["grams"]) // NAME
-            kept = counts[start:end] > 1
-            if kept.any():
-                yield (p["block"], p["column"], None, None, packed(grams[start:end][kept]), owners(owned(p["owners"])[kept]),
-                       counts[start:end][kept].tobytes())
+        row_key, row_length = np.concatenate(keys), np.concatenate(lengths)
+        first = np.zeros(len(row_key), bool)
+        first[np.unique(row_key, return_index=True)[1]] = True
+        kept = np.repeat(first, row_length)
+        _, place, count = np.unique(grams[kept], return_inverse=True, return_counts=True)
+        counts = np.zeros(len(grams), np.int64)
+        counts[kept] = count[place]
+        start = 0
+        for p, k, n in zip(parts, keys, lengths):
+            end = start + int(n.sum())
+            yield part(p, k, n, grams[start:end], counts[start:end], counts[start:end] > 1)
             start = end
 
+    def part(p, keys, lengths, grams, counts, kept):
+        own = np.repeat(np.arange(len(keys)), lengths)[kept]
+        there, left = np.unique(own, return_counts=True)
+        return (p["block"], p["column"], keys[there].tobytes(), None, packed(grams[kept]), narrow(left),
+                np.minimum(counts[kept], 2**31 - 1).astype(np.int32).tobytes())
+
     def run(batches):
         column, parts = None, []
         for batch in batches:
@@ -228,10 +234,10 @@ def shared_entries(blocks: DataFrame) -> DataFrame:
             yield out(counted(parts))
 
     def out(rows):
-        rows = list(rows)
+        rows = [r for r in rows if r[2]]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
-    schema = "block long, column int, sets binary, sizes binary, grams binary, owners binary, counts binary"
+    schema = "block long, column int, sets binary, sizes binary, grams binary, lengths binary, counts binary"
     return blocks.repartition("column").sortWithinPartitions("column", "block").mapInArrow(run, schema)
 
 
@@ -251,15 +257,16 @@ def candidates(entries: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
 
     def assembled(parts):
-        key, gram, count = [], [], []
-        keys = np.frombuffer(parts[0]["sets"], np.int64)  # the negative column comes first
-        sizes = dict(zip(keys.tolist(), np.frombuffer(parts[0]["sizes"], np.int64).tolist()))
+        key, gram, count, sizes = [], [], [], {}
         for p in parts:
-            grams = unpacked(p["grams"])
-            key.append(keys[owned(p["owners"])])
+            keys, grams = np.frombuffer(p["sets"], np.int64), unpacked(p["grams"])
+            key.append(np.repeat(keys, lengths_of(p)))
             gram.append(grams)
-            # frequent n-grams come after all counted ones
-            count.append(hot[cell_of(grams)] + (1 << 40) if p["counts"] is None else np.frombuffer(p["counts"], np.int32).astype(np.int64))
+            if p["counts"] is None:  # frequent n-grams come after all counted ones
+                sizes = dict(zip(keys.tolist(), np.frombuffer(p["sizes"], np.int64).tolist()))
+                count.append(hot[cell_of(grams)] + (1 << 40))
+            else:
+                count.append(np.frombuffer(p["counts"], np.int32).astype(np.int64))
         key, gram, count = map(np.concatenate, (key, gram, count))
         if not len(key):
             return
@@ -270,7 +277,7 @@ def candidates(entries: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
             n = sizes[int(key[a])]
             if b - a >= bound(n, percent):
                 alone = n - (b - a)  # n-grams of no other set come first
-                yield int(key[a]), n, np.sort(gram[a:b]).tobytes(), gram[a:a + n - bound(n, percent) + 1 - alone].view(np.int64), marks_of(gram[a:b])
+                yield int(key[a]), n, packed(np.sort(gram[a:b])), gram[a:a + n - bound(n, percent) + 1 - alone].view(np.int64), marks_of(gram[a:b])
 
     def run(batches):
         block, parts = None, []
@@ -288,8 +295,9 @@ def candidates(entries: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
         rows = list(rows)
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
-    placed = entries.repartition("block").sortWithinPartitions("block", "column")
-    return placed.mapInArrow(run, "set long, n long, grams binary, prefix array<long>, marks binary")
+    placed = entries.repartition("block").sortWithinPartitions("block")
+    found = placed.mapInArrow(run, "set long, n long, grams binary, prefix array<long>, marks binary")
+    return found
 
 
 def verified(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
@@ -304,7 +312,7 @@ def verified(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
             a, b = batch.column("n_x").to_pylist(), batch.column("n_y").to_pylist()
             kept = []
             for i, (m, n, g, h) in enumerate(zip(a, b, batch.column("grams_x"), batch.column("grams_y"))):
-                g, h = np.frombuffer(g.as_buffer(), np.uint64), np.frombuffer(h.as_buffer(), np.uint64)
+                g, h = unpacked(g.as_py()), unpacked(h.as_py())
                 both = len(g) + len(h) - len(np.union1d(g, h))
                 if 100 * both >= percent * (m + n - both):
                     kept.append(i)
@@ -337,7 +345,7 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return best.select(F.least("x", "best.y").alias("x"), F.greatest("x", "best.y").alias("y")).distinct()
 
 
-def column_pairs(members: DataFrame, percent: int, most: int, best: bool) -> DataFrame:
+def column_pairs(members: DataFrame, traits: DataFrame, percent: int, most: int, best: bool) -> DataFrame:
     """All pairs of sets of different components that have a prefix n-gram in common and may reach the bound.
 
     With ``best``, one for each set, the most promising. Pairs are judged by their sizes, by what can still follow the common n-gram in
@@ -347,6 +355,7 @@ def column_pairs(members: DataFrame, percent: int, most: int, best: bool) -> Dat
     mixed = stored(members.groupBy("gram").agg(F.count("*").alias("members"), F.min("part").alias("low"), F.max("part").alias("high")).where(
         "low <> high").select("gram", "members", F.ceil(F.col("members") / most).cast("int").alias("cells")), "jaccard-columns")
     rows = lookup_join(members, mixed.select("gram", "cells"), ["gram"], ["set"], counts=mixed.select("gram", F.col("members").alias("n")))
+    rows = rows.join(traits, "set")
     own = F.pmod(F.xxhash64("set"), F.col("cells")).cast("int")
     carried = ["gram", "set", "n", "rest", "part", "shared", "marks"]
     dealt = rows.select(*carried, own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"))
@@ -423,19 +432,22 @@ def linked_sets(docs: DataFrame, text: str, words: int, percent: int, slices: Da
     columns = 1 << max(0, (total // column_entries).bit_length())
     blocks = row_blocks(docs, text, words, hot, columns)
     chosen = stored(candidates(shared_entries(blocks), hot, percent), "jaccard-candidates")
-    # a set may be in several row blocks, as the same row
-    chosen = stored(chosen.groupBy("set").agg(*[F.first(c).alias(c) for c in ("n", "grams", "prefix", "marks")]), "jaccard-sets")
-    prefix = chosen.select("set", "n", (F.octet_length("grams") / 8).cast("long").alias("shared"), "marks",
-                           F.posexplode("prefix").alias("pos", "gram"), F.size("prefix").alias("long"))
+    # a set may be in several row blocks: the first one has all that is shared, others the frequent n-grams alone
+    fullest = F.max_by(F.struct("n", "grams", "prefix", "marks"), F.octet_length("grams"))
+    chosen = stored(chosen.groupBy("set").agg(fullest.alias("all")).select("set", "all.*"), "jaccard-sets")
+    prefix = chosen.select("set", "n", F.posexplode("prefix").alias("pos", "gram"), F.size("prefix").alias("long"))
     # what follows the n-gram at this place of the prefix, itself included
     rest = bound_column(F.col("n"), percent) + F.col("long") - 1 - F.col("pos")
-    prefix = prefix.select("gram", "set", "n", rest.alias("rest"), "shared", "marks")
+    prefix = prefix.select("gram", "set", "n", rest.alias("rest"))
+    met = prefix.groupBy("gram").agg(F.count("*").alias("met")).where("met > 1")
+    prefix = stored(lookup_join(prefix, met.select("gram"), ["gram"], ["set"], counts=met.select("gram", F.col("met").alias("n"))), "jaccard-prefixes")
+    traits = chosen.select("set", (F.octet_length("grams") / NAME).cast("long").alias("shared"), "marks")
     few = chosen.count() * FEW
     links, _ = with_round(star_pairs, prefix, chosen, None, percent)
     found = few + 1
     while found > few:
-        links, found = with_round(lambda m: column_pairs(m, percent, most, True), prefix, chosen, links, percent)
-    return with_round(lambda m: column_pairs(m, percent, most, False), prefix, chosen, links, percent)[0]
+        links, found = with_round(lambda m: column_pairs(m, traits, percent, most, True), prefix, chosen, links, percent)
+    return with_round(lambda m: column_pairs(m, traits, percent, most, False), prefix, chosen, links, percent)[0]
 
 
 def with_round(partners: Callable, prefix: DataFrame, chosen: DataFrame, links: DataFrame | None, percent: int) -> tuple[DataFrame, int]:
