@@ -1,11 +1,13 @@
 """Pairs mined from the generated programs."""
 
+import ast
+
 from pyspark.sql import functions as F
 
 from codelake.catalog.base import CODE, key_sql, query
-from codelake.operators import normalize, pairs
+from codelake.operators import normalize, pairs, similar
 from codelake.session import durable
-from codelake.sources.generated import generated_code
+from codelake.sources.generated import SHAPES, generated_code, generated_shapes
 
 CAP = 250
 
@@ -116,3 +118,55 @@ union all select a.id, b.id, 'semi_hard_negative' from firsts a join firsts b
 def mine_pairs(spark, folder):
     code = normalize.with_facts(generated_code(spark, folder), "structure_sha256")
     return pairs.mine_pairs(code, "submission_id", CAP)
+
+
+def gram_names(code: str) -> str:
+    """The node-type n-grams of one statement of the generated shapes, as a list for SQL."""
+    found, todo = set(), [(ast.parse(code.replace("~", "\n").format(k=1)), "", "")]
+    while todo:
+        node, parent, grandparent = todo.pop()
+        name = type(node).__name__
+        found.add(f"{name}<{parent}<{grandparent}")
+        todo += [(child, name, parent) for child in ast.iter_child_nodes(node)]
+    return "[" + ",".join(f"'{g}'" for g in sorted(found)) + "]"
+
+
+# All pairs of shapes are compared here: a shape's n-grams are those of its statements.
+ALL_SHAPES = f"""shapes as (select o_orderkey as id, o_custkey % {1 << len(SHAPES)} as shape, o_custkey % 11 as problem from orders where o_orderkey % 50 <> 0),
+kinds as (select shape, min(id) as id, count(*) as members from shapes group by shape),
+grams as (select *, list_distinct(flatten([{gram_names('last = 0~')},
+ {', '.join(f'case when (shape // {1 << bit}) % 2 = 1 then {gram_names(code)} else [] end' for bit, code in enumerate(SHAPES))}])) as grams from kinds),
+sets as (select list_sort(grams) as grams, min(id) as id, sum(members)::BIGINT as members from grams group by 1)"""
+
+
+@query("join9_similar_structures", f"""
+with {ALL_SHAPES}, met as (select a.id as x, b.id as y, a.members as m, b.members as n, len(list_intersect(a.grams, b.grams)) as shared,
+ len(a.grams) + len(b.grams) as sizes from sets a join sets b on a.id < b.id)
+select x as id1, y as id2, m as members1, n as members2, shared::INTEGER as shared, (sizes - shared)::INTEGER as total from met
+where shared >= (sizes - shared) * 0.8::DOUBLE""")
+def similar_structures(spark, folder):
+    shapes, _ = similar.structures(generated_shapes(spark, folder), "submission_id")
+    found = similar.similar_structures(shapes)
+    names = shapes.select("structure", "first", "members")
+    for side in ("1", "2"):
+        found = found.join(names.toDF(f"structure{side}", f"first{side}", f"_members{side}"), f"structure{side}")
+    swap = F.col("first1") > F.col("first2")
+    return found.select(
+        F.least("first1", "first2").alias("id1"), F.greatest("first1", "first2").alias("id2"),
+        F.when(swap, F.col("_members2")).otherwise(F.col("_members1")).alias("members1"),
+        F.when(swap, F.col("_members1")).otherwise(F.col("_members2")).alias("members2"), "shared", "total")
+
+
+@query("join9_similar_members", f"""
+with {ALL_SHAPES} select s.id as submission_id, 'p' || lpad(s.problem::VARCHAR, 5, '0') as problem_id, t.id as first
+from shapes s join grams g on g.shape = s.shape join sets t on t.grams = list_sort(g.grams)""")
+def similar_members(spark, folder):
+    """Every program that parses, with the first one of its structure: no structure loses rows."""
+    shapes, members = similar.structures(generated_shapes(spark, folder), "submission_id")
+    return members.join(shapes.select("structure", "first"), "structure").select("submission_id", "problem_id", "first")
+
+
+@query("join9_similar_pairs")
+def similar_program_pairs(spark, folder):
+    shapes, members = similar.structures(generated_shapes(spark, folder), "submission_id")
+    return similar.similar_pairs(similar.similar_structures(shapes), members, "submission_id")
