@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from codelake.functions import arrays as A
 from codelake.functions import text as T
 from codelake.functions.keys import draw_bucket, draw_key
-from codelake.operators.ranking import position
+from codelake.operators.ranking import position, with_quantile_bucket
 from codelake.operators.skew import lookup_join
 
 
@@ -47,16 +47,27 @@ def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame, joiner: str = "
     return df.select(key).join(ordered, key, "left").select(key, F.coalesce(text, F.lit("")).alias("text"))
 
 
+def starts(rows: DataFrame, shard: str) -> DataFrame:
+    """Column ``_start``: the sum of ``_size`` over the rows of the shard that come earlier by ``_order``."""
+    ranged = with_quantile_bucket(rows, "_order", "_range")
+    before = Window.partitionBy(shard).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy(shard, "_range").agg(F.sum("_size").alias("_sum")).select(
+        F.col(shard).alias("_shard"), F.col("_range").alias("_at"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(shard, "_range").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_start", F.coalesce(F.sum("_size").over(within), F.lit(0)))
+    met = summed.join(offsets, F.col(shard).eqNullSafe(F.col("_shard")) & F.col("_range").eqNullSafe(F.col("_at")))
+    return met.withColumn("_start", F.col("_start") + F.col("_before")).drop("_shard", "_at", "_before", "_range", "_size")
+
+
 def pack_blocks(df: DataFrame, shard: str, order: str, ids: str, length: int = 512) -> DataFrame:
     """WIN-2: (shard, block, input_ids) of exactly ``length`` ids; each shard drops its tail.
 
-    A shard is one batch of consecutive rows. Each row is cut at block borders first,
-    so pieces move rather than single tokens.
+    A shard is one batch of consecutive rows, however large: its rows are cut into ranges at quantiles of ``order``, sizes are
+    summed within a range and the sums of earlier ranges are added, so one shard with most of the rows is placed by many tasks.
+    Each row is cut at block borders, so pieces move rather than single tokens.
     """
-    earlier = Window.partitionBy(shard).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = df.select(
-        shard, F.col(ids).alias("_ids"), F.coalesce(F.sum(F.size(ids)).over(earlier), F.lit(0)).alias("_start")
-    ).where(F.size("_ids") > 0)
+    placed = starts(df.select(shard, F.col(order).alias("_order"), F.col(ids).alias("_ids"), F.size(ids).alias("_size")), shard)
+    placed = placed.where(F.size("_ids") > 0)
     end = F.col("_start") + F.size("_ids")
     blocks = F.sequence(F.floor(F.col("_start") / length), F.floor((end - 1) / length))
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -148,11 +150,10 @@ def range_bucket(value: Column, low: Column, high: Column, buckets: int = 1024)
 def with_quantile_bucket(rows: DataFrame, value: str, to: str, buckets: int = 1024) -> DataFrame:
     """Near-equal buckets that keep the order of a number or string, cut at approximate quantiles.
 
-    A string counts by its first six bytes, which a double holds exactly.
+    Strings are cut at whole keys of a sample of their distinct values, so a long common start does no harm.
     """
     if isinstance(rows.schema[value].dataType, StringType):
-        lead = F.rpad(F.hex(F.substring(F.encode(F.col(value), "UTF-8"), 1, 6)), 12, "0")
-        return with_quantile_bucket(rows.withColumn("_lead", F.conv(lead, 16, 10).cast("long")), "_lead", to, buckets).drop("_lead")
+        return with_string_bucket(rows, value, to, buckets)
     steps = [i / buckets for i in range(1, buckets)]
     cuts = rows.agg(F.percentile_approx(F.col(value).cast("double"), steps, 10 * buckets)).first()[0] or [0.0]
     ends = [float("-inf"), *sorted(set(cuts)), float("inf")]
@@ -161,6 +162,20 @@ def with_quantile_bucket(rows: DataFrame, value: str, to: str, buckets: int = 10
     return bucketizer.transform(tagged).drop("_value")
 
 
+def with_string_bucket(rows: DataFrame, value: str, to: str, buckets: int, sample: int = 20_000) -> DataFrame:
+    """Buckets of strings between cuts from about ``sample`` values, drawn by hash; the cuts steer the work, not the result."""
+    counted = rows.agg(F.approx_count_distinct(value)).first()[0]
+    drawn = rows.where(F.pmod(F.xxhash64(value), F.lit(max(counted // sample, 1))) == 0).select(F.substring(value, 1, 200).alias("cut"))
+    values = sorted(r.cut for r in drawn.distinct().where("cut IS NOT NULL").limit(4 * sample).collect())
+    cuts = np.array(sorted({values[len(values) * i // buckets] for i in range(1, buckets)}) if values else [], dtype=object)
+
+    @F.pandas_udf("int")
+    def place(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, keys.fillna("").to_numpy(dtype=object), side="right"), dtype="int32")
+
+    return rows.withColumn(to, F.when(F.col(value).isNotNull(), place(value)).otherwise(F.lit(-1)))
+
+
 def running_before(rows: DataFrame, bucket: Column, order: str, sums: dict[str, str]) -> DataFrame:
     """For each value column, its sum over all rows earlier in a global order with distinct values."""
     tagged = rows.withColumn("_bucket", bucket)

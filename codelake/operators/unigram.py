@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codelake.operators.ranking import take_first
+from codelake.operators.ranking import take_first, with_quantile_bucket
+from codelake.operators.skew import lookup_join
 from codelake.operators.vocab import each_word_once, held
 from codelake.session import durable
 
@@ -25,19 +26,22 @@ def capped_vocab_size(vocab_size: int, n_texts: int) -> int:
     return min(vocab_size, max(n_texts // 2, 200), 2000)
 
 
+def substrings(counts: DataFrame, max_piece_length: int) -> DataFrame:
+    """(piece, freq): how often each substring of up to ``max_piece_length`` characters occurs.
+
+    A row per place in a word, with what stands there; equal ones are summed before a row per length is made of
+    them. No array of a word's substrings is built.
+    """
+    size = F.length("word")
+    places = counts.where(size > 0).select("freq", "word", F.explode(F.sequence(F.lit(1), size)).alias("at"))
+    stretches = places.select("freq", F.substr("word", "at", F.lit(max_piece_length)).alias("stretch")).groupBy("stretch").agg(F.sum("freq").alias("freq"))
+    lengths = F.explode(F.sequence(F.lit(1), F.length("stretch"))).alias("n")
+    return stretches.select("freq", "stretch", lengths).select("freq", F.left("stretch", "n").alias("piece")).groupBy("piece").agg(F.sum("freq").alias("freq"))
+
+
 def seed_pieces(counts: DataFrame, max_piece_length: int, seed_size: int) -> DataFrame:
     """(piece, weight): all characters, and the heaviest repeated substrings by length x frequency."""
-    size = F.length("word")
-    starts = F.sequence(F.lit(1), size)
-    spans = F.flatten(F.transform(starts, lambda at: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(max_piece_length), size - at + 1)),
-        lambda n: F.substr(F.col("word"), at, n))))
-    # the substring counts are read once per cut step, so they are stored
-    found = durable(
-        counts.where(size > 0).select("freq", F.explode(spans).alias("piece"))
-        .groupBy("piece").agg(F.sum("freq").alias("freq"))
-        .where((F.col("freq") >= 2) | (F.length("piece") == 1))
-    )
+    found = durable(substrings(counts, max_piece_length).where((F.col("freq") >= 2) | (F.length("piece") == 1)))
     length = F.length("piece")
     single = found.where(length == 1).select("piece", F.col("freq").cast("double").alias("weight"))
     longer = (
@@ -125,7 +129,7 @@ def _floor(logp: dict) -> float:
 
 
 def maximise(counts: DataFrame, logp: dict) -> dict:
-    """One round: expected uses, drop pieces used less than half a time, new log probabilities."""
+    """One round with a model that tasks can hold: expected uses, drop pieces used less than half a time, new log probabilities."""
     longest, floor = max(map(len, logp)), _floor(logp)
     sums = _piece_sums(counts, lambda word: expected_uses(word, logp, longest, floor))
     kept = {p: n for p, n in sums.items() if p in logp and n >= 0.5}
@@ -133,36 +137,96 @@ def maximise(counts: DataFrame, logp: dict) -> dict:
     return {p: _digamma(n) - total for p, n in kept.items()}
 
 
-def _rest_of_pieces(spark, logp: dict, longest: int, floor: float) -> dict[str, list[str]]:
-    """For each longer piece, how the others would spell it; empty where they cannot."""
-    @F.pandas_udf("array<string>")
-    def spelled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def arcs(counts: DataFrame, model: DataFrame, longest: int) -> DataFrame:
+    """(word, freq, piece): for each word the pieces of the model that occur in it."""
+    size = F.length("word")
+    places = counts.where(size > 0).select("word", "freq", F.explode(F.sequence(F.lit(1), size)).alias("at"))
+    lengths = F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("at") + 1))).alias("n")
+    spans = places.select("word", "freq", "at", lengths).select("word", "freq", F.substr("word", "at", "n").alias("piece"))
+    return lookup_join(spans, model.select("piece"), ["piece"], spread=["word"]).distinct()
+
+
+def uses(known: DataFrame, model: DataFrame, longest: int, floor: float, spread: Callable) -> DataFrame:
+    """(piece, n): ``spread(word, pieces, longest, floor)`` of each word, by frequency, summed.
+
+    The pieces of each word of :func:`arcs` come to it by a join: a task holds the pieces of the words of a batch, not the model.
+    """
+    scored = lookup_join(known, model, ["piece"], spread=["word"])
+    words = scored.groupBy("word", "freq").agg(F.collect_list("piece").alias("pieces"), F.collect_list("score").alias("scores"))
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.map(lambda piece: best_path(piece, logp, longest, floor, without=piece))
+            sums = Counter()
+            for word, freq, pieces, scores in zip(batch["word"], batch["freq"], batch["pieces"], batch["scores"]):
+                for piece, n in spread(word, dict(zip(pieces, scores)), longest, floor):
+                    sums[piece] += n * freq
+            yield pd.DataFrame({"piece": list(sums), "n": [float(n) for n in sums.values()]})
 
-    pieces = spark.createDataFrame([(p,) for p in logp if len(p) > 1], "piece string")
-    return {r.piece: r.other for r in pieces.select("piece", spelled("piece").alias("other")).collect()}
+    return words.mapInPandas(partial, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
-def prune(counts: DataFrame, logp: dict, target: int) -> dict:
-    """Keep the pieces whose loss to the corpus likelihood would be largest."""
-    longest, floor = max(map(len, logp)), _floor(logp)
-    uses = _piece_sums(counts, lambda word: ((p, 1.0) for p in best_path(word, logp, longest, floor)))
-    others = _rest_of_pieces(counts.sparkSession, logp, longest, floor)
-    total = sum(uses.values())
-    losses, kept = [], {}
-    for piece, score in logp.items():
-        other = others.get(piece)
-        used = uses.get(piece, 0.0)
-        if len(piece) == 1 or not other:
-            kept[piece] = score
-        elif used:
-            after = math.log(total + used * (len(other) - 1))
-            instead = sum(math.log(uses.get(p, 0.0) + used) - after for p in other)
-            losses.append((used / total * (math.log(used / total) - instead), piece))
-    room = max(target, int(len(logp) * SHRINK)) - len(kept)
-    losses.sort(reverse=True)
-    return kept | {piece: logp[piece] for _, piece in losses[: max(room, 0)]}
+def path_uses(word: str, logp: dict, longest: int, floor: float) -> Iterator[tuple[str, float]]:
+    return ((piece, 1.0) for piece in best_path(word, logp, longest, floor))
+
+
+def maximised(known: DataFrame, model: DataFrame, longest: int) -> DataFrame:
+    """As :func:`maximise`, with the model as a table (piece, score) of any size."""
+    found = uses(known, model, longest, floor_of(model), expected_uses)
+    kept = durable(found.join(model.select("piece"), "piece", "left_semi").where("n >= 0.5"))
+    total = _digamma(kept.agg(F.sum("n")).first()[0] or 1.0)
+
+    @F.pandas_udf("double")
+    def score(n: pd.Series) -> pd.Series:
+        return n.map(_digamma) - total
+
+    return durable(kept.select("piece", score("n").alias("score")))
+
+
+def floor_of(model: DataFrame) -> float:
+    return (model.agg(F.min("score")).first()[0] or 0.0) - UNKNOWN_PENALTY
+
+
+def spelled_otherwise(model: DataFrame, longest: int, floor: float) -> DataFrame:
+    """(piece, other): for each longer piece how the rest of the model would spell it; none where it cannot."""
+    words = model.where(F.length("piece") > 1).select(F.col("piece").alias("word"), F.lit(1).alias("freq"))
+    scored = lookup_join(arcs(words, model, longest), model, ["piece"], spread=["word"])
+    inside = scored.groupBy("word").agg(F.collect_list("piece").alias("pieces"), F.collect_list("score").alias("scores"))
+
+    @F.pandas_udf("array<string>")
+    def spelled(word: pd.Series, pieces: pd.Series, scores: pd.Series) -> pd.Series:
+        return pd.Series([best_path(w, dict(zip(p, s)), longest, floor, without=w) for w, p, s in zip(word, pieces, scores)])
+
+    return inside.select(F.col("word").alias("piece"), spelled("word", "pieces", "scores").alias("other")).where(F.size("other") > 0)
+
+
+def losses(known: DataFrame, model: DataFrame, longest: int) -> DataFrame:
+    """(piece, score, loss): what the corpus likelihood loses with each piece; null for those that must stay.
+
+    A piece that is not used loses nothing and is not here; a character, or a piece that the others cannot spell, stays.
+    """
+    floor = floor_of(model)
+    used = durable(uses(known, model, longest, floor, path_uses))
+    total = used.agg(F.sum("n")).first()[0] or 1.0
+    others = durable(spelled_otherwise(model, longest, floor).join(used, "piece", "left"))
+    after = F.log(F.lit(total) + F.col("n") * (F.size("other") - 1))
+    parts = others.where("n > 0").select("piece", "n", after.alias("after"), F.explode("other").alias("part"))
+    named = used.select(F.col("piece").alias("part"), F.col("n").alias("part_n"))
+    priced = lookup_join(parts, named, ["part"], spread=["piece"], how="left")
+    instead = F.sum(F.log(F.coalesce("part_n", F.lit(0.0)) + F.col("n")) - F.col("after"))
+    loss = (F.first("n") / total) * (F.log(F.first("n") / total) - instead)
+    lost = priced.groupBy("piece").agg(loss.alias("loss"))
+    judged = model.join(others.select("piece", F.lit(True).alias("can_go")), "piece", "left").join(lost, "piece", "left")
+    return judged.where("loss IS NOT NULL OR can_go IS NULL").select("piece", "score", "loss")
+
+
+def pruned(known: DataFrame, model: DataFrame, size: int, target: int, longest: int) -> DataFrame:
+    """The pieces whose loss is largest, and those that must stay: ``target`` or ``SHRINK`` of them, whichever is more."""
+    judged = durable(losses(known, model, longest))
+    stay = judged.where("loss IS NULL")
+    room = max(target, int(size * SHRINK)) - stay.count()
+    going = with_quantile_bucket(judged.where("loss IS NOT NULL").withColumn("_key", -F.col("loss")), "_key", "_at")
+    best = take_first(going, [F.col("_key"), F.col("piece")], F.col("_at"), lambda n: max(room, 0))
+    return durable(stay.select("piece", "score").unionByName(best.select("piece", "score")))
 
 
 def covered_letters(weights: dict[str, float], coverage: float) -> set[str]:
@@ -182,32 +246,37 @@ def learn_unigram(
     """(piece, log probability) in id order: specials at 0, then pieces from likely to unlikely.
 
     The most frequent characters that make up ``coverage`` of the corpus always get a
-    piece, other characters none. All state but the word table is bounded by ``seed_size``.
+    piece, other characters none. The model is a table until the end, when its ``vocab_size`` best pieces are read.
     """
-    counts = counts.persist()
-    seeds = {row.piece: row.weight for row in seed_pieces(counts, max_piece_length, seed_size).collect()}
-    letters = covered_letters({piece: weight for piece, weight in seeds.items() if len(piece) == 1}, coverage)
-    seeds = {piece: weight for piece, weight in seeds.items() if letters.issuperset(piece)}
-    whole = math.log(sum(seeds.values()))
-    logp = {piece: math.log(weight) - whole for piece, weight in seeds.items()}
-    wanted = max(vocab_size - len(specials), len(letters))
+    counts = durable(counts.select("word", "freq"))
+    seeds = seed_pieces(counts, max_piece_length, seed_size)
+    single = F.length("piece") == 1  # as many as there are characters
+    weights = {row.piece: row.weight for row in seeds.where(single).collect()}
+    letters = covered_letters(weights, coverage)
+    rare = "".join(sorted(set(weights) - letters))
+    if rare:
+        seeds = seeds.where(F.translate("piece", rare, "") == F.col("piece"))
+    whole = seeds.agg(F.sum("weight")).first()[0] or 1.0
+    model = durable(seeds.select("piece", (F.log("weight") - math.log(whole)).alias("score")))
+    known = durable(arcs(counts, model, max_piece_length))
+    wanted, size = max(vocab_size - len(specials), len(letters)), 0
     while True:
         for _ in range(rounds):
-            logp = maximise(counts, logp)
-        if len(logp) <= wanted * SPARE:
-            break
-        smaller = prune(counts, logp, int(wanted * SPARE))
-        if len(smaller) == len(logp):
+            model = maximised(known, model, max_piece_length)
+        before, size = size, model.count()
+        if size <= wanted * SPARE or size == before:
             break
-        logp = smaller
-    counts.unpersist()
-    lowest = min(logp.values(), default=0.0)
-    scored = sorted(logp.items(), key=lambda item: (-item[1], item[0]))
-    chosen = {piece: logp.get(piece, lowest) for piece in letters}
-    for piece, score in scored:
+        model = pruned(known, model, size, int(wanted * SPARE), max_piece_length)
+        size = model.count()
+        known = durable(lookup_join(known, model.select("piece"), ["piece"], spread=["word"]))
+    lowest = model.agg(F.min("score")).first()[0] or 0.0
+    best = model.orderBy(F.desc("score"), "piece").limit(wanted).collect()
+    kept = {row.piece: row.score for row in model.where(single).collect()}
+    chosen = {piece: kept.get(piece, lowest) for piece in letters}
+    for row in best:
         if len(chosen) >= wanted:
             break
-        chosen[piece] = score
+        chosen[row.piece] = row.score
     ordered = sorted(chosen.items(), key=lambda item: (-item[1], item[0]))
     return [(s, 0.0) for s in specials] + ordered
 

@@ -230,3 +230,23 @@ def test_stored_tables_are_released(spark):
 
     kept = durable(spark.range(5))
     assert kept.count() == 5 and release(spark) >= 1
+
+
+def test_packing_spreads_a_hot_shard(spark):
+    rows = [("hot" if i % 2 else f"s{i % 7}", f"https://example.org/a/long/start/{i:07d}", list(range(i % 13))) for i in range(4000)]
+    df = spark.createDataFrame(rows, "shard string, at string, ids array<int>").repartition(5)
+    wanted = {}
+    for shard in {r[0] for r in rows}:
+        flat = [x for s, _, ids in sorted(rows, key=lambda r: r[1]) if s == shard for x in ids]
+        wanted |= {(shard, b): flat[b * 64:b * 64 + 64] for b in range(len(flat) // 64)}
+    packed = {(r.shard, r.block): r.input_ids for r in encode.pack_blocks(df, "shard", "at", "ids", 64).collect()}
+    assert packed == wanted
+    ranges = ranking.with_quantile_bucket(df.where("shard = 'hot'"), "at", "range").groupBy("range").count()
+    assert ranges.count() > 500 and ranges.agg(F.max("count")).first()[0] < 20
+
+
+def test_string_buckets_keep_order(spark):
+    keys = ["", "a", "aa", "ab", "é", "z", "\U0001F600", None, "x" * 500, "x" * 500 + "y"] * 3
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    found = ranking.with_quantile_bucket(df, "k", "at").orderBy("k").collect()
+    assert [r.at for r in found] == sorted(r.at for r in found)

@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -209,3 +210,66 @@ def test_runs_merge_as_one_at_a_time():
         values, offsets, word = vocab._merge_runs(flat, offsets, [merges])
         assert [values[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == wanted
         assert word.tolist() == [i for i, w in enumerate(wanted) for _ in w]
+
+
+def test_unigram_tables_against_a_plain_lattice(spark):
+    words = {"banana": 5, "bandana": 3, "ananas": 4, "nab": 2, "é": 1, "abba": 2, "an": 9}
+    counts = spark.createDataFrame(list(words.items()), "word string, freq long").repartition(3)
+    plain = Counter()
+    for word, freq in words.items():
+        for i in range(len(word)):
+            for j in range(i + 1, min(len(word), i + 4) + 1):
+                plain[word[i:j]] += freq
+    assert {r.piece: r.freq for r in unigram.substrings(counts, 4).collect()} == plain
+    logp = {p: math.log(n / 500) for p, n in plain.items() if n > 2 or len(p) == 1}
+    model = spark.createDataFrame(list(logp.items()), "piece string, score double")
+    known = unigram.arcs(counts, model, 4).cache()
+
+    def segmentations(word):
+        if not word:
+            yield ()
+        for n in range(1, min(4, len(word)) + 1):
+            if word[:n] in logp:
+                yield from ((word[:n], *rest) for rest in segmentations(word[n:]))
+
+    expected, best = Counter(), Counter()
+    for word, freq in words.items():
+        ways = list(segmentations(word))
+        odds = [math.exp(sum(logp[p] for p in w)) for w in ways]
+        for way, odd in zip(ways, odds):
+            for piece in way:
+                expected[piece] += freq * odd / sum(odds)
+        for piece in ways[odds.index(max(odds))]:
+            best[piece] += freq
+    found = {r.piece: r.n for r in unigram.uses(known, model, 4, -99.0, unigram.expected_uses).collect()}
+    assert found.keys() == expected.keys() and all(found[p] == pytest.approx(expected[p]) for p in found)
+    step = {r.piece: r.score for r in unigram.maximised(known, model, 4).collect()}
+    assert step == pytest.approx(unigram.maximise(counts, logp))
+    total = sum(best.values())
+    for r in unigram.losses(known, model, 4).collect():
+        ways = [w for w in segmentations(r.piece) if w != (r.piece,)]
+        if len(r.piece) == 1 or not ways:
+            assert r.loss is None
+            continue
+        used, other = best[r.piece], max(ways, key=lambda w: sum(logp[p] for p in w))
+        after = math.log(total + used * (len(other) - 1))
+        instead = sum(math.log(best[p] + used) - after for p in other)
+        assert r.loss == pytest.approx(used / total * (math.log(used / total) - instead))
+
+
+def test_unigram_against_the_library(spark, texts):
+    """A vocabulary of the same size spells the same words in no more pieces than the library's plus a twentieth, and shares over half of them."""
+    counts = counted(texts, T.words(F.col("text"))).orderBy(F.desc("freq"), "word").limit(1500)
+    table = [(r.word, r.freq) for r in counts.collect()]
+    ours = unigram.learn_unigram(counts, 400, ["<unk>"], max_piece_length=8)
+    tool = Tokenizer(models.Unigram())
+    tool.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    tool.train_from_iterator((" ".join([w] * n) for w, n in table), trainers.UnigramTrainer(
+        vocab_size=400, special_tokens=["<unk>"], unk_token="<unk>", max_piece_length=8, show_progress=False))
+    logp = dict(ours[1:])
+    mine = sum(n * len(unigram.best_path(w, logp, 8, -99.0)) for w, n in table)
+    theirs = sum(n * len(tool.encode(w).tokens) for w, n in table)
+    letters = {c for w, _ in table for c in w}
+    assert letters <= set(logp) and letters <= set(tool.get_vocab())
+    assert mine <= 1.05 * theirs
+    assert len(set(logp) & set(tool.get_vocab())) >= 0.5 * len(logp)
