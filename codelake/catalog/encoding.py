@@ -194,7 +194,7 @@ def lookup_pieces(spark, folder):
     counts = durable(vocab.word_counts(code, T.words(F.col("text"))))
     words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 1)
     pieces = words.select(F.col("piece").alias("word"), F.array("id").alias("ids"))
-    out = encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1, counts=counts)
+    out = encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1)
     return out.select("submission_id", text_of("input_ids").alias("ids"))
 
 
@@ -207,5 +207,5 @@ def decode(spark, folder):
     counts = durable(vocab.word_counts(code, T.words(F.col("text"))))
     words = vocab.word_vocab(counts, ["<pad>", "<unk>"], 1)
     pieces = words.select(F.col("piece").alias("word"), F.array("id").alias("ids"))
-    ids = durable(encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1, counts=counts))
+    ids = durable(encode.lookup_pieces(code, "submission_id", T.words(F.col("text")), pieces, unknown=1))
     return encode.decode(ids, "submission_id", "input_ids", words)

@@ -187,6 +187,13 @@ def syntax_nodes(spark, folder):
     return nodes.join(F.broadcast(graph.type_ids(spark)), "type").select("doc", "nid", "type_id")
 
 
+@query("udf4_syntax_rows", f"""
+with {NODES} select doc, nid, type, parent from nodes""")
+def syntax_rows(spark, folder):
+    """As GRF-1, by a Python table function over a partitioned table."""
+    return graph.syntax_rows(generated_code(spark, folder), "submission_id")
+
+
 @query("grf1_edges", f"""
 with {NODES} select doc, parent as src, nid as dst from nodes where parent >= 0
 union all select doc, nid, parent from nodes where parent >= 0""")

@@ -1,11 +1,15 @@
 """Filters, joins, duplicates, aggregates, sorts and set operations."""
 
+import re
+import uuid
+
 from pyspark.sql import functions as F
 
 from codelake.catalog.base import CODE, CORPUS, TURNS, key_sql, query, table, turns
 from codelake.functions import text as T
 from codelake.functions.keys import draw_bucket, draw_key
 from codelake.operators import dedup, evaluate, ranking, select, stats
+from codelake.session import ensure_checkpoint_dir
 from codelake.sources import corpus as S
 from codelake.sources.generated import generated_code
 
@@ -379,3 +383,41 @@ def experiment_summary(spark, folder):
             F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("quality") == value).cast("double")), 9).alias("accuracy"))
 
     return evaluate.experiment_summary({"all_positive": (256, accuracy(1)), "all_negative": (512, accuracy(0))})
+
+
+# A small program for each supplier, a folder for each nation; every third one is Latin-1, every fourth has Windows line ends.
+SUPPLIED = r"""files as (select format('{:05d}', s_nationkey) as problem_id, format('{:05d}/{:09d}.py', s_nationkey, s_suppkey) as file,
+ '# caf' || chr(233) || chr(10) || 'name = "' || s_name || '"' || chr(10) as code, s_suppkey from supplier)"""
+
+
+def written_tree(spark, folder, root):
+    suppliers = table(spark, folder, "supplier")
+    ends = F.when(F.col("s_suppkey") % 4 == 0, F.lit("\r\n")).otherwise(F.lit("\n"))
+    code = F.concat(F.lit("# caf\u00e9"), ends, F.lit('name = "'), F.col("s_name"), F.lit('"'), ends)
+    content = F.when(F.col("s_suppkey") % 3 == 0, F.encode(code, "ISO-8859-1")).otherwise(F.encode(code, "UTF-8"))
+    files = suppliers.select(F.format_string("%05d", "s_nationkey").alias("problem"), F.format_string("%09d.py", "s_suppkey").alias("name"),
+                             content.alias("content"))
+    return S.write_source_tree(files, root, "problem", "name", "content")
+
+
+def stored_tree(spark, folder) -> str:
+    shared = re.sub("^file:/+", "/", ensure_checkpoint_dir(spark))
+    root = f"{shared}/tree-{uuid.uuid4().hex}"
+    written_tree(spark, folder, root).agg(F.sum("size")).collect()
+    return root
+
+
+def tree_rows(found):
+    return found.select("problem_id", F.concat_ws("/", "problem_id", F.element_at(F.split("file_path", "/"), -1)).alias("file"), "code")
+
+
+@query("src3_source_tree", f"with {SUPPLIED} select problem_id, file, code from files")
+def source_tree(spark, folder):
+    return tree_rows(S.read_source_tree(spark, stored_tree(spark, folder)))
+
+
+@query("src3_source_tree_capped", f"""
+with {SUPPLIED}, r as (select *, dense_rank() over (order by problem_id) as p, row_number() over (partition by problem_id order by file) as f from files)
+select problem_id, file, code from r where p <= 10 and f <= 3""")
+def source_tree_capped(spark, folder):
+    return tree_rows(S.read_source_tree(spark, stored_tree(spark, folder), max_problems=10, max_files=3))

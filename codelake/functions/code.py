@@ -152,6 +152,11 @@ def breadth_first(tree: ast.AST) -> dict:
     return {"types": [type(n).__name__ for n in nodes], "parents": parents}
 
 
+def syntax_of(text: str | None) -> dict:
+    """Node types and parents of one program; a single unknown node where it cannot be read."""
+    return _facts_of(text, ("graph",))["graph"] if text is not None else {"types": ["<unk>"], "parents": [-1]}
+
+
 def _facts_of(text: str, wanted: tuple[str, ...]) -> dict:
     try:
         tree = ast.parse(text)

@@ -2,49 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from codelake.functions import arrays as A
 from codelake.functions import text as T
 from codelake.functions.keys import draw_bucket, draw_key
 from codelake.operators.ranking import position, with_quantile_bucket
-from codelake.operators.skew import lookup_join
+
+#: Rows that look their items up together.
+GROUP_ROWS = 2000
 
 
-def lookup_pieces(
-    df: DataFrame, key: str, words: Column, pieces: DataFrame, unknown: int, to: str = "input_ids",
-    counts: DataFrame | None = None,
-) -> DataFrame:
-    """JOIN-10: replace each word by its ids, as ``to``, keeping all documents and their word order.
+def translated(df: DataFrame, key: str, items: Column, dictionary: DataFrame, of: Callable, to: StructField,
+               group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Column ``to``: ``of(items, entries)`` of each row, with the dictionary's (item, entry) for the row's items.
 
-    ``pieces`` is (word, ids). Each distinct word of a document is looked up once, and
-    words that fill a large share of the rows are salted; word ``counts`` (word, freq)
-    tell which without another pass over the texts.
+    Rows are dealt into groups of about ``group_rows``. A group asks once for each of its distinct items, and gets its part of the
+    dictionary back as one table beside its rows: no item crosses the network once per use, and the dictionary, dealt by item,
+    can have any size.
     """
-    if counts is not None:
-        counts = counts.select("word", F.col("freq").alias("n"))
-    places = df.select(key, F.posexplode(words).alias("pos", "word"))
-    per_document = places.groupBy(key, "word").agg(F.collect_list("pos").alias("places"))
-    found = lookup_join(
-        per_document, pieces.select("word", "ids"), ["word"], spread=[key], how="left", counts=counts)
-    ids = F.coalesce("ids", F.array(F.lit(unknown)))
-    placed = found.select(key, F.explode("places").alias("pos"), ids.alias("ids"))
-    encoded = placed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("_ids"))
-    joined = df.join(encoded, key, "left")
-    flat = F.flatten(F.transform("_ids", lambda s: s["ids"]))
-    return joined.withColumn(to, F.coalesce(flat, F.array().cast("array<int>"))).drop("_ids")
-
-
-def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame, joiner: str = " ", unknown: str = "<unk>") -> DataFrame:
-    """ENC-7: (key, text) from ids, each document's distinct ids looked up once."""
-    places = df.select(key, F.posexplode(ids).alias("pos", "id"))
-    per_document = places.groupBy(key, "id").agg(F.collect_list("pos").alias("places"))
-    found = lookup_join(per_document, vocab.select("id", "piece"), ["id"], spread=[key], how="left")
-    placed = found.select(key, F.explode("places").alias("pos"), F.coalesce("piece", F.lit(unknown)).alias("piece"))
-    ordered = placed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("_p"))
-    text = F.array_join(F.transform("_p", lambda s: s["piece"]), joiner)
-    return df.select(key).join(ordered, key, "left").select(key, F.coalesce(text, F.lit("")).alias("text"))
+    groups = max(1, -(-df.count() // group_rows))
+    dealt = df.withColumns({"_group": F.pmod(F.xxhash64(key), F.lit(groups)), "_items": items})
+    asked = dealt.select("_group", F.explode("_items").alias("item")).distinct()
+    # an item is asked for by each group at most once, so none is hot
+    answered = asked.join(dictionary.toDF("item", "entry"), "item").select(F.col("_group").alias("_asked_by"), "item", "entry")
+    schema = StructType([*df.schema.fields, to])
+    arrow = to_arrow_schema(schema)
+
+    def looked_up(rows: pa.Table, entries: pa.Table) -> pa.Table:
+        held = dict(zip(entries.column("item").to_pylist(), entries.column("entry").to_pylist()))
+        found = [of(row or [], held) for row in rows.column("_items").to_pylist()]
+        columns = [rows.column(name) for name in arrow.names[:-1]]
+        return pa.Table.from_arrays([*columns, pa.array(found, arrow.field(to.name).type)], arrow.names)
+
+    return dealt.groupBy("_group").cogroup(answered.groupBy("_asked_by")).applyInArrow(looked_up, schema)
+
+
+def lookup_pieces(df: DataFrame, key: str, words: Column, pieces: DataFrame, unknown: int, to: str = "input_ids",
+                  group_rows: int = GROUP_ROWS) -> DataFrame:
+    """JOIN-10: replace each word by its ids, as ``to``, keeping all documents and their word order. ``pieces`` is (word, ids)."""
+    def ids(row, held):
+        return [i for word in row for i in held.get(word, (unknown,))]
+
+    return translated(df, key, words, pieces.select("word", "ids"), ids, StructField(to, ArrayType(IntegerType())), group_rows)
+
+
+def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame, joiner: str = " ", unknown: str = "<unk>",
+           group_rows: int = GROUP_ROWS) -> DataFrame:
+    """ENC-7: (key, text) from ids."""
+    def text(row, held):
+        return joiner.join(held.get(i, unknown) for i in row)
+
+    rows = df.select(key, F.col(ids).alias("_ids"))
+    found = translated(rows, key, F.col("_ids"), vocab.select("id", "piece"), text, StructField("text", StringType()), group_rows)
+    return found.select(key, "text")
 
 
 def starts(rows: DataFrame, shard: str) -> DataFrame:

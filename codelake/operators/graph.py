@@ -6,10 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, PartitioningColumn
 
-from codelake.functions.code import code_facts, node_types
+from codelake.functions.code import code_facts, node_types, syntax_of
 from codelake.session import durable
 
 
@@ -22,6 +25,32 @@ def syntax_nodes(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return rows.select("doc", "nid", "n.type", "n.parent")
 
 
+class SyntaxRows:
+    """The table function behind :func:`syntax_rows`: a row per node of each program of its table argument."""
+
+    @staticmethod
+    def analyze(programs: AnalyzeArgument) -> AnalyzeResult:
+        key = programs.dataType.fields[0]
+        schema = StructType([StructField("doc", key.dataType), StructField("nid", IntegerType()),
+                             StructField("type", StringType()), StructField("parent", IntegerType())])
+        return AnalyzeResult(schema, partitionBy=[PartitioningColumn(key.name)])
+
+    def eval(self, programs: Row) -> Iterator[tuple]:
+        doc, text = programs[:2]
+        graph = syntax_of(text)
+        for nid, (name, parent) in enumerate(zip(graph["types"], graph["parents"])):
+            yield doc, nid, name, parent
+
+
+def syntax_rows(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """UDF-4: GRF-1's nodes from a Python table function, its table argument partitioned by ``key``.
+
+    Rows of one key come to one call of the function after another, so a caller may keep state per program. A null text
+    counts as unreadable. :func:`syntax_nodes` gives the same rows without a shuffle.
+    """
+    return udtf(SyntaxRows)(df.select(key, text).asTable())
+
+
 def type_ids(spark) -> DataFrame:
     """GRF-1: the fixed dictionary (type, type_id): 0 for unknown, then the grammar's types by name."""
     rows = [("<unk>", 0), *((name, i) for i, name in enumerate(node_types(), 1))]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,12 +57,37 @@ def write_pairs(df: DataFrame, path: str) -> None:
     df.write.options(**{**CSV, "quoteAll": True, "emptyValue": ""}).csv(path)
 
 
+def write_source_tree(df: DataFrame, root: str, problem: str, name: str, content: str) -> DataFrame:
+    """SRC-3's other side: one file per row, ``root/<problem>/<name>``, written where the rows lie; (path, size) of each.
+
+    ``root`` is a folder or URI that every task reaches; ``content`` a string, written as UTF-8, or bytes. Names are unique within a problem.
+    A task that runs again writes the same files again. Rows with a null in any of the columns write nothing.
+    """
+    rows = df.select(F.col(problem).cast("string").alias("folder"), F.col(name).cast("string").alias("name"),
+                     F.col(content).cast("binary").alias("content")).dropna()
+
+    def write(batches):
+        target, base = fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+        for batch in batches:
+            paths, sizes = [], []
+            for folder, file, data in zip(*(batch.column(c).to_pylist() for c in ("folder", "name", "content"))):
+                target.create_dir(f"{base}/{folder}", recursive=True)
+                with target.open_output_stream(f"{base}/{folder}/{file}") as out:
+                    out.write(data)
+                paths.append(f"{folder}/{file}")
+                sizes.append(len(data))
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], ["path", "size"])
+
+    return rows.mapInArrow(write, "path string, size long")
+
+
 def read_source_tree(
     spark: SparkSession, root: str, max_problems: int | None = None, max_files: int | None = None
 ) -> DataFrame:
     """SRC-3: ``root/<problem>/*.py`` as (problem_id, file_path, code); both caps follow name order.
 
-    Names alone decide the caps: paths are listed without contents, and only the kept files are opened.
+    Names alone decide the caps: paths are listed without contents, and only the kept files are opened. Files of no length give
+    no row: Spark's scans pass over them.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.py")
     files = reader.load(root)

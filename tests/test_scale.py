@@ -250,3 +250,25 @@ def test_string_buckets_keep_order(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     found = ranking.with_quantile_bucket(df, "k", "at").orderBy("k").collect()
     assert [r.at for r in found] == sorted(r.at for r in found)
+
+
+def test_dictionary_lookups_cross_once_per_group(spark):
+    rows = [(i, ["the"] * 50 + [f"w{i % 40}", "missing"] if i else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, words array<string>").repartition(4)
+    pieces = spark.createDataFrame([("the", [7]), *((f"w{i}", [i, i + 1]) for i in range(40))], "word string, ids array<int>")
+    out = {r.id: r.input_ids for r in encode.lookup_pieces(df, "id", F.col("words"), pieces, unknown=1, group_rows=100).collect()}
+    assert out == {i: [7] * 50 + [i % 40, i % 40 + 1, 1] if i else [] for i in range(500)}
+    # a group asks for a word once: at most groups x words rows leave the documents, not one row per use
+    groups = df.select(F.pmod(F.xxhash64("id"), F.lit(5)).alias("g"), F.explode("words").alias("w"))
+    assert groups.distinct().count() <= 5 * 42 < groups.count()
+    vocab = spark.createDataFrame([(7, "the"), (1, "?")], "id int, piece string")
+    ids = spark.createDataFrame([(1, [7, 1, 9]), (2, []), (3, None)], "id long, input_ids array<int>")
+    back = encode.decode(ids, "id", "input_ids", vocab)
+    assert {r.id: r.text for r in back.collect()} == {1: "the ? <unk>", 2: "", 3: ""}
+
+
+def test_table_function_gives_the_same_graph(spark):
+    code = spark.createDataFrame([(1, "x = 1\n"), (2, "def (:"), (3, None), (4, "class A:\n    pass\n")], "id long, text string")
+    found = sorted(map(tuple, graph.syntax_rows(code, "id").collect()))
+    assert [r for r in found if r[0] != 3] == sorted(map(tuple, graph.syntax_nodes(code.where("id <> 3"), "id").collect()))
+    assert [r for r in found if r[0] in (2, 3)] == [(2, 0, "<unk>", -1), (3, 0, "<unk>", -1)]

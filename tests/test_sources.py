@@ -81,3 +81,14 @@ def test_status_forms(spark):
     codes = spark.createDataFrame([(4,), (3,), (None,)], "judge_status int")
     assert select.filter_accepted(codes).count() == 1
     assert select.filter_accepted(codes.select(F.lit(1).alias("x"))).count() == 3
+
+
+def test_source_tree_round_trip(spark, tmp_path):
+    rows = [("p1", "a.py", b"x = 1\n"), ("p1", "b.py", "# é\n".encode("latin-1")), ("p2", "c.py", "# é\r\n".encode()), ("p2", "d.txt", b"no"),
+            ("p3", None, b"no"), (None, "e.py", b"no"), ("p3", "f.py", None), ("p3", "g.py", b"")]
+    df = spark.createDataFrame(rows, "problem string, name string, content binary").repartition(3)
+    written = S.write_source_tree(df, str(tmp_path / "tree"), "problem", "name", "content")
+    assert sorted(map(tuple, written.collect())) == [("p1/a.py", 6), ("p1/b.py", 4), ("p2/c.py", 6), ("p2/d.txt", 2), ("p3/g.py", 0)]
+    written.collect()  # once more: the same files
+    found = S.read_source_tree(spark, str(tmp_path / "tree")).collect()
+    assert sorted((r.problem_id, r.code) for r in found) == [("p1", "# é\n"), ("p1", "x = 1\n"), ("p2", "# é\n")]  # an empty file gives no row
