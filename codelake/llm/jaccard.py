@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codelake.llm.common import few_rows, segments, stored, texts_of
@@ -26,8 +26,8 @@ NAME = 6
 CELLS, FREQUENT = 1 << 18, 4
 #: Sketch counters in a row; rows of a column's members that one task compares at once.
 SLICE, MEMBERS = 1 << 12, 20_000
-#: Bits of the marks that a set carries; share of the sets below which a round's links are few.
-MARKS, FEW = 512, 0.01
+#: Bits of the marks that a set carries; partners of a set in a round; share of the sets below which a round's links are few.
+MARKS, PARTNERS, FEW = 512, 4, 0.02
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -304,7 +304,7 @@ def verified(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) of sets that are linked: overlaps are counted on the shared n-grams, sizes on all."""
     left = chosen.select(F.col("set").alias("x"), F.col("n").alias("n_x"), F.col("grams").alias("grams_x"))
     right = chosen.select(F.col("set").alias("y"), F.col("n").alias("n_y"), F.col("grams").alias("grams_y"))
-    met = lookup_join(lookup_join(pairs, left, ["x"], ["y"]), right, ["y"], ["x"])
+    met = pairs.join(left, "x").join(right, "y")  # a set that leads many pairs is split by the adaptive skew join
 
     def run(batches):
         for batch in batches:
@@ -337,8 +337,8 @@ def star_pairs(members: DataFrame) -> DataFrame:
     order = F.xxhash64("part")
     like = F.floor(F.log("n") / F.log(F.lit(1.25)))
     rows = members.withColumn("like", like).withColumn("lead", F.struct(order.alias("order"), "part", "set"))
-    leads = rows.groupBy("gram", "like").agg(F.min("lead").alias("low"), F.max("lead").alias("high"), F.count("*").alias("n")).where("low.part <> high.part")
-    met = lookup_join(rows.select("gram", "like", "set", "part"), leads.drop("n"), ["gram", "like"], ["set"], counts=leads.select("gram", "like", "n"))
+    leads = rows.groupBy("gram", "like").agg(F.min("lead").alias("low"), F.max("lead").alias("high")).where("low.part <> high.part")
+    met = rows.select("gram", "like", "set", "part").join(leads, ["gram", "like"])
     partner = F.when(F.col("low.part") != F.col("part"), F.col("low.set")).otherwise(F.col("high.set"))
     votes = met.select(F.col("set").alias("x"), partner.alias("y")).groupBy("x", "y").agg(F.count("*").alias("votes"))
     best = votes.groupBy("x").agg(F.max(F.struct("votes", "y")).alias("best"))
@@ -348,14 +348,13 @@ def star_pairs(members: DataFrame) -> DataFrame:
 def column_pairs(members: DataFrame, traits: DataFrame, percent: int, most: int, best: bool) -> DataFrame:
     """All pairs of sets of different components that have a prefix n-gram in common and may reach the bound.
 
-    With ``best``, one for each set, the most promising. Pairs are judged by their sizes, by what can still follow the common n-gram in
+    With ``best``, the most promising ones of each set, ``PARTNERS`` at most. Pairs are judged by their sizes, by what can still follow the common n-gram in
     either prefix order, and by their marks. A column of one component needs no work; one with more than ``most``
     members is dealt over cells, each of which compares its own with all.
     """
     mixed = stored(members.groupBy("gram").agg(F.count("*").alias("members"), F.min("part").alias("low"), F.max("part").alias("high")).where(
         "low <> high").select("gram", "members", F.ceil(F.col("members") / most).cast("int").alias("cells")), "jaccard-columns")
-    rows = lookup_join(members, mixed.select("gram", "cells"), ["gram"], ["set"], counts=mixed.select("gram", F.col("members").alias("n")))
-    rows = rows.join(traits, "set")
+    rows = members.join(mixed.select("gram", "cells"), "gram").join(traits, "set")
     own = F.pmod(F.xxhash64("set"), F.col("cells")).cast("int")
     carried = ["gram", "set", "n", "rest", "part", "shared", "marks"]
     dealt = rows.select(*carried, own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"))
@@ -386,7 +385,8 @@ def column_pairs(members: DataFrame, traits: DataFrame, percent: int, most: int,
 
     met = placed.mapInArrow(run, "x long, y long, slack long")
     if best:
-        met = met.groupBy("x").agg(F.max(F.struct("slack", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
+        order = Window.partitionBy("x").orderBy(F.desc("slack"), "y")
+        met = met.distinct().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PARTNERS)
     return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
@@ -394,7 +394,7 @@ def facing(homes: np.ndarray, home_marks: np.ndarray, others: np.ndarray, other_
            step: int = 1 << 18) -> list[np.ndarray]:
     """(one, other, slack) of different components where sizes, the remaining prefix order and marks allow the overlap.
 
-    ``slack`` is by how much; with ``best``, only a home's largest. A block of the product at a time.
+    ``slack`` is by how much; with ``best``, only a home's ``PARTNERS`` largest. A block of the product at a time.
     """
     key, n, rest, part, shared = others
     if (part == part[0]).all() and (homes[3] == part[0]).all():
@@ -412,7 +412,9 @@ def facing(homes: np.ndarray, home_marks: np.ndarray, others: np.ndarray, other_
         i, j, slack = i[may], j[may], slack[may]
         if best and len(i):
             order = np.lexsort((key[j], -slack, i))
-            first = order[np.r_[True, i[order][1:] != i[order][:-1]]]
+            i, j, slack = i[order], j[order], slack[order]
+            start = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+            first = np.arange(len(i)) - np.repeat(start, np.diff(np.r_[start, len(i)])) < PARTNERS
             i, j, slack = i[first], j[first], slack[first]
         if len(i):
             found.append(np.stack([k[i], key[j], slack]))
@@ -423,7 +425,7 @@ def linked_sets(docs: DataFrame, text: str, words: int, percent: int, slices: Da
                 column_entries: int = COLUMN_ENTRIES) -> DataFrame | None:
     """Links (src, dst) between sets, of which chains join every two sets with a Jaccard similarity of ``percent`` or more.
 
-    First each set against one leader, then, until few links come of it, each against its most promising partner, then all that is
+    First each set against one leader, then, until few links come of it, each against its most promising partners, then all that is
     left. A round leaves out what the components so far join already, so that dense groups don't give all of their pairs.
     """
     hot, total = frequent_cells(slices)
@@ -440,7 +442,7 @@ def linked_sets(docs: DataFrame, text: str, words: int, percent: int, slices: Da
     rest = bound_column(F.col("n"), percent) + F.col("long") - 1 - F.col("pos")
     prefix = prefix.select("gram", "set", "n", rest.alias("rest"))
     met = prefix.groupBy("gram").agg(F.count("*").alias("met")).where("met > 1")
-    prefix = stored(lookup_join(prefix, met.select("gram"), ["gram"], ["set"], counts=met.select("gram", F.col("met").alias("n"))), "jaccard-prefixes")
+    prefix = stored(prefix.join(met.select("gram"), "gram"), "jaccard-prefixes")
     traits = chosen.select("set", (F.octet_length("grams") / NAME).cast("long").alias("shared"), "marks")
     few = chosen.count() * FEW
     links, _ = with_round(star_pairs, prefix, chosen, None, percent)
