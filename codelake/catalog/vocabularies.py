@@ -8,10 +8,10 @@ from codelake.catalog.base import CODE, TURNS, documents, query, table, text_of,
 from codelake.catalog.encoding import COMMON
 from codelake.functions import arrays as A
 from codelake.functions import text as T
-from codelake.operators import pairs, unigram, vocab
+from codelake.operators import evaluate, pairs, unigram, vocab
 from codelake.plans.pairs import train_and_judge
 from codelake.plans.vocabularies import CONFIGURATIONS, learn
-from codelake.session import ensure_checkpoint_dir
+from codelake.session import durable, ensure_checkpoint_dir
 from codelake.sources import corpus as S
 from codelake.sources.generated import generated_code
 
@@ -194,6 +194,22 @@ def submission_round_trip(spark, folder):
     return spark.read.schema("pair_id long, similar int").csv(path, header=True)
 
 
+def language_pairs(spark, folder):
+    """Pairs of documents, similar if of one language, judged on a tenth that the fit has not seen."""
+    docs = documents(spark, folder).select(F.col("doc_id").alias("submission_id"), F.col("lang").alias("problem_id"), "text")
+    drawn = pairs.attach_code(pairs.build_pairs(docs, "submission_id", 400), docs, "submission_id", "text")
+    keyed = drawn.withColumn("pair_id", F.concat_ws("-", "id1", "id2", "similar"))
+    return train_and_judge(keyed, "pair_id").validation
+
+
+@query("scr3_pair_auc")
+def pair_auc(spark, folder):
+    """The area under the curve of held-out pairs, with their number."""
+    scored = durable(language_pairs(spark, folder).select("label", "score"))
+    counted = scored.agg(F.count(F.lit(1)).alias("pairs"), F.sum("label").alias("similar"))
+    return counted.withColumn("auc", evaluate.roc_auc(scored, "label", "score").scalar())
+
+
 @query("scr3_score_pairs")
 def score_pairs(spark, folder):
     code = generated_code(spark, folder)

@@ -121,6 +121,10 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     return ranked.agg(F.when(both > 0, wins / both).otherwise(F.lit(float("nan"))).alias("auc"))
 
 
+#: Rows and columns of a square of a batch's similarity matrix.
+TILE = 512
+
+
 def with_batches(df: DataFrame, row_number: str, batch_size: int) -> DataFrame:
     """Consecutive rows in batches: ``batch`` and the place ``row`` within it."""
     return df.withColumn("batch", F.floor(F.col(row_number) / batch_size).cast("long")).withColumn(
@@ -140,9 +144,20 @@ def score_rows(df: DataFrame, a: str, b: str, tau: float = 1.0) -> DataFrame:
     return df.join(_batch_side(df, b), "batch").withColumn("scores", scores).drop("side")
 
 
-def similarity_matrix(df: DataFrame, a: str, b: str) -> DataFrame:
-    """JOIN-8: (batch, row, col, score) for every pair of a batch."""
-    return score_rows(df, a, b).select("batch", "row", F.inline("scores").alias("col", "score"))
+def similarity_matrix(df: DataFrame, a: str, b: str, tile: int = TILE, tau: float = 1.0) -> DataFrame:
+    """JOIN-8: (batch, row, col, score) for every pair of a batch, of any size.
+
+    A batch's matrix is cut into squares of ``tile`` rows and columns; each row goes to the squares of its stripe, where
+    it meets ``tile`` others. So a large batch is spread over many tasks, and none holds more than a stripe of one square.
+    """
+    squares = df.groupBy("batch").agg(F.floor(F.max("row") / tile).alias("_last"))
+    placed = df.join(squares, "batch")
+    across = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last")))
+    own = F.floor(F.col("row") / tile)
+    left = placed.select("batch", "row", F.col(a).alias("_a"), own.alias("_down"), across.alias("_across"))
+    right = placed.select("batch", F.col("row").alias("col"), F.col(b).alias("_b"), own.alias("_across"), across.alias("_down"))
+    score = dot(F.col("_a"), F.col("_b")) / F.lit(float(max(tau, MIN_TAU)))
+    return left.join(right, ["batch", "_down", "_across"]).select("batch", "row", "col", score.alias("score"))
 
 
 def rank_candidates(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import IDF, HashingTF, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codelake.session import durable
+
+#: Buckets of words of one pair.
+BUCKETS = 1 << 16
+
 
 def _jaccard(a: str, b: str) -> Column:
     union = F.size(F.array_union(a, b))
@@ -16,15 +21,16 @@ def _jaccard(a: str, b: str) -> Column:
 
 
 def _weights(size: int) -> Pipeline:
-    """One IDF for both sides: it is fitted on all tokens of the pair."""
+    """Sparse counts of a pair's marked words in ``size`` buckets, weighted by how few pairs have them; then the Jaccard."""
     return Pipeline(stages=[
-        HashingTF(inputCol="_both", outputCol="_tf", numFeatures=size),
+        HashingTF(inputCol="_marked", outputCol="_tf", numFeatures=size, binary=True),
         IDF(inputCol="_tf", outputCol="_idf"),
+        VectorAssembler(inputCols=["_idf", "_jaccard"], outputCol="features"),
     ])
 
 
 class PairModel:
-    """Pair features (absolute difference, product, Jaccard) under a logistic regression."""
+    """Pair features (words of one side, words of both, Jaccard) under a logistic regression."""
 
     def __init__(self, size: int, idf: PipelineModel, classifier):
         self.size, self.idf, self.classifier = size, idf, classifier
@@ -39,22 +45,24 @@ class PairModel:
         return scored.select(*kept, probability.alias("score"), (probability >= threshold).cast("int").alias("similar"))
 
 
-def _side(df: DataFrame, tokens: str, idf: PipelineModel, to: str) -> DataFrame:
-    weighted = idf.transform(df.withColumn("_both", F.col(tokens)))
-    return weighted.withColumn(to, vector_to_array("_idf")).drop("_both", "_tf", "_idf")
+def _marked(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Words of both sides (their product) and of one side (their difference), each marked as such; null sides count as empty."""
+    one, two = (F.coalesce(F.col(c), F.array().cast("array<string>")) for c in (a, b))
+    sides = pairs.withColumns({"_one": one, "_two": two})
+    both = F.transform(F.array_intersect("_one", "_two"), lambda t: F.concat(F.lit("= "), t))
+    either = F.array_union(F.array_except("_one", "_two"), F.array_except("_two", "_one"))
+    marked = F.concat(both, F.transform(either, lambda t: F.concat(F.lit("x "), t)))
+    return sides.withColumns({"_marked": marked, "_jaccard": _jaccard("_one", "_two")}).drop("_one", "_two")
 
 
 def _features(pairs: DataFrame, a: str, b: str, idf: PipelineModel) -> DataFrame:
-    sided = _side(_side(pairs, a, idf, "_a"), b, idf, "_b")
-    differences = F.zip_with("_a", "_b", lambda x, y: F.abs(x - y))
-    products = F.zip_with("_a", "_b", lambda x, y: x * y)
-    vector = array_to_vector(F.concat(differences, products, F.array(_jaccard(a, b))))
-    return sided.withColumn("features", vector).drop("_a", "_b")
-
-
-def fit_pair_model(pairs: DataFrame, a: str, b: str, label: str = "similar", size: int = 64) -> PairModel:
-    """Fit on token-array columns ``a`` and ``b``."""
-    idf = _weights(size).fit(pairs.select(F.concat(a, b).alias("_both")))
-    rows = _features(pairs, a, b, idf)
-    classifier = LogisticRegression(featuresCol="features", labelCol=label, regParam=0.01, maxIter=50)
-    return PairModel(size, idf, classifier.fit(rows.select("features", F.col(label).cast("double").alias(label))))
+    return idf.transform(_marked(pairs, a, b)).drop("_marked", "_jaccard", "_tf", "_idf")
+
+
+def fit_pair_model(pairs: DataFrame, a: str, b: str, label: str = "similar", size: int = BUCKETS) -> PairModel:
+    """Fit on token-array columns ``a`` and ``b``. Features stay sparse from the words to the regression."""
+    pairs = durable(pairs.select(a, b, label))  # the fits read it again and again
+    idf = _weights(size).fit(_marked(pairs, a, b))
+    rows = durable(_features(pairs, a, b, idf).select("features", F.col(label).cast("double").alias(label)))
+    classifier = LogisticRegression(featuresCol="features", labelCol=label, regParam=0.01, maxIter=15, tol=1e-4)
+    return PairModel(size, idf, classifier.fit(rows))

@@ -53,8 +53,11 @@ def _quotas(sizes: DataFrame, total: int, label: str, ratio: float, seed) -> Dat
         "_floor": ((product - product % whole) / whole).cast("long"),
     })
     missing = n_train - (shares.agg(F.sum("_floor")).first()[0] or 0)
-    order = [-F.col("_rest"), draw_key(seed, label), F.col(label)]
-    bucket = F.floor((F.lit(1.0) - F.col("_rest") / F.lit(max(total, 1))) * 1023).cast("int")
+    draw = draw_key(seed, label)
+    order = [-F.col("_rest"), draw, F.col(label)]
+    # labels of equal remainders, as many as there are, are told apart by the five leading bits of their draws
+    rest = F.floor((F.lit(1.0) - F.col("_rest") / F.lit(max(total, 1))) * 1023).cast("int")
+    bucket = rest * 32 + F.shiftright(draw, 55).cast("int")
     raised = upto_cut(order, global_cut(shares, order, bucket, lambda _: missing))
     return shares.select(label, (F.col("n") - F.col("_floor") - raised.cast("int")).alias("want"))
 

@@ -48,3 +48,17 @@ def test_prepare_corpus(spark):
     report = run.report(rows.select("problem_id").distinct())
     assert {r.value for r in report.where("metric = 'total_samples'").collect()} == {2.0}
     assert {r.word for r in run.words().collect()} == {"x", "=", "1", "2"}
+
+
+def test_pair_auc(spark, small):
+    from codelake.catalog import vocabularies
+    from codelake.session import durable
+
+    scored = durable(vocabularies.language_pairs(spark, small).select("label", "score"))
+    rows = [(r.label, r.score) for r in scored.collect()]
+    good, bad = [s for x, s in rows if x == 1], [s for x, s in rows if x == 0]
+    wins = sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad))
+    from codelake.operators.evaluate import roc_auc
+
+    assert abs(roc_auc(scored, "label", "score").first()[0] - wins) < 1e-9
+    assert wins > 0.7

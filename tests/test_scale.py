@@ -272,3 +272,27 @@ def test_table_function_gives_the_same_graph(spark):
     found = sorted(map(tuple, graph.syntax_rows(code, "id").collect()))
     assert [r for r in found if r[0] != 3] == sorted(map(tuple, graph.syntax_nodes(code.where("id <> 3"), "id").collect()))
     assert [r for r in found if r[0] in (2, 3)] == [(2, 0, "<unk>", -1), (3, 0, "<unk>", -1)]
+
+
+def test_tiles_of_a_large_batch(spark):
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    sizes = {0: 700, 1: 3, 2: 64}
+    sides = {b: (draw.integers(-4, 5, (n, 6)).astype(float), draw.integers(-4, 5, (n, 6)).astype(float)) for b, n in sizes.items()}
+    rows = [(b, i, x[i].tolist(), y[i].tolist()) for b, (x, y) in sides.items() for i in range(len(x))]
+    df = spark.createDataFrame(rows, "batch long, row int, a array<double>, b array<double>").repartition(6)
+    found = evaluate.similarity_matrix(df, "a", "b", tile=64).toPandas()
+    assert len(found) == sum(n * n for n in sizes.values())
+    for b, (x, y) in sides.items():
+        part = found[found.batch == b].sort_values(["row", "col"])
+        assert np.array_equal(part.score.to_numpy().reshape(len(x), len(x)), x @ y.T)
+
+
+def test_quotas_of_many_equal_labels(spark):
+    rows = spark.range(8000).selectExpr("id", "id div 4 as label")
+    split = splits.split_stratified(rows, "label", "id", 0.1, 7)
+    held = split.where("split = 'validation'").groupBy("label").count().agg(F.max("count"), F.sum("count")).first()
+    assert tuple(held) == (1, 800)
+    buckets = rows.select(F.shiftright(draw_key(7, "label"), 55).alias("b")).groupBy("b").count()
+    assert buckets.count() == 32 and buckets.agg(F.max("count")).first()[0] < 600
