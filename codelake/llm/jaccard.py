@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codelake.llm.common import few_rows, segments, stored, texts_of
+from codelake.llm.common import few_rows, stored, texts_of
 from codelake.llm.components import components
 from codelake.operators.skew import lookup_join
 
