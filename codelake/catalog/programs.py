@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from codelake.catalog.base import CODE, query
 from codelake.functions import code as C
 from codelake.functions import text as T
-from codelake.operators import dedup, graph, normalize, stats
+from codelake.operators import dedup, graph, normalize
 from codelake.plans.corpus import prepare_corpus
 from codelake.operators.select import problem_ids
 from codelake.sources.generated import generated_code
