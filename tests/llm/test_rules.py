@@ -71,6 +71,87 @@ def test_contexts_reach_further(spark):
     assert not any(found[i] for i, _ in noise + seeds)
 
 
+def scored_plainly(links, rounds, support):
+    """Confidence of each pattern, from (pattern, kind, instance, seed): the rounds of pii.judged in plain loops."""
+    view = {kind: v for v, kinds in pii.VIEWS.items() for kind in kinds}
+    scores = {}
+    for turn in range(rounds + 1):
+        new = {}
+        for pattern, kind in {(p, k) for p, k, _, _ in links}:
+            mine = [(i, s) for p, _, i, s in links if p == pattern]
+            known = []
+            for instance, seed in mine:
+                others = [scores[p] for p, k, i, _ in links if i == instance and p in scores and view[k] != view[kind]]
+                known += [1.0] if seed else [max(others)] if others and turn else []
+            if len(mine) >= support and len(known) >= 2:
+                new[pattern] = sum(known) / (len(mine) if sum(s for _, s in mine) >= 2 else len(known))
+        scores = new
+    return scores
+
+
+def test_scores_are_those_of_plain_loops(spark):
+    import random
+    random.seed(11)
+    kinds = (pii.TWO, pii.BEFORE, pii.AFTER, pii.SHAPE)
+    seeds = {i: random.random() < 0.3 for i in range(60)}
+    links = sorted({(f"{k} {random.randrange(6)}", k, i, seeds[i]) for i in seeds for k in kinds for _ in range(2)})
+    df = spark.createDataFrame(links, "pattern string, kind string, instance long, seed boolean")
+    scores = pii.judged(df, None, 5)
+    for rounds in range(4):
+        got = {r["pattern"]: r["confidence"] for r in scores.collect()}
+        want = scored_plainly(links, rounds, 5)
+        assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+        scores = pii.judged(df, scores, 5)
+
+
+def test_planted_identifiers(spark):
+    """Varied sentences: badges that no rule knows are found by their neighbours and shape, years and counts are not."""
+    import random
+    random.seed(5)
+    word = lambda: "".join(random.choice("bcdfglmnprst") + random.choice("aeiou") for _ in range(random.randint(2, 3)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    texts, badges = [], {}
+    for i in range(600):
+        ask, end = random.choice(["contact", "reach", "mail"]), random.choice(["soon", "please", "directly"])
+        if i % 3 == 0:
+            texts.append(f"{words(4)} {ask} {word()}{i}@{word()}.org {end} {words(3)}")
+        elif i % 3 == 1:
+            badges[i] = f"zk{random.randrange(10 ** 8):08d}"
+            texts.append(f"{words(4)} {random.choice([ask, word()])} {badges[i]} {random.choice([end, word()])} {words(3)}")
+        else:
+            texts.append(f"{words(3)} in {random.randrange(1900, 2020)} or {random.randrange(10000, 99999)} {words(3)}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r["doc_id"], s["match"]) for r in pii.personal_data(df).collect() for s in r["found"]}
+    right = found & set(badges.items())
+    assert len(right) / len(found) >= 0.95 and len(right) / len(badges) >= 0.6
+
+
+def test_tokens_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = pii.personal_data(docs).select("doc_id", F.explode("found").alias("s")).collect()
+    found = {(r["doc_id"], r["s"]["start"]) for r in rows}
+    after = re.compile(r"(?<![^\x20\x09-\x0D])token =[\x20\x09-\x0D]+(?=\S*[0-9]\S*[0-9]\S*[0-9]\S*[0-9])")
+    tokens = {(r["doc_id"], m.end()) for r in docs.where("text like '%token =%'").collect() for m in after.finditer(r["text"])}
+    assert len(tokens) > 100 and tokens <= found
+
+
+def test_many_matches(spark):
+    """Work grows with a text's matches, not with their square; starts are right beyond one block of sums."""
+    import time
+    texts = [" ".join(f"{100000 + i}" for i in range(n)) for n in (63, 64, 65, 4097, 100_000)]
+    texts.append(" ".join(f"u{i}@h.org {10000 + i}" for i in range(20_000)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    at = time.time()
+    rows = {r["doc_id"]: r for r in pii.read(df).collect()}
+    assert time.time() - at < 60
+    for i, text in enumerate(texts):
+        want = [(m.start(), m.end()) for m in re.finditer("[^ ]+", text) if "@" not in m.group()]
+        taken = [(s["start"], s["end"]) for k in pii.KINDS for s in rows[i][k]]
+        if not taken:
+            assert [(s["start"], s["end"]) for s in rows[i]["other"]] == want
+    assert len(rows[5]["email"]) == 20_000 and len(rows[5]["other"]) == 20_000
+
+
 def test_context_before_a_match(spark):
     url = "https://" + "long/" * 20
     texts = ["call 5550101 or 5550102 now", "id 12345 ssn 98765", f"see {url} at {url}b no 77777", "7777 x", ""]
