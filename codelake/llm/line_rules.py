@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 
 from codelake.llm.common import BLANKS, WORD, stored
 
-#: A line longer than this is prose that sources share, not a page's furniture, and is never removed.
-LINE_WORDS = 40
-#: A line is furniture on a host if more distinct documents have it, and more than the share of the host's documents.
-LINE_DOCS, LINE_SHARE = 10, 0.002
+#: A line is furniture on a host if more distinct documents have it, whatever its length and the host's size.
+LINE_DOCS = 10
 #: Least words, and least share of its words, that a document must keep.
 LEFT_WORDS, LEFT_SHARE = 50, 0.5
 SYMBOLS = "#*$%&|<>"
 #: Low bits of a packed number that hold a position in the text.
-PLACE_BITS = 26
+PLACE_BITS = 31
 
 
 def words_of(text: Column) -> Column:
@@ -36,7 +34,7 @@ def bound(value: Column, body) -> Column:
 
 
 def places_met_again(hashes: Column, places: Column, shift: int) -> Column:
-    """Of ``places``, those whose hash agrees with another's in 38 bits, ascending by hash; native long sort."""
+    """Of ``places``, those whose hash agrees with another's in 33 bits, ascending by hash; native long sort."""
     mask = (1 << PLACE_BITS) - 1
     packed = F.sort_array(F.transform(places, lambda i: F.shiftleft(F.shiftrightunsigned(F.get(hashes, i), shift), PLACE_BITS).bitwiseOR(i.cast("long"))))
     return bound(packed, lambda p: F.transform(
@@ -49,7 +47,7 @@ def places_met_again(hashes: Column, places: Column, shift: int) -> Column:
 def words_in_repeats(words: Column) -> Column:
     """Words inside three-word windows that the text has twice or more, first ones included.
 
-    Windows that share the high 38 bits of their hash are looked for first; what is left must also share the low 38
+    Windows that share the high 33 bits of their hash are looked for first; what is left must also share the low 33
     bits, so that all 64 agree. Covered words follow from the gaps between such windows.
     """
     def covered(hashes):
@@ -81,31 +79,27 @@ def facts(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
 
 
 def line_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", line_docs: int = LINE_DOCS,
-               line_share: float = LINE_SHARE, line_words: int = LINE_WORDS, left_words: int = LEFT_WORDS,
-               left_share: float = LEFT_SHARE) -> DataFrame:
+               left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE) -> DataFrame:
     """One row per document with its counts and the verdict: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, words_left.
 
-    A line (lower case, runs of blanks as one) of at most ``line_words`` words that more than ``line_docs`` distinct
-    texts of a host have, and more than ``line_share`` of the host's texts, is removed from all its documents. A document
-    is depleted, and rejected, if fewer than ``left_words`` words or than ``left_share`` of its words are left. Copies of
-    a text count as one document, so being copied depletes nobody.
+    A line (lower case, runs of blanks as one) of any length that more than ``line_docs`` distinct texts of a host have
+    is removed from all its documents; the limit is the same on a host of any size. A document is depleted, and
+    rejected, if fewer than ``left_words`` words or than ``left_share`` of its words are left. Copies of a text count as
+    one document, so being copied depletes nobody.
 
     Lines are counted with sums made before the shuffle and joined back as a stored table: the adaptive skew
     join splits a line that a third of all documents have. Null and empty texts have no words and fail the base rule; a
-    null host is a host of its own; rows with the same key and text get the same answer; an empty table gives an
-    empty result.
+    null host is a host of its own; rows with the same key and text get the same answer; very long texts are hashed line
+    by line; an empty table gives an empty result.
     """
     known = stored(facts(docs, key, text, host).withColumn("row_no", F.monotonically_increasing_id()), "line-facts")
     one = known.groupBy("host", "text_hash").agg(F.min("row_no").alias("row_no"))
-    hosts = stored(one.groupBy("host").agg(F.count("*").alias("host_docs")), "line-hosts")
-    short = F.explode(F.array_distinct(F.filter("lines", lambda x: x["words"] <= line_words)))
-    lines = known.join(one.select("row_no"), "row_no", "left_semi").select("host", short.alias("line")).select("host", "line.hash")
-    counted = lines.groupBy("host", "hash").agg(F.count("*").alias("docs")).where(F.col("docs") > line_docs)
-    often = stored(counted.join(hosts.withColumnRenamed("host", "its_host"), F.col("host").eqNullSafe(F.col("its_host"))).where(
-        F.col("docs") > F.col("host_docs") * line_share).select(F.col("host").alias("its_host"), F.col("hash").alias("its_hash")), "line-often")
-    every = known.select("row_no", "host", F.explode("lines").alias("line")).select("row_no", "host", "line.hash", "line.words").where(
-        F.col("words") <= line_words)
+    lines = known.join(one.select("row_no"), "row_no", "left_semi").select(
+        "host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash"))
+    often = stored(lines.groupBy("host", "hash").agg(F.count("*").alias("docs")).where(F.col("docs") > line_docs).select(
+        F.col("host").alias("its_host"), F.col("hash").alias("its_hash")), "line-often")
+    every = known.select("row_no", "host", F.explode("lines").alias("line")).select("row_no", "host", "line.hash", "line.words")
     gone = every.join(often, F.col("host").eqNullSafe(F.col("its_host")) & (F.col("hash") == F.col("its_hash"))).groupBy("row_no").agg(
         F.sum("words").alias("gone"))
     left = F.col("n_words") - F.coalesce("gone", F.lit(0))

@@ -105,10 +105,8 @@ u as (select rn, count(*) - count(distinct line) as n_dup_lines from l where reg
 p as (select rn, trim(regexp_replace(lower(line), '[\x20\x09\x0B-\x0D]+', ' ', 'g')) as line from l),
 q as (select rn, line, length(line) - length(replace(line, ' ', '')) + 1 as words from p where line <> ''),
 one as (select min(rn) as rn, source from d group by source, body),
-h as (select source, count(*) as host_docs from one group by source),
-o as (select one.source, line from (select distinct rn, line from q where words <= {line_rules.LINE_WORDS}) join one using (rn)
- join h on one.source is not distinct from h.source group by one.source, line, host_docs
- having count(*) > {line_rules.LINE_DOCS} and count(*) > host_docs * {line_rules.LINE_SHARE}::DOUBLE),
+o as (select one.source, line from (select distinct rn, line from q) join one using (rn)
+ group by one.source, line having count(*) > {line_rules.LINE_DOCS}),
 gone as (select q.rn, sum(q.words) as gone from q join d using (rn) join o on d.source is not distinct from o.source and q.line = o.line group by q.rn),
 m as (select d.rn, d.doc_id, len(w.words)::BIGINT as n_words, coalesce(list_sum([length(z) for z in w.words]), 0)::BIGINT as word_chars,
   (length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')))::BIGINT as n_symbols,

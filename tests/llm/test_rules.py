@@ -182,5 +182,21 @@ def test_furniture_is_removed(spark):
     assert rows[70]["kept"] and all(rows[80 + i]["kept"] for i in range(40))
 
 
+def test_limit_knows_no_length_and_no_size(spark):
+    """Footers of 45 and 400 words go; the same footer gets the same verdict on a host thirty times as large."""
+    import random
+    random.seed(9)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(8))
+    line = lambda n: " ".join(word() for _ in range(n))
+    feet = {45: line(45), 400: line(400)}
+    values = [(1000 * n + i, f"{line(20)}\n{foot}", f"host {n}") for n, foot in feet.items() for i in range(30)]
+    values += [(10_000 + i, f"{line(20)}\n{feet[45]}", "large") for i in range(30)] + [(20_000 + i, line(60), "large") for i in range(900)]
+    values += [(30_000 + i, f"{line(20)}\n{feet[400]}", "few") for i in range(line_rules.LINE_DOCS)]
+    rows = {r["doc_id"]: r for r in line_rules.line_rules(spark.createDataFrame(values, "doc_id long, text string, source string")).collect()}
+    for start in (45_000, 400_000, 10_000):
+        assert all(rows[start + i]["words_left"] == 20 and not rows[start + i]["kept"] for i in range(30))
+    assert all(rows[20_000 + i]["kept"] for i in range(900)) and all(rows[30_000 + i]["kept"] for i in range(line_rules.LINE_DOCS))
+
+
 def test_release(spark):
     assert release(spark) > 0
