@@ -17,7 +17,7 @@ from codelake.llm.common import map_batches, share_of, texts_of
 DOCS_PER_LANGUAGE = 500
 #: Longest context in bytes, and how often a language must have met a context for it to be a node.
 ORDER, LEAST = 3, 8
-#: Languages that one model may have: their trees are held by every task.
+#: Languages that one part of a model has: a task holds the trees of one part at a time.
 LANGUAGES = 32
 #: Bytes that the score's message has at most: it would be 1 for any longer text.
 MESSAGE = 32
@@ -54,23 +54,33 @@ def grams_of(data: bytes) -> np.ndarray:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 4, fold: int = 2,
-        most: int = DOCS_PER_LANGUAGE) -> bytes:
-    """The frozen model, from rows whose crc32 of the key is not ``fold`` modulo ``folds``: see :func:`frozen`."""
+        most: int = DOCS_PER_LANGUAGE, part: int = LANGUAGES) -> list[bytes]:
+    """The frozen model, in parts of at most ``part`` languages: see :func:`frozen`.
+
+    It is fitted on rows whose crc32 of the key is not ``fold`` modulo ``folds``, about ``most`` per language. The
+    driver holds the byte counts of that sample, which grow with the number of languages alone.
+    """
     counts = gram_counts(training_rows(docs, key, text, lang, folds, fold, most)).toPandas()
-    return frozen(counts["lang"].to_numpy(object), counts["gram"].to_numpy(np.int64), counts["uses"].to_numpy(np.int64))
+    langs, grams, uses = counts["lang"].to_numpy(object), counts["gram"].to_numpy(np.int64), counts["uses"].to_numpy(np.int64)
+    names = sorted(set(langs.tolist()))
+    return [frozen(langs, grams, uses, names[a:a + part]) for a in range(0, max(len(names), 1), part)]
 
 
-def frozen(langs: np.ndarray, grams: np.ndarray, uses: np.ndarray) -> bytes:
+def frozen(langs: np.ndarray, grams: np.ndarray, uses: np.ndarray, only: list[str] | None = None) -> bytes:
     """Context trees as arrays: for each node (context of up to ORDER bytes) and next byte, bits per language.
 
     A byte that followed the context n times of N, with d distinct followers, costs -log2(n / (N + d)). Any other first
     escapes at -log2(d / (N + d)), then costs what it does after the context without its oldest byte; below the
     empty context all 256 bytes are equal. A language that never met a context passes on to the shorter one free of charge.
+
+    ``only`` names the languages whose trees are kept. Nodes are those of all languages whichever are kept, so code lengths from
+    several parts compare as those of one model do.
     """
-    names = sorted(set(langs.tolist()))
-    if len(names) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    which = np.array([names.index(x) for x in langs.tolist()], np.int64)
+    every = sorted(set(langs.tolist()))
+    names = every if only is None else sorted(only)
+    at = {name: i for i, name in enumerate(every)}
+    which = np.array([at[x] for x in langs.tolist()], np.int64)
+    first = at[names[0]] if names else 0  # kept languages are neighbours in name order
     parts = [(grams >> 8 * k) & 255 for k in range(ORDER + 1)]  # parts[0] is the last byte
     seen = np.unique(np.concatenate(parts)) if len(grams) else np.empty(0, np.int64)
     kind = np.zeros(256, np.int64)  # 0: a byte that no text had
@@ -81,13 +91,14 @@ def frozen(langs: np.ndarray, grams: np.ndarray, uses: np.ndarray) -> bytes:
     for order in range(ORDER + 1):
         context = sum((parts[k + 1] * a ** k for k in range(order)), np.zeros(len(grams), np.int64))
         ids, place = np.unique(context, return_inverse=True)
-        met = np.zeros((len(ids), count))
-        np.add.at(met, (place, which), uses)
-        good = (met >= LEAST).any(axis=1)
-        use = good[place]
+        pairs, pair = np.unique(place * max(len(every), 1) + which, return_inverse=True)
+        met = np.bincount(pair, weights=uses, minlength=len(pairs))
+        good = np.zeros(len(ids), bool)
+        good[pairs[met >= LEAST] // max(len(every), 1)] = True
+        use = good[place] & (which >= first) & (which < first + count)
         place, ids = (np.cumsum(good) - 1)[place], ids[good]
         follow = np.zeros((len(ids), a, count))
-        np.add.at(follow, (place[use], parts[0][use], which[use]), uses[use])
+        np.add.at(follow, (place[use], parts[0][use], which[use] - first), uses[use])
         whole, kinds = follow.sum(axis=1, keepdims=True), (follow > 0).sum(axis=1, keepdims=True)
         row = row[np.arange(a ** order) % a ** max(order - 1, 0)].copy()
         escape = np.where(whole > 0, kinds / np.maximum(whole + kinds, 1), 1)
@@ -99,6 +110,12 @@ def frozen(langs: np.ndarray, grams: np.ndarray, uses: np.ndarray) -> bytes:
     return out.getvalue()
 
 
+@lru_cache(maxsize=64)
+def names_of(model: bytes) -> list[str]:
+    with np.load(io.BytesIO(model)) as file:
+        return file["names"].tolist()
+
+
 @lru_cache(maxsize=1)
 def loaded(model: bytes):
     with np.load(io.BytesIO(model)) as file:
@@ -141,20 +158,22 @@ def code_lengths(model: bytes, texts: list[bytes]) -> np.ndarray:
     return total
 
 
-def predict(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: list[bytes], key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, lang_pred, score: the language whose tree codes the text shortest, and its share of belief.
 
     The score compares the languages' mean code lengths over a message of at most 32 bytes. Null texts, and texts without
     a letter, are ``und`` with score 0; so is everything if no language was learned. Of equal code lengths the
-    first language by code point wins. Keys may be null or repeat. An empty table gives an empty result.
+    first language by code point wins. Parts of the model are scored in turn and their code lengths compared, so there is no
+    largest number of languages. Keys may be null or repeat. An empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch):
-        names, texts = loaded(sent.value)[0], texts_of(batch)
+        texts, parts = texts_of(batch), sent.value
+        names = [name for part in parts for name in names_of(part)]
         known = [bool(names) and bool(LETTER.search(t)) for t in texts]
         raw = [t.encode("utf-8", "replace") if k else b"" for t, k in zip(texts, known)]
-        bits = code_lengths(sent.value, raw)
+        bits = np.concatenate([code_lengths(part, raw) for part in parts], axis=1)
         sizes = np.maximum([len(r) for r in raw], 1)
         gap = (bits - bits.min(axis=1, keepdims=True)) * (np.minimum(sizes, MESSAGE) / sizes)[:, None]
         score = 1 / np.exp2(-gap).sum(axis=1)

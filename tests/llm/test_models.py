@@ -16,6 +16,24 @@ def measured(spark, name, label):
     return {(r["label"], r["predicted"]): r["count"] for r in found}
 
 
+def test_languages_in_parts(spark):
+    """40 languages: several parts give the code lengths of one model, and every language is learned."""
+    import random
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = [rng.sample(letters, 5) for _ in range(40)]
+    text = lambda i: " ".join("".join(rng.choice(own[i]) for _ in range(5)) for _ in range(40))
+    values = [(n, text(n % 40), f"l{n % 40:02d}") for n in range(1200)]
+    df = spark.createDataFrame(values, "doc_id long, text string, lang string")
+    model, whole = language.fit(df), language.fit(df, part=100)
+    assert len(model) == 2 and len(whole) == 1
+    raw = [v[1].encode() for v in values[:50]]
+    assert np.allclose(np.concatenate([language.code_lengths(part, raw) for part in model], axis=1), language.code_lengths(whole[0], raw))
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(df, model).collect()}
+    assert got == {r["doc_id"]: r["lang_pred"] for r in language.predict(df, whole).collect()}
+    assert sum(got[n] == tag for n, _, tag in values) > 1000
+
+
 def test_op4(spark):
     n = measured(spark, "op4_quality", "quality")
     assert n[(1, 1)] >= 0.98 * (n[(1, 1)] + n.get((1, 0), 0)) and n[(0, 0)] >= 0.9 * (n[(0, 0)] + n.get((0, 1), 0))
