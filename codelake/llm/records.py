@@ -145,9 +145,10 @@ def encoder(model: str):
 
 def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text",
                   file_bytes: int = FILE_BYTES) -> None:
-    """Encode texts and write them as records to ``folder``/records, in ascending key order over the files by name.
+    """Encode texts and write them as records to ``folder``/records, in ascending key order over the files by number.
 
-    Texts are dealt by key ranges and sorted within them before they are encoded, so that ids never move. The files are
+    Texts are dealt by ranges of the key and the text's hash, and sorted within them before they are encoded, so that ids never
+    move, a key that many rows share fills several files, and reruns write rows that share a key in the same order. The files are
     written and committed by Spark's text writer, so any store that Spark writes to will do and lost tasks are
     repeated. The tokenizer must be byte-level with pre-tokens as in ``SAFE_BLANK``'s rule. Null texts count as
     empty and give a record of the end id alone; null keys come first and are marked in the record.
@@ -164,7 +165,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         keys = batch.column("doc_id").to_pylist()
         yield {"frame": [frame(k, np.concatenate([encode(t), end])) for k, t in zip(keys, texts_of(batch))]}
 
-    ordered = rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
+    ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     # a cast from binary keeps the bytes as they are, and the text writer writes them as they are
     map_batches(ordered, run, "frame binary").select(F.col("frame").cast("string")).write.option("lineSep", "\n").text(f"{folder}/records")
 
@@ -190,6 +191,16 @@ def scanned(spark: SparkSession, folder: str) -> DataFrame:
     return map_batches(files, run, "file string,at long,length long,doc_id long,n_tokens long,ids_crc32 long,first long")
 
 
+def files_in_turn(totals: DataFrame) -> DataFrame:
+    """file and the ids ``before`` it, from (file, tokens), by the number in the writer's file names.
+
+    Names alone would not do: they are padded to five digits, and sort otherwise from file 100,000 on.
+    """
+    number = F.regexp_extract("file", r"^part-([0-9]+)", 1).cast("long")
+    turn = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("file", F.coalesce(F.sum("tokens").over(turn), F.lit(0)).alias("before"))
+
+
 def write_index(spark: SparkSession, folder: str) -> DataFrame:
     """Write ``folder``/index (Parquet) from the record files: where each record is, and the ids before it in all files.
 
@@ -199,9 +210,7 @@ def write_index(spark: SparkSession, folder: str) -> DataFrame:
     rows.write.parquet(f"{folder}/scan")
     rows = spark.read.schema(rows.schema).parquet(f"{folder}/scan")
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("tokens"))
-    before = totals.select(F.col("file"), F.coalesce(
-        F.sum("tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    index = rows.join(before, "file").select("file", "at", "length", "doc_id", "n_tokens", "ids_crc32", (F.col("first") + F.col("before")).alias("start"))
+    index = rows.join(files_in_turn(totals), "file").select("file", "at", "length", "doc_id", "n_tokens", "ids_crc32", (F.col("first") + F.col("before")).alias("start"))
     index.write.parquet(f"{folder}/index")
     return spark.read.schema(index.schema).parquet(f"{folder}/index")
 
@@ -225,8 +234,8 @@ def token_records(docs: DataFrame, tokenizer_path: str, end_id: int, key: str =
                   folder: str | None = None) -> DataFrame:
     """Write the records of ``docs`` and their index, read the files back: doc_id, start, n_tokens, ids_crc32.
 
-    Rows with the same key are records of their own, in the order they happen to have. An empty table writes no
-    record and gives an empty result.
+    Rows with the same key are records of their own, in the order of their texts' hashes. Null and empty texts are the end
+    id alone; null keys come first. An empty table writes no record and gives an empty result.
     """
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "records")

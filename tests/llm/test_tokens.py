@@ -82,6 +82,26 @@ def test_empty(nothing):
     assert records.token_records(nothing, MODEL, 2).count() == 0
 
 
+def test_files_by_number(spark):
+    names = [f"part-{n:05d}-a-c000.txt" for n in (2, 99_999, 100_000, 100_001, 1_000_000)]
+    df = spark.createDataFrame([(name, 10 ** i) for i, name in enumerate(names)], "file string, tokens long")
+    before = {r["file"]: r["before"] for r in records.files_in_turn(df).collect()}
+    assert [before[name] for name in names] == [0, 1, 11, 111, 1111]
+
+
+def test_one_key_fills_several_files(spark):
+    values = [(7 if i % 2 else i, f"text {i} of many") for i in range(4000)]
+    df = spark.createDataFrame(values, "doc_id long, text string").repartition(5)
+    folders = [new_folder(spark, "records") for _ in range(2)]
+    rows = [records.token_records(df.repartition(3 + i), MODEL, 2, folder=folder).collect() for i, folder in enumerate(folders)]
+    assert sorted(rows[0]) == sorted(rows[1]) and len(rows[0]) == 4000
+    index = spark.read.parquet(f"{folders[0]}/index")
+    assert index.where("doc_id = 7").select("file").distinct().count() >= 3
+    turn = index.orderBy("start").collect()
+    assert [r["doc_id"] for r in turn] == sorted(r["doc_id"] for r in turn)
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(turn, turn[1:]))
+
+
 def test_op8(spark, texts, tokenizer):
     rows = sorted(queries.op8_token_records(spark, "/root/testdata/sf0.01").collect(), key=lambda r: r["doc_id"])
     start = 0
