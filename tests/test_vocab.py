@@ -273,3 +273,38 @@ def test_unigram_against_the_library(spark, texts):
     assert letters <= set(logp) and letters <= set(tool.get_vocab())
     assert mine <= 1.05 * theirs
     assert len(set(logp) & set(tool.get_vocab())) >= 0.5 * len(logp)
+
+
+def test_unigram_arrays_against_tables(spark):
+    """The training rounds on arrays give what the tables give, for words of unlike sizes and characters outside of the model."""
+    words = {"banana": 5, "bandana" * 9: 3, "ananas": 4, "nab": 2, "é𝄞a": 1, "abba": 2, "an": 9, "a\u0000b": 1}
+    counts = spark.createDataFrame(list(words.items()), "word string, freq long").repartition(3)
+    plain = {r.piece: r.freq for r in unigram.substrings(counts, 4).collect()}
+    pieces = sorted(p for p, n in plain.items() if n > 2 or len(p) == 1)
+    single = np.array([len(p) == 1 for p in pieces])
+    alive = np.array([p not in ("é", "b") for p in pieces])
+    score = np.array([math.log(plain[p] / 500) for p in pieces])
+    model = unigram.Model(pieces, single, alive, score)
+    numbered = spark.createDataFrame(list(enumerate(pieces)), "number long, piece string")
+    table = spark.createDataFrame([(p, float(s)) for p, s, a in zip(pieces, score, alive) if a], "piece string, score double")
+    known, floor = unigram.arcs(counts, table, 4).cache(), unigram.floor_of(table)
+    for best, spread in ((False, unigram.expected_uses), (True, unigram.path_uses)):
+        used = unigram._sums(counts, model, best)
+        want = {r.piece: r.n for r in unigram.uses(known, table, 4, floor, spread).collect()}
+        assert {p: n for p, n in zip(pieces, used) if n} == pytest.approx(want)
+    number, loss = unigram._losses(numbered, model, used)
+    want = {r.piece: r.loss for r in unigram.losses(known, table, 4).collect() if r.loss is not None}
+    assert {pieces[i]: x for i, x in zip(number, loss)} == pytest.approx(want)
+    step = {r.piece: r.score for r in unigram.maximised(known, table, 4).collect()}
+    unigram._maximise(counts, model)
+    assert {p: s for p, s, a in zip(pieces, model.score, model.alive) if a} == pytest.approx(step)
+
+
+def test_unigram_rounds_store_no_tables(spark, texts, monkeypatch):
+    """However many rounds there are, what the training writes is the words and the seeds."""
+    stored = []
+    monkeypatch.setattr(unigram, "durable", lambda df: stored.append(df) or df.cache())
+    counts = counted(texts, T.words(F.col("text"))).orderBy(F.desc("freq"), "word").limit(300)
+    assert len(unigram.learn_unigram(counts, 120, ["<unk>"], max_piece_length=6)) == 120
+    assert len(stored) <= 4
+    assert unigram.learn_unigram(counts.limit(0), 120, ["<unk>"]) == [("<unk>", 0.0)]
