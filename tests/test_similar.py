@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from codelake.functions import code
 from codelake.operators import similar
 from codelake.sources.generated import generated_shapes
 
@@ -51,3 +52,18 @@ def test_nothing(spark):
     empty = spark.createDataFrame([(1, "p", "def (:")], "id long, problem_id string, text string")
     shapes, members = similar.structures(empty, "id")
     assert similar.similar_structures(shapes).count() == 0 and members.count() == 0
+
+
+def test_shapes_once(spark, small):
+    """The graph of every program, however its names and numbers read, stored about once for each task and shape."""
+    odd = ["x1 = 1.e5", "0b12", "a = 0b10", "a1 = 12 if b2 else 3", "f(a1=1, a2=2)", "def f(a1, a2):\n    return '12 a1'", "'\\N{VARIATION SELECTOR-17}'",
+           "é1 = 2", "a² = 1", "a²1 = 1", "match x1:\n    case {1: a1, 2: a2}: pass", "f'{x1:>{w2}.3}'", "1if a else 2", "007", "x = 1_000", "1.e5j", "v1'a'", ""]
+    assert all(code._facts_of(code.alike(t), ("parse_ok", "graph"))["graph"] == code._facts_of(t, ("graph",))["graph"] for t in odd)
+    programs = generated_shapes(spark, small).select("text").repartition(4)
+    found = programs.select("text", code.code_shapes(F.col("text")).alias("f"), code.code_facts(F.col("text"), "graph").alias("g")).cache()
+    graphs = found.where("f.graph IS NOT NULL").select("f.shape", F.col("f.graph").alias("graph")).distinct()
+    assert graphs.count() == graphs.select("shape").distinct().count()
+    assert found.join(graphs, F.col("f.shape") == F.col("shape")).where("graph = g.graph").count() == found.count() == programs.count()
+    assert found.where("f.graph IS NOT NULL").count() <= 4 * graphs.count() < found.count()
+    spans = programs.select(code.code_shapes(F.lit(None).cast("string")).alias("f"))
+    assert spans.where("f.shape IS NOT NULL OR f.parse_ok IS NOT NULL").isEmpty()
