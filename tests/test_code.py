@@ -95,3 +95,32 @@ def test_unicode_forms(spark):
     text = "ﬁ é Ａ"
     assert one(spark, text, C.unicode_normalize) == unicodedata.normalize("NFKC", text)
     assert one(spark, "é", lambda c: C.unicode_normalize(c, "NFD", strip_accents=True)) == "e"
+
+
+ODD_NAMES = [
+    "def f1(a1, b2=a3, *c4, **d5):\n    'doc a1'\n    x1 = y2.z3(k4=a1)\n    return f'{x1=} {a1:>{b2}} x1', x1 . real1\n",
+    "import m1.n2 as o3\nfrom p4 import q5\nclass C1(B2):\n    'p1' 'q2'\n    def g1(self, v1):\n        global h1\n        h1 = v1 = g1 = self.v1\n",
+    "v1 = v2 = 1.e5 + 0x1f + 1if a1 else 2j", "Kz__0__zK = a1", "é1 = a1", "'\\x41' + a1", "a1 = (", "def f1(a1, a1): pass", "f(a1=1, a1=2)",
+    "def f1():\n    'only'\n", "match m1:\n    case C1(x1=y1): pass", "# a1\nv1'a1'", "lambda a1: (a1, [b1 for b1 in a1])", "1.a1", "", "async def w1(q1):\n    async with q1 as r1: await r1",
+]
+
+
+def test_facts_of_names_put_back():
+    """Facts by the form without names are those of the text as it is."""
+    wanted, known = tuple(C.FACTS), {}
+    for text in [*ODD_NAMES, *ODD_NAMES]:
+        plain = C._raw_facts_of(text, wanted)
+        for name, made in C.DIGESTS.items():
+            if name in plain:
+                plain[name] = made(plain[name].encode()).hexdigest()
+        assert C._facts_of(text, wanted, known) == plain, text
+
+
+def test_programs_that_differ_in_names_are_parsed_once(monkeypatch):
+    """The parser keeps every name it has read for good: what a worker holds must not grow with the programs."""
+    seen, known, parse = set(), {}, C.ast.parse
+    monkeypatch.setattr(C.ast, "parse", lambda text: seen.add(text) or parse(text))
+    for n in range(500):
+        found = C._facts_of(f"def f{n}(a{n}):\n    return a{n} * 2", ("renamed", "no_docstrings", "structure_sha256"), known)
+        assert found["no_docstrings"] == f"def f{n}(a{n}):\n    return a{n} * 2" and "v1 * 2" in found["renamed"]
+    assert len(seen) == 1
