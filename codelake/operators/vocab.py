@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from codelake.functions.keys import draw_bucket, draw_key
 from codelake.operators.ranking import position
-from codelake.session import durable
+from codelake.session import durable, small_batches
 
 CANDIDATES = 512
 MOST_CANDIDATES = 65_536
@@ -355,6 +355,8 @@ def held(pieces: list[str]) -> list[str]:
 
 def each_word_once(encode_distinct: Callable, words: Column) -> Column:
     """array<array<int>>: each distinct word of an Arrow batch encoded once; null lists become empty."""
+    small_batches()
+
     @F.pandas_udf("array<array<int>>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for lists in batches:
@@ -426,6 +428,7 @@ def encode_words_longest_match(
 
 def decode_lists(ids: Column, pieces: list[str], kind: str) -> Column:
     """ENC-7 for :func:`encode_lists`: the words back from their ids, without a shuffle."""
+    small_batches()
     pieces = held(pieces)
     bytes_of = {c: b for b, c in enumerate(byte_alphabet())} if kind == "bytes" else None
 

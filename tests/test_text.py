@@ -2,10 +2,13 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from codelake.functions import code as C
 from codelake.functions import text as T
+from codelake.operators import vocab
 
 ODD = ["", " ", "\n", "a\n", "a\n\nb", "\ta", "a\tb", "ab\t\tc\r\td", "x \u00a0\t", "x\x1c", "a\r\nb\rc", "\x0b\x0cb", "é\u3000 ",
        "a\u2028b", "\n\n", "a \n \t\n\nb", "\u00a0x\u2003", "a\x85b", "tail\n \n"]
@@ -98,3 +101,22 @@ def test_words(spark):
     ("**=", 4), ("->", 4), ("(", 4), ("name", 3), ("", 3)])
 def test_roles(spark, token, role):
     assert run(spark, [token], T.role_of) == [role]
+
+
+def test_batches_of_few_bytes(spark):
+    """What a task's Python holds of long texts does not grow with their number."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    texts = spark.range(400).repartition(1).select(F.repeat(F.lit("é" * 100), 100).alias("text"))
+    normal = C.unicode_normalize(F.col("text"), "NFD", strip_accents=True)
+
+    @F.pandas_udf("int")
+    def rows(t: pd.Series) -> pd.Series:
+        return pd.Series([len(t)] * len(t))
+
+    assert texts.where(normal == "e" * 10_000).count() == 400
+    assert texts.select(rows("text").alias("n")).agg(F.max("n")).first()[0] <= 110
+    spark.conf.set(key, "1m")
+    vocab.decode_lists(F.col("ids"), ["a"], "chars")
+    assert spark.conf.get(key) == "1m"
+    spark.conf.unset(key)
