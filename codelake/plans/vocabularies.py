@@ -23,10 +23,9 @@ def _line_words(text: Column, prefix_space: bool) -> Column:
     return F.flatten(F.transform(lines, lambda line: T.words_with_space(prefixed(line) if prefix_space else line)))
 
 
-def _split_bytes(text: Column) -> Column:
-    """Byte-level words as byte characters, cut again at punctuation and numerals."""
-    return F.flatten(F.transform(T.words_with_space(text), lambda word: T.split_punct_digits(
-        F.array_join(vocab.byte_characters(word), ""))))
+def _split_bytes(word: Column) -> Column:
+    """A byte-level word as byte characters, cut again at punctuation and numerals."""
+    return T.split_punct_digits(vocab.byte_text(word))
 
 
 def _sentences(text: Column) -> Column:
@@ -41,6 +40,8 @@ class Configuration:
     vocab_size: int
     specials: str
     words: Callable[[Column], Column]
+    #: Cuts each distinct word again.
+    parts: Callable[[Column], Column] | None = None
     kind: str = "chars"
     all_bytes: bool = False
     marked: bool = False
@@ -54,15 +55,15 @@ def _unaccented(text: Column) -> Column:
 
 # Sizes, special pieces and rules of each configuration.
 CONFIGURATIONS = {
-    "roberta_bytes": Configuration(50265, "roberta", lambda t: _line_words(t, False), "bytes", all_bytes=True),
+    "roberta_bytes": Configuration(50265, "roberta", lambda t: _line_words(t, False), kind="bytes", all_bytes=True),
     "bert_words": Configuration(32000, "bert", T.words, normalize=lambda t: C.unicode_normalize(t, "NFKC")),
-    "code_bytes": Configuration(32000, "code_bytes", _split_bytes, all_bytes=True, normalize=_unaccented),
-    "marked_bytes": Configuration(32000, "marked", lambda t: _line_words(t, True), "bytes", marked=True),
-    "wordpiece": Configuration(32000, "wordpiece", T.words_punct_digits, "wordpiece", normalize=_unaccented),
+    "code_bytes": Configuration(32000, "code_bytes", T.words_with_space, _split_bytes, all_bytes=True, normalize=_unaccented),
+    "marked_bytes": Configuration(32000, "marked", lambda t: _line_words(t, True), kind="bytes", marked=True),
+    "wordpiece": Configuration(32000, "wordpiece", T.words_punct_digits, kind="wordpiece", normalize=_unaccented),
     "marked_unigram": Configuration(
-        32000, "marked", T.words, "unigram", marked=True, options={"max_piece_length": 16}),
+        32000, "marked", T.words, kind="unigram", marked=True, options={"max_piece_length": 16}),
     "sentence_unigram": Configuration(
-        32000, "sentence", _sentences, "unigram", normalize=lambda t: C.unicode_normalize(t, "NFKC"),
+        32000, "sentence", _sentences, kind="unigram", normalize=lambda t: C.unicode_normalize(t, "NFKC"),
         options={"max_piece_length": 16, "coverage": 0.9995}),
 }
 
@@ -99,6 +100,8 @@ def learn(
         size = unigram.capped_vocab_size(size, rows.count())
     normal = rows.select(chosen.normalize(F.col("text")).alias("text"))
     counts = vocab.word_counts(normal, chosen.words(F.col("text")))
+    if chosen.parts:
+        counts = counts.select(F.explode(chosen.parts(F.col("word"))).alias("word"), "freq").groupBy("word").agg(F.sum("freq").alias("freq"))
     specials = vocab.SPECIALS[chosen.specials]
     if chosen.kind == "unigram":
         return Unigram(unigram.learn_unigram(counts, size, specials, **chosen.options))
