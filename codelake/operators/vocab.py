@@ -20,17 +20,18 @@ from pyspark.sql import functions as F
 
 from codelake.functions.keys import draw_bucket, draw_key
 from codelake.operators.ranking import position
-from codelake.session import durable, small_batches
+from codelake.session import discard, durable, small_batches, spread
 
 CANDIDATES = 512
 MOST_CANDIDATES = 65_536
 # Most distinct stretches, and symbols in them, that a round brings to the driver.
 STRETCHES = 100_000
 STRETCH_SYMBOLS = 2_000_000
-KEEP_ROUNDS = 4
 # Most pieces that a task holds to encode or decode; for larger tables join with encode.lookup_pieces.
 MOST_PIECES = 1_000_000
 FAR = np.iinfo(np.int64).max
+# Ids up to which pairs are looked up in a square table.
+SQUARE = 1000
 
 # Special pieces of each configuration, in id order.
 SPECIALS = {
@@ -57,11 +58,15 @@ def byte_alphabet() -> list[str]:
     return [chr(b if b in printable else next(spare)) for b in range(256)]
 
 
+def byte_text(text: Column) -> Column:
+    """One printable character per UTF-8 byte, as one string."""
+    other = [(chr(b), c) for b, c in enumerate(byte_alphabet()) if chr(b) != c]
+    return F.translate(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), *map("".join, zip(*other)))
+
+
 def byte_characters(text: Column) -> Column:
     """One printable character per UTF-8 byte."""
-    alphabet = F.array(*[F.lit(c) for c in byte_alphabet()])
-    digits = F.regexp_extract_all(F.hex(F.encode(text, "UTF-8")), F.lit("(..)"), 1)
-    return F.transform(digits, lambda d: F.element_at(alphabet, F.conv(d, 16, 10).cast("int") + 1))
+    return F.regexp_extract_all(byte_text(text), F.lit("(?s)(.)"), 1)
 
 
 def initial_symbols(word: Column, kind: str) -> Column:
@@ -160,35 +165,64 @@ def _pair_keys(left, right):
     return (left.astype(np.int64) << 32) | right.astype(np.int64)
 
 
+class PairTable:
+    """Pair of ids -> its place in a list of pairs, ``FAR`` for others: a square while ids are small, else a binary search."""
+
+    def __init__(self, pairs: np.ndarray):
+        pairs = np.asarray(pairs, dtype=np.int64).reshape(-1, 2)
+        self.side = int(pairs.max(initial=-1)) + 1
+        if self.side <= SQUARE:
+            self.square = np.full((self.side + 1) ** 2, FAR)
+            self.square[pairs[:, 0] * (self.side + 1) + pairs[:, 1]] = np.arange(len(pairs))
+            return
+        keys = _pair_keys(pairs[:, 0], pairs[:, 1])
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+
+    def places(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if self.side <= SQUARE:
+            return self.square[np.minimum(left, self.side) * (self.side + 1) + np.minimum(right, self.side)]
+        pairs = _pair_keys(left, right)
+        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+        return np.where(self.keys[at] == pairs, self.order[at], FAR)
+
+
+def _tables(runs) -> list[tuple[PairTable, np.ndarray]]:
+    """What a task needs of runs of merges: made once for all of its blocks."""
+    made = [np.array(run, dtype=np.int64).reshape(-1, 3) for run in runs]
+    return [(PairTable(run[:, :2]), run[:, 2]) for run in made]
+
+
 def _merge_runs(values, offsets, runs):
     """Apply runs of merges, in order, to a batch of words given as one flat id array.
 
     Within a run each word takes its earliest merge, all words at once, until none applies;
     words without a merge leave the loop.
     """
+    return _merge_tables(values, offsets, _tables(runs))
+
+
+def _merge_tables(values, offsets, tables):
     word = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    for run in runs:
-        table = np.array(run, dtype=np.int64).reshape(-1, 3)
-        keys = _pair_keys(table[:, 0], table[:, 1])
-        order = np.argsort(keys)
-        keys, made = keys[order], table[order, 2]
+    for table, made in tables:
         finished = []
         while len(values):
-            pairs = _pair_keys(values[:-1], values[1:])
-            at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-            rank = np.where((keys[at] == pairs) & (word[:-1] == word[1:]), order[at], FAR)
-            at, rank = np.append(at, 0), np.append(rank, FAR)
+            rank = table.places(values[:-1], values[1:])
+            rank[word[:-1] != word[1:]] = FAR
+            rank = np.append(rank, FAR)
             starts = np.flatnonzero(np.diff(word, prepend=-1))
-            best = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(word))))
-            live = best < FAR
+            best = np.minimum.reduceat(rank, starts)
+            sizes = np.diff(np.append(starts, len(word)))
+            live = np.repeat(best < FAR, sizes)
             finished.append((values[~live], word[~live]))
-            values, word, at, rank, best = values[live], word[live], at[live], rank[live], best[live]
+            values, word, rank = values[live], word[live], rank[live]
+            best = np.repeat(best[best < FAR], sizes[best < FAR])
             # only a pair of equal symbols can match at neighbouring places: every other one is taken, from the left
             hits = np.flatnonzero(rank == best)
             count = np.arange(len(hits))
             first = np.maximum.accumulate(np.where(np.diff(hits, prepend=-2) > 1, count, 0))
             hits = hits[(count - first) % 2 == 0]
-            values[hits] = made[at[hits]]
+            values[hits] = made[rank[hits]]
             kept = np.ones(len(values), dtype=bool)
             kept[hits + 1] = False
             values, word = values[kept], word[kept]
@@ -200,78 +234,202 @@ def _merge_runs(values, offsets, runs):
     return values, np.concatenate([[0], ends]), word
 
 
-def _flat(batch: pa.RecordBatch):
-    lists = batch.column("symbols")
-    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets
+def _codes(words: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The first symbols of words as numbers, twice a byte or code point, plus one where ``##`` goes before, and how many each word has."""
+    binary = words.cast(pa.large_binary())
+    at = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset:binary.offset + len(binary) + 1]
+    data = memoryview(binary.buffers()[2] or b"")[at[0]:at[-1]] if len(binary) else b""
+    if kind == "bytes":
+        return np.frombuffer(data, np.uint8).astype(np.int64) << 1, np.diff(at)
+    codes = np.frombuffer(str(data, "utf-8").encode("utf-32-le"), "<u4").astype(np.int64) << 1
+    sizes = np.asarray(pc.utf8_length(words), dtype=np.int64)
+    if kind == "wordpiece":
+        codes += 1
+        codes[(np.cumsum(sizes) - sizes)[sizes > 0]] -= 1
+    return codes, sizes
 
 
-def _pair_counts(state: DataFrame, runs: list) -> DataFrame:
-    """(a, b, n) of adjacent symbols after ``runs``, summed per Arrow batch before the shuffle."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _symbol(code: int, kind: str) -> str:
+    if kind == "bytes":
+        return byte_alphabet()[code >> 1]
+    return ("##" if code & 1 else "") + chr(code >> 1)
+
+
+def _alphabet(words: DataFrame, kind: str) -> list[int]:
+    """The codes that occur, as many as there are characters."""
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.empty(0, dtype=np.int64)
         for batch in batches:
-            values, _, word = _merge_runs(*_flat(batch), runs)
-            inside = word[:-1] == word[1:]
-            pairs = _pair_keys(values[:-1][inside], values[1:][inside])
-            freq = batch.column("freq").to_numpy(zero_copy_only=False)[word[:-1][inside]]
-            distinct, place = np.unique(pairs, return_inverse=True)
-            sums = np.zeros(len(distinct), dtype=np.int64)
-            np.add.at(sums, place, freq)
-            yield pa.RecordBatch.from_pydict({
-                "a": (distinct >> 32).astype(np.int32), "b": (distinct & 0xFFFFFFFF).astype(np.int32), "n": sums})
-
-    parts = state.select("freq", "symbols").mapInArrow(count, "a int, b int, n long")
-    return parts.groupBy("a", "b").agg(F.sum("n").alias("n"))
+            known = np.union1d(known, _codes(batch.column("word"), kind)[0])
+        yield pa.RecordBatch.from_pydict({"code": pa.array(known, pa.int64())})
 
+    return sorted(r.code for r in words.select("word").mapInArrow(seen, "code long").distinct().collect())
 
-def _stretches(state: DataFrame, runs: list, chosen: list[tuple[int, int]]) -> DataFrame:
-    """(symbols, freq): the longest parts of words whose neighbours are all ``chosen`` pairs, each distinct part once."""
-    table = np.array(chosen, dtype=np.int64)
-    keys = np.sort(_pair_keys(table[:, 0], table[:, 1]))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ids_of(known: dict[int, int]) -> Callable:
+    """Codes -> ids."""
+    codes = np.array(sorted(known), dtype=np.int64)
+    ids = np.array([known[c] for c in sorted(known)], dtype=np.int64)
+    return lambda found: ids[np.searchsorted(codes, found)] if len(codes) else found
+
+
+# A row of the packed word table: the ids of many words one after the other, each word's size and frequency. Words of one symbol are left out.
+BLOCK = "symbols binary, sizes binary, freqs binary"
+BLOCK_SYMBOLS = 1 << 18
+
+
+def _block(values, sizes, freqs) -> pa.RecordBatch:
+    several = sizes > 1
+    values, sizes, freqs = values[np.repeat(several, sizes)], sizes[several], freqs[several]
+    wide = int(values.max(initial=0)) > 0xFFFF
+    packed = [values.astype("<u4" if wide else "<u2"), sizes.astype("<u4"), freqs.astype("<i8")]
+    return pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in packed], names=["symbols", "sizes", "freqs"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """ids, sizes and frequencies of the words of each block."""
+    for batch in batches:
+        for symbols, sizes, freqs in zip(*(batch.column(name) for name in ("symbols", "sizes", "freqs"))):
+            sizes = np.frombuffer(sizes.as_py(), "<u4").astype(np.int64)
+            if len(sizes):
+                data = symbols.as_py()
+                values = np.frombuffer(data, "<u2" if len(data) == 2 * sizes.sum() else "<u4").astype(np.int64)
+                yield values, sizes, np.frombuffer(freqs.as_py(), "<i8")
+
+
+def _packed(words: DataFrame, kind: str, known: dict[int, int]) -> DataFrame:
+    """The word table as blocks of ids."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, n = _ids_of(known), [], 0
         for batch in batches:
-            values, _, word = _merge_runs(*_flat(batch), runs)
-            pairs = _pair_keys(values[:-1], values[1:])
-            at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-            linked = (keys[at] == pairs) & (word[:-1] == word[1:])
-            after, before = np.append(linked, False)[:len(values)], np.insert(linked, 0, False)[:len(values)]
-            member = after | before
-            starts = after & ~before
-            offsets = np.append((np.cumsum(member) - 1)[starts], member.sum())
-            freq = batch.column("freq").to_numpy(zero_copy_only=False)[word[starts]]
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[member], pa.int32()))
-            yield pa.RecordBatch.from_arrays([lists, pa.array(freq, pa.int64())], names=["symbols", "freq"])
-
-    parts = state.select("freq", "symbols").mapInArrow(cut, "symbols array<int>, freq long")
-    return parts.groupBy("symbols").agg(F.sum("freq").alias("freq"))
+            codes, sizes = _codes(batch.column("word"), kind)
+            held.append((number(codes), sizes, np.asarray(batch.column("freq"), dtype=np.int64)))
+            n += len(codes)
+            if n >= BLOCK_SYMBOLS:
+                yield _block(*map(np.concatenate, zip(*held)))
+                held, n = [], 0
+        if held:
+            yield _block(*map(np.concatenate, zip(*held)))
 
+    small_batches()
+    return words.select("word", "freq").mapInArrow(pack, BLOCK)
 
-def _numbered(words: DataFrame, pieces: list[str]) -> DataFrame:
-    """The word table with symbols as ids."""
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(pieces, pa.string())
+
+def _spelled(words: DataFrame, kind: str, known: dict[int, int], runs: list) -> DataFrame:
+    """(word, ids) of the word table after all runs."""
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, tables = _ids_of(known), _tables(runs)
         for batch in batches:
-            lists = batch.column("symbols")
-            ids = pc.index_in(lists.flatten(), value_set=known).cast(pa.int32())
-            offsets = pa.array(lists.offsets.to_numpy() - lists.offsets[0].as_py(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("freq"), pa.ListArray.from_arrays(offsets, ids)],
-                names=["word", "freq", "symbols"])
+            codes, sizes = _codes(batch.column("word"), kind)
+            values, offsets, _ = _merge_tables(number(codes), np.concatenate([[0], np.cumsum(sizes)]), tables)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), lists], names=["word", "ids"])
+
+    return words.select("word").mapInArrow(spell, "word string, ids array<int>")
+
+
+def _inside(values, sizes) -> np.ndarray:
+    """Whether a symbol and the next one are of one word."""
+    inside = np.ones(len(values) - 1, dtype=bool)
+    inside[np.cumsum(sizes)[:-1] - 1] = False
+    return inside
+
+
+# Sums that a task holds before it passes them on.
+HELD_SUMS = 1 << 20
 
-    return words.select("word", "freq", "symbols").mapInArrow(number, "word string, freq long, symbols array<int>")
+
+class Sums:
+    """Frequencies by a number, added up over the blocks of a task."""
+
+    def __init__(self):
+        self.parts, self.n = [], 0
+
+    def add(self, keys: np.ndarray, freqs: np.ndarray) -> None:
+        self.parts.append(pa.table({"key": keys, "n": freqs}))
+        self.n += len(keys)
+        if self.n > 2 * HELD_SUMS:
+            self.parts = [self.summed()]
+            self.n = len(self.parts[0])
+
+    def summed(self) -> pa.Table:
+        return pa.concat_tables(self.parts).group_by("key", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
+    def taken(self, most: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """The sums, of which none is kept, if they are more than ``most``."""
+        if self.n <= most:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        table, self.parts, self.n = self.summed(), [], 0
+        return np.asarray(table["key"]), np.asarray(table["n"])
+
+
+def _pair_counts(state: DataFrame) -> DataFrame:
+    """(a, b, n) of adjacent symbols, summed per task before the shuffle."""
+    def rows(keys, sums):
+        return pa.RecordBatch.from_pydict({
+            "a": (keys >> 32).astype(np.int32), "b": (keys & 0xFFFFFFFF).astype(np.int32), "n": sums})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums()
+        for values, sizes, freqs in _blocks(batches):
+            inside = _inside(values, sizes)
+            sums.add(_pair_keys(values[:-1][inside], values[1:][inside]), np.repeat(freqs, sizes - 1))
+            yield rows(*sums.taken(HELD_SUMS))
+        yield rows(*sums.taken())
+
+    parts = state.mapInArrow(count, "a int, b int, n long")
+    return parts.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _stretches(state: DataFrame, chosen: list[tuple[int, int]]) -> DataFrame:
+    """(symbols, freq): the longest parts of words whose neighbours are all ``chosen`` pairs, each distinct part once.
+
+    Parts that fit into one number are summed per task before the shuffle.
+    """
+    def rows(flat, size, freqs):
+        offsets = np.arange(len(freqs) + 1) * size if np.isscalar(size) else np.concatenate([[0], np.cumsum(size)])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+        return pa.RecordBatch.from_arrays([lists, pa.array(freqs, pa.int64())], names=["symbols", "freq"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, sums = PairTable(chosen), defaultdict(Sums)
+        bits = int(np.max(chosen)).bit_length() or 1
+
+        def unpacked(size, keys, freqs):
+            return rows((keys[:, None] >> bits * np.arange(size) & ((1 << bits) - 1)).ravel(), size, freqs)
+
+        for values, sizes, freqs in _blocks(batches):
+            linked = (table.places(values[:-1], values[1:]) < FAR) & _inside(values, sizes)
+            edges = np.diff(linked.astype(np.int8), prepend=0, append=0)
+            starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) + 1
+            lengths, freq = ends - starts, np.repeat(freqs, sizes)[starts]
+            short = lengths * bits < 64
+            for size in np.unique(lengths[short]).tolist():
+                of = lengths == size
+                places = bits * np.arange(size)
+                sums[size].add((values[starts[of][:, None] + np.arange(size)] << places).sum(axis=1), freq[of])
+                yield unpacked(size, *sums[size].taken(HELD_SUMS // 8))
+            if not short.all():
+                inner = np.zeros(len(values) + 1, dtype=np.int64)
+                np.add.at(inner, starts[~short], 1)
+                np.add.at(inner, ends[~short], -1)
+                yield rows(values[np.cumsum(inner)[:-1] > 0], lengths[~short], freq[~short])
+        for size, held in sums.items():
+            yield unpacked(size, *held.taken())
+
+    parts = state.mapInArrow(cut, "symbols array<int>, freq long")
+    return parts.groupBy("symbols").agg(F.sum("freq").alias("freq"))
 
 
 def _advance(state: DataFrame, runs: list) -> DataFrame:
-    """The word table after ``runs``."""
+    """The packed word table after ``runs``."""
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, offsets, _ = _merge_runs(*_flat(batch), runs)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("freq"), lists], names=["word", "freq", "symbols"])
+        tables = _tables(runs)
+        for values, sizes, freqs in _blocks(batches):
+            values, offsets, _ = _merge_tables(values, np.concatenate([[0], np.cumsum(sizes)]), tables)
+            yield _block(values, np.diff(offsets), freqs)
 
-    return state.mapInArrow(advance, "word string, freq long, symbols array<int>")
+    return state.mapInArrow(advance, BLOCK)
 
 
 def learn_bpe(
@@ -285,14 +443,16 @@ def learn_bpe(
     most ``STRETCHES`` distinct ones: with too many, fewer pairs are taken. The result is that of
     one merge at a time. ``all_bytes`` puts every byte character in the alphabet, seen or not.
     """
-    words = durable(counts.select("word", "freq", initial_symbols(F.col("word"), kind).alias("symbols")))
-    # bounded by the number of characters there are
-    seen = {row.s for row in words.select(F.explode("symbols").alias("s")).distinct().collect()}
+    spark = counts.sparkSession
+    words = spread(durable(counts.select("word", "freq").where(F.col("word").isNotNull())), "word")
+    codes = _alphabet(words, kind)  # bounded by the number of characters there are
+    seen = {_symbol(c, kind) for c in codes}
     alphabet = sorted((seen | set(byte_alphabet()) if all_bytes else seen) - set(specials))
     pieces = [*specials, *alphabet]
     known = {piece: i for i, piece in enumerate(pieces)}
-    state = durable(_numbered(words, pieces))
-    merges, pending, rounds, reach = [], [], 0, 1 if one_per_round else CANDIDATES
+    first = {c: known[_symbol(c, kind)] for c in codes}
+    state = durable(_packed(words, kind, first))
+    merges, runs, rounds, reach = [], [], 0, 1 if one_per_round else CANDIDATES
 
     def make(a, b):
         piece = _joined(pieces[a], pieces[b], kind)
@@ -304,33 +464,43 @@ def learn_bpe(
 
     while len(pieces) < vocab_size:
         top = (
-            _pair_counts(state, pending).where(F.col("n") >= max(min_frequency, 1))
+            _pair_counts(state).where(F.col("n") >= max(min_frequency, 1))
             .orderBy(F.desc("n"), "a", "b").limit(reach).collect()
         )
         if not top:
             break
         while True:
-            parts = _stretches(state, pending, [(r.a, r.b) for r in top])
+            parts = _stretches(state, [(r.a, r.b) for r in top])
+            if len(top) == 1:
+                n, symbols, held = 0, 0, parts.toArrow()
+                break
+            parts = durable(parts)
             n, symbols = parts.agg(F.count(F.lit(1)), F.sum(F.size("symbols"))).first()
-            if len(top) == 1 or (n <= STRETCHES and symbols <= STRETCH_SYMBOLS):
+            if n <= STRETCHES and symbols <= STRETCH_SYMBOLS:
+                held = parts.toArrow()
+                discard(parts)
                 break
-            top = top[: len(top) // 2]
+            discard(parts)
+            # far too many stretches call for far fewer pairs; how many there are steers the work, not the result
+            over = max(n / STRETCHES, symbols / STRETCH_SYMBOLS)
+            top = top[: max(len(top) >> 1 + int(np.log2(over) / 4), 1)]
             reach = len(top)
-        held = parts.toArrow()
         last = (-top[-1].n, top[-1].a, top[-1].b)
         run = merges_up_to(
             held["symbols"].to_pylist(), held["freq"].to_pylist(), last, make,
             1 if one_per_round else vocab_size - len(pieces))
         merges += run
         # a merge into a piece known before applies after all others
-        pending += [run[:-1], run[-1:]] if len(run) > 1 else [run]
+        fresh = [run[:-1], run[-1:]] if len(run) > 1 else [run]
+        runs += fresh
         rounds += 1
         if not one_per_round and n < STRETCHES // 4 and symbols < STRETCH_SYMBOLS // 4:
             reach = min(reach * 2, MOST_CANDIDATES)
-        if rounds % KEEP_ROUNDS == 0:
-            state, pending = durable(_advance(state, pending)), []
-    state = _advance(state, pending) if pending else state
-    return Merges(pieces, merges, state.select("word", F.col("symbols").alias("ids")), kind, rounds)
+        if len(pieces) < vocab_size:
+            before, state = state, durable(_advance(state, fresh))
+            discard(before)
+    discard(state)
+    return Merges(pieces, merges, _spelled(words, kind, first, runs), kind, rounds)
 
 
 def learn_wordpiece(counts: DataFrame, vocab_size: int, min_frequency: int = 2, specials: list[str] = ()) -> Merges:

@@ -308,3 +308,52 @@ def test_unigram_rounds_store_no_tables(spark, texts, monkeypatch):
     assert len(unigram.learn_unigram(counts, 120, ["<unk>"], max_piece_length=6)) == 120
     assert len(stored) <= 4
     assert unigram.learn_unigram(counts.limit(0), 120, ["<unk>"]) == [("<unk>", 0.0)]
+
+
+def test_packed_words_shrink_and_give_plain_counts_and_stretches(spark):
+    """Words of one symbol leave the table, and sums per task are those of plain loops, with many blocks and with long stretches."""
+    draw = random.Random(3)
+    words = {"".join(draw.choice("abcd") for _ in range(draw.randrange(1, 40))): draw.randrange(1, 9) for _ in range(400)}
+    counts = spark.createDataFrame(list(words.items()), "word string, freq long")
+    known = {ord(c) << 1: i for i, c in enumerate("abcd")}
+    state = vocab._packed(counts, "chars", known)
+    merged = vocab._advance(state, [[(0, 1, 4), (4, 4, 5)], [(2, 3, 6)]])
+    plain = [(vocab.replaced(vocab.replaced(vocab.replaced(["abcd".index(c) for c in w], (0, 1), 4), (4, 4), 5), (2, 3), 6), n) for w, n in words.items()]
+    pairs = Counter()
+    for symbols, n in plain:
+        for pair in zip(symbols, symbols[1:]):
+            pairs[pair] += n
+    assert {(r.a, r.b): r.n for r in vocab._pair_counts(merged).collect()} == pairs
+    sizes = [int(s) for r in merged.collect() for s in np.frombuffer(r.sizes, "<u4")]
+    assert sorted(sizes) == sorted(len(s) for s, _ in plain if len(s) > 1)
+    for chosen in ([(0, 2), (2, 0), (3, 3)], sorted(pairs)):
+        stretches = Counter()
+        for symbols, n in plain:
+            part = symbols[:1]
+            for a, b in zip(symbols, symbols[1:]):
+                if (a, b) not in chosen:
+                    stretches[tuple(part)] += n * (len(part) > 1)
+                    part = []
+                part.append(b)
+            stretches[tuple(part)] += n * (len(part) > 1)
+        assert {tuple(r.symbols): r.freq for r in vocab._stretches(merged, chosen).collect()} == +stretches
+
+
+def test_one_round_keeps_one_word_table(spark, monkeypatch):
+    """A table of an earlier round is deleted, and a round reads words that its predecessor has merged."""
+    gone, counts = [], spark.createDataFrame([("abab", 5), ("abc", 3), ("bcbc", 2), ("x", 9)], "word string, freq long")
+    discard = vocab.discard
+    monkeypatch.setattr(vocab, "discard", lambda df: (gone.append(df.inputFiles()[0]), discard(df)))
+    model = vocab.learn_bpe(counts, 8, 2, one_per_round=True)
+    assert model.rounds == 4 and len(gone) >= 4
+    assert {r.word: [model.pieces[i] for i in r.ids] for r in model.words.collect()}["x"] == ["x"]
+
+
+def test_byte_text_and_distinct_words_cut_again(spark):
+    odd = "".join(map(chr, range(0x500))) + "日本😀"
+    rows = spark.createDataFrame([(odd,), ("a1 a1",)], "text string")
+    alphabet = vocab.byte_alphabet()
+    assert [r.t for r in rows.select(vocab.byte_text(F.col("text")).alias("t")).collect()] == ["".join(alphabet[b] for b in t.encode()) for t in (odd, "a1 a1")]
+    # a task's share of narrow rows has a largest size, whatever the file's size
+    from codelake.session import dealt
+    assert dealt(spark.range(1000), "id", 10).rdd.getNumPartitions() == 100
