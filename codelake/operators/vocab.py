@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -508,14 +507,6 @@ def learn_wordpiece(counts: DataFrame, vocab_size: int, min_frequency: int = 2,
     return learn_bpe(counts, vocab_size, min_frequency, specials, kind="wordpiece")
 
 
-def symbols_of(word: str, kind: str) -> list[str]:
-    """What :func:`initial_symbols` makes of one word, inside a task."""
-    if kind == "bytes":
-        alphabet = byte_alphabet()
-        return [alphabet[b] for b in word.encode()]
-    return [c if i == 0 or kind != "wordpiece" else f"##{c}" for i, c in enumerate(word)]
-
-
 def held(pieces: list[str]) -> list[str]:
     """``pieces``, if they are few enough to be sent to every task."""
     if len(pieces) > MOST_PIECES:
@@ -523,17 +514,33 @@ def held(pieces: list[str]) -> list[str]:
     return pieces
 
 
+# Words that a task remembers the ids of.
+HELD_WORDS = 200_000
+
+
+def nested(lists: pa.Array, items: pa.Array, null: bool = False) -> pa.Array:
+    """``items`` in place of the items of ``lists``; null lists become empty, or stay null."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, items, mask=lists.is_null() if null and lists.null_count else None)
+
+
 def each_word_once(encode_distinct: Callable, words: Column) -> Column:
-    """array<array<int>>: each distinct word of an Arrow batch encoded once; null lists become empty."""
+    """array<array<int>>: each distinct word of an Arrow batch is encoded once, and not again while a task remembers it; null lists become empty."""
     small_batches()
 
-    @F.pandas_udf("array<array<int>>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<array<int>>")
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = {}
         for lists in batches:
-            lists = [[] if words is None else list(words) for words in lists]
-            distinct = list({word for words in lists for word in words})
-            ids = dict(zip(distinct, encode_distinct(distinct)))
-            yield pd.Series([[ids[word] for word in words] for words in lists], dtype=object)
+            found = lists.flatten().dictionary_encode()
+            distinct = found.dictionary.to_pylist()
+            if len(known) > HELD_WORDS:
+                known.clear()
+            new = [word for word in distinct if word not in known]
+            known.update(zip(new, encode_distinct(new)))
+            ids = pa.array([known[word] for word in distinct], pa.list_(pa.int32()))
+            yield nested(lists, ids.take(found.indices))
 
     return encoded(words)
 
@@ -545,15 +552,20 @@ def encode_lists(words: Column, model: Merges, unknown: int | None = None) -> Co
     a piece become ``unknown``, or go if that is None.
     """
     known = {piece: i for i, piece in enumerate(held(model.pieces))}
-    merges, kind = model.merges, model.kind
+    merges, kind, tables = np.array(model.merges, dtype=np.int64).reshape(-1, 3), model.kind, []
 
     def of_distinct(distinct):
-        symbols = [[known.get(s, unknown) for s in symbols_of(word, kind)] for word in distinct]
-        symbols = [[i for i in ids if i is not None] for ids in symbols]
-        offsets = np.concatenate([[0], np.cumsum([len(ids) for ids in symbols], dtype=np.int64)]).astype(np.int64)
-        flat = np.array([i for ids in symbols for i in ids], dtype=np.int64)
-        values, offsets, _ = _merge_runs(flat, offsets, [merges] if merges else [])
-        return [values[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+        if len(merges) and not tables:  # once a task
+            tables.extend(_tables([merges]))
+        codes, sizes = _codes(pa.array(distinct, pa.string()), kind)
+        seen, place = np.unique(codes, return_inverse=True)
+        ids = [known.get(_symbol(c, kind), unknown) for c in seen.tolist()]
+        flat = np.array([-1 if i is None else i for i in ids], dtype=np.int64)[place]
+        word = np.repeat(np.arange(len(sizes)), sizes)[flat >= 0]
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(sizes)))])
+        values, offsets, _ = _merge_tables(flat[flat >= 0], offsets, tables)
+        values, offsets = values.tolist(), offsets.tolist()
+        return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
     return each_word_once(of_distinct, words)
 
@@ -600,16 +612,36 @@ def decode_lists(ids: Column, pieces: list[str], kind: str) -> Column:
     """ENC-7 for :func:`encode_lists`: the words back from their ids, without a shuffle."""
     small_batches()
     pieces = held(pieces)
-    bytes_of = {c: b for b, c in enumerate(byte_alphabet())} if kind == "bytes" else None
-
-    def word(one):
-        text = "".join(pieces[i].removeprefix("##") if at and kind == "wordpiece" else pieces[i] for at, i in enumerate(one))
-        return bytes(bytes_of[c] for c in text).decode("utf-8", "replace") if bytes_of else text
-
-    @F.pandas_udf("array<string>")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    if kind == "bytes":
+        bytes_of = {c: b for b, c in enumerate(byte_alphabet())}
+        inner = [bytes(bytes_of[c] for c in p) if bytes_of.keys() >= set(p) else None for p in pieces]
+    else:
+        inner = [(p.removeprefix("##") if kind == "wordpiece" else p).encode() for p in pieces]
+    # what a piece gives at the start of a word, then what it gives within one
+    parts = [p.encode() for p in pieces] + inner if kind == "wordpiece" else inner
+
+    def texts(words: pa.Array) -> pa.Array:
+        sizes = np.asarray(pc.list_value_length(words), dtype=np.int64)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        ids = np.asarray(words.flatten(), dtype=np.int64)
+        if kind == "wordpiece":
+            within = np.ones(len(ids), dtype=bool)
+            within[at[:-1][sizes > 0]] = False
+            ids = ids + within * len(pieces)
+        found = pa.array(parts, pa.binary()).take(pa.array(ids))
+        if found.null_count:
+            raise ValueError("a piece of other than byte characters")
+        ends = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(found), dtype=np.int64))])[at].astype(np.int32)
+        joined = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(ends), found.buffers()[2] or pa.py_buffer(b"")])
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:  # some word is not UTF-8
+            return pa.array([t.decode("utf-8", "replace") for t in joined.to_pylist()], pa.string())
+
+    @F.arrow_udf("array<string>")
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            yield lists.map(lambda words: [word(one) for one in words])
+            yield nested(lists, texts(lists.flatten()), null=True)
 
     return decoded(ids)
 

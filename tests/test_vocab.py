@@ -357,3 +357,22 @@ def test_byte_text_and_distinct_words_cut_again(spark):
     # a task's share of narrow rows has a largest size, whatever the file's size
     from codelake.session import dealt
     assert dealt(spark.range(1000), "id", 10).rdd.getNumPartitions() == 100
+
+
+def test_lists_of_many_batches_encode_and_decode_like_single_words(spark, monkeypatch):
+    """Null lists, unknown symbols, broken characters, and words met again after a task has forgotten them."""
+    monkeypatch.setattr(vocab, "HELD_WORDS", 1)
+    counts = spark.createDataFrame([("é日", 4), ("aab", 3)], "word string, freq long")
+    model = vocab.learn_bpe(counts, 8, 2, ["<unk>"], "bytes")
+    rows = spark.createDataFrame([(1, ["é日", "zab", ""]), (2, None), (3, []), (4, ["zab", "é日"])], "id int, words array<string>")
+    coded = rows.select("id", vocab.encode_lists(F.col("words"), model, unknown=0).alias("ids"))
+    single = {r.word: r.ids for r in vocab.encode_words(spark.createDataFrame([("é日",), ("zab",), ("",)], "word string"), model, 0).collect()}
+    assert {r.id: r.ids for r in coded.collect()} == {1: [single["é日"], single["zab"], []], 2: [], 3: [], 4: [single["zab"], single["é日"]]}
+    assert single["zab"][0] == 0 and 0 not in single["é日"]
+    back = {r.id: r.t for r in coded.select("id", vocab.decode_lists(F.col("ids"), model.pieces, "bytes").alias("t")).collect()}
+    assert back == {1: ["é日", "<unk>ab", ""], 2: [], 3: [], 4: ["<unk>ab", "é日"]}
+    lone = spark.createDataFrame([([[0], [1, 0]],), (None,)], "ids array<array<int>>")
+    pieces = [vocab.byte_alphabet()[b] for b in (0xE9, 0x41)]
+    assert [r.t for r in lone.select(vocab.decode_lists(F.col("ids"), pieces, "bytes").alias("t")).collect()] == [["�", "A�"], None]
+    words = [r.t for r in lone.select(vocab.decode_lists(F.col("ids"), ["##x", "##y"], "wordpiece").alias("t")).collect()]
+    assert words == [["##x", "##yx"], None]
