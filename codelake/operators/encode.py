@@ -14,6 +14,7 @@ from codelake.functions import arrays as A
 from codelake.functions import text as T
 from codelake.functions.keys import draw_bucket, draw_key
 from codelake.operators.ranking import position, with_quantile_bucket
+from codelake.session import durable
 
 #: Rows that look their items up together.
 GROUP_ROWS = 2000
@@ -83,7 +84,9 @@ def pack_blocks(df: DataFrame, shard: str, order: str, ids: str, length: int = 5
     summed within a range and the sums of earlier ranges are added, so one shard with most of the rows is placed by many tasks.
     Each row is cut at block borders, so pieces move rather than single tokens.
     """
-    placed = starts(df.select(shard, F.col(order).alias("_order"), F.col(ids).alias("_ids"), F.size(ids).alias("_size")), shard)
+    # stored once: the cuts of the ranges, their sums and the rows are read separately
+    rows = durable(df.select(shard, F.col(order).alias("_order"), F.col(ids).alias("_ids"), F.size(ids).alias("_size")))
+    placed = starts(rows, shard)
     placed = placed.where(F.size("_ids") > 0)
     end = F.col("_start") + F.size("_ids")
     blocks = F.sequence(F.floor(F.col("_start") / length), F.floor((end - 1) / length))
@@ -107,12 +110,14 @@ def bucket_by_length(df: DataFrame, key: str, ids: str, seed, batch_size: int, s
 
     ``padded_length`` is the longest row of the batch, rounded up.
     """
-    bucketed = df.withColumn("bucket", A.round_up(F.size(ids), step))
+    # stored once, so that ids are neither made again for the ranks nor moved with them where nobody asks for them
+    sized = durable(df.withColumn("_size", F.size(ids)))
+    bucketed = sized.withColumn("bucket", A.round_up(F.col("_size"), step))
     draw = draw_key(seed, key)
     placed = position(bucketed, "_pos", [draw, F.col(key)], draw_bucket(draw), by=("bucket",))
     batched = placed.withColumn("batch", F.floor(F.col("_pos") / batch_size).cast("long")).drop("_pos")
-    longest = F.max(F.size(ids)).over(Window.partitionBy("bucket", "batch"))
-    return batched.withColumn("padded_length", A.round_up(longest, step))
+    longest = F.max("_size").over(Window.partitionBy("bucket", "batch"))
+    return batched.withColumn("padded_length", A.round_up(longest, step)).drop("_size")
 
 
 def role_batch(df: DataFrame, tokens: str, ids: str, length, pad_id: int = 0) -> DataFrame:

@@ -296,3 +296,23 @@ def test_quotas_of_many_equal_labels(spark):
     assert tuple(held) == (1, 800)
     buckets = rows.select(F.shiftright(draw_key(7, "label"), 55).alias("b")).groupBy("b").count()
     assert buckets.count() == 32 and buckets.agg(F.max("count")).first()[0] < 600
+
+
+def test_ids_are_made_once_for_batches_and_blocks(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def ids(n):
+        made.add(1)
+        return list(range(n % 37))
+
+    rows = spark.range(300).repartition(3).select("id", (F.col("id") % 2).alias("shard"), ids("id").alias("ids"))
+    out = encode.bucket_by_length(rows, "id", "ids", 11, 16).select("id", "bucket", "padded_length").collect()
+    assert len(out) == 300 and all(r.bucket == -(-(r.id % 37) // 8) * 8 == r.padded_length for r in out)
+    assert made.value == 300
+    made.value = 0
+    blocks = encode.pack_blocks(rows, "shard", "id", "ids", 64).collect()
+    for shard in (0, 1):
+        flat = [x for i in range(shard, 300, 2) for x in range(i % 37)]
+        assert {r.block: r.input_ids for r in blocks if r.shard == shard} == {b: flat[64 * b:64 * b + 64] for b in range(len(flat) // 64)}
+    assert made.value == 300
