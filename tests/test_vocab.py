@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -376,3 +377,58 @@ def test_lists_of_many_batches_encode_and_decode_like_single_words(spark, monkey
     assert [r.t for r in lone.select(vocab.decode_lists(F.col("ids"), pieces, "bytes").alias("t")).collect()] == [["�", "A�"], None]
     words = [r.t for r in lone.select(vocab.decode_lists(F.col("ids"), ["##x", "##y"], "wordpiece").alias("t")).collect()]
     assert words == [["##x", "##yx"], None]
+
+
+@pytest.mark.parametrize("block, held, most", [(500_000, 2_000_000, 16_000_000), (7, 10, 16_000_000), (500_000, 2_000_000, 40)])
+def test_heavy_substrings_are_the_heaviest_of_all(spark, monkeypatch, block, held, most):
+    """Cut into small blocks, with sums given up early, and where tasks cannot hold the pieces: the heaviest, and their exact frequencies."""
+    monkeypatch.setattr(unigram, "BLOCK", block)
+    monkeypatch.setattr(unigram, "HELD_SUMS", held)
+    monkeypatch.setattr(unigram, "MOST_NODES", most)
+    draw = random.Random(5)
+    words = {"".join(draw.choice("aab𝄞\u0000é") for _ in range(draw.randrange(1, 30))): draw.randrange(1, 4) for _ in range(150)}
+    words |= {"solitary": 1, "": 5, "abab" * 12: 2}
+    counts = spark.createDataFrame(list(words.items()), "word string, freq long").repartition(3)
+    plain = Counter()
+    for word, freq in words.items():
+        for i in range(len(word)):
+            for j in range(i + 1, min(len(word), i + 6) + 1):
+                plain[word[i:j]] += freq
+    ranked = sorted((-n * len(p), p) for p, n in plain.items() if len(p) > 1 and n >= 2)
+    for size in (0, 20, len(ranked) + 1):
+        wanted = {p: float(-w) for w, p in ranked[:size]} | {p: float(n) for p, n in plain.items() if len(p) == 1}
+        seeds = {r.piece: r.weight for r in unigram.seed_pieces(counts, 6, size).collect()}
+        assert seeds == wanted
+        found = {r.piece: r.freq for r in unigram.substrings(counts, 6, size).collect()}
+        assert all(plain[p] == n for p, n in found.items()) and wanted.keys() <= found.keys()
+    few = unigram.heavy_substrings(counts, 6, 20)
+    assert (few is None) == (most == 40)
+    if few is not None:
+        assert {r.piece for r in few.collect()} == {p for w, p in ranked if w <= ranked[19][0]} | {p for p in plain if len(p) == 1}
+    assert unigram.heavy_substrings(counts.limit(0), 6, 20).count() == 0
+
+
+def test_unigram_learning_leaves_and_moves_little(spark, monkeypatch):
+    """Sentences with a number each: a shuffle has sums of pieces that may become seeds, no row per place, and its files go with it."""
+    spark.sparkContext._jvm.System.gc()
+    code = spark.range(20_000).select(F.format_string("▁return▁value%d▁*▁other%d", "id", "id").alias("word"), F.lit(1).cast("long").alias("freq"))
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+    moved, before = [], shuffled()
+    held = unigram.durable
+
+    def stored(df):
+        out = held(df)
+        moved.append(shuffled() - before)
+        return out
+
+    monkeypatch.setattr(unigram, "durable", stored)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert len(unigram.learn_unigram(code, 300, ["<unk>"], seed_size=2000)) == 300
+    assert spark.conf.get(key) == "false"
+    time.sleep(2)  # files are deleted a moment later
+    assert max(moved) < 2_000_000 and shuffled() - before < 1_000_000
